@@ -48,3 +48,4 @@ LATENCY_P95_MS = 30000.0
 # key with more takes the distributed path. A key is spread over one salt per HOT_ROWS copies.
 FOLD_COPIES = 256
 HOT_ROWS = 1_000_000
+REGISTRY_BUCKETS = 1024

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftwell.operators.parse import parser_dead_letters
+from driftwell.operators.validate import validator_dead_letters
+
 
 def parser_letter_text(letters: DataFrame) -> DataFrame:
     return letters.select(
@@ -32,3 +35,14 @@ def validator_letter_text(letters: DataFrame) -> DataFrame:
 
 def dead_letters(parser_letters: DataFrame, validator_letters: DataFrame) -> DataFrame:
     return parser_letter_text(parser_letters).unionByName(validator_letter_text(validator_letters))
+
+
+def unparsed_letters(checked: DataFrame) -> DataFrame:
+    """Parser letters from a table that holds every message with its route."""
+    return parser_dead_letters(
+        checked.select("message", F.when(F.col("route") == "unparsed", "invalid").alias("route"))
+    )
+
+
+def rejected_letters(checked: DataFrame) -> DataFrame:
+    return validator_dead_letters(checked)

@@ -11,6 +11,7 @@ from driftwell.config import (
     DEDUPLICATION_SECONDS,
     FOLD_COPIES,
     HOT_ROWS,
+    REGISTRY_BUCKETS,
     REPLAY_REASON,
     REQUIRED_FIELDS,
 )
@@ -112,13 +113,22 @@ def deduplicate(records: DataFrame, fold_copies: int = FOLD_COPIES, hot_rows: in
     return records.join(checked.filter(~F.col("admitted")).select(*ROW_ID), ROW_ID, "left_anti")
 
 
+def registry_bucket(event_id: str = "event_id") -> Column:
+    return F.pmod(F.xxhash64(event_id), F.lit(REGISTRY_BUCKETS)).cast("int")
+
+
 def registry_hits(records: DataFrame, registry: DataFrame) -> DataFrame:
     """Registry rows of the ids at hand, as remembered rows. Both sides are unique by id: no skew.
 
-    The registry side is only filtered when the ids fit a broadcast, which adaptive execution
-    decides from their measured size.
+    The registry side is only filtered, not shuffled, when the ids fit a broadcast, which adaptive
+    execution decides from their measured size. A stored registry is sorted by ``bucket``: a batch
+    that touches few buckets (at most REGISTRY_BUCKETS numbers are listed) skips the other row groups.
     """
     ids = records.select("event_id").distinct()
+    if "bucket" in registry.columns:
+        touched = [r.bucket for r in ids.select(registry_bucket().alias("bucket")).distinct().collect()]
+        if len(touched) < REGISTRY_BUCKETS // 2:
+            registry = registry.filter(F.col("bucket").isin(touched))
     return registry.join(ids, "event_id").select(
         "event_id",
         F.lit(REGISTRY_MEMORY).alias("memory"),

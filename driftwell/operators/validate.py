@@ -105,13 +105,19 @@ def validate(parsed: DataFrame, as_of: Column | None = None) -> DataFrame:
 
     ``as_of`` is the clock of the future-timestamp rule: the row's own arrival when it has one
     (so a re-run decides alike), else the current time.
+    """
+    return validate_all(parsed.filter(F.col("record").isNotNull()), as_of)
+
+
+def validate_all(parsed: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Like ``validate``, but messages that did not parse stay in, routed ``unparsed``.
 
     The steps stay separate projections on purpose: each compiles to its own small method.
     """
     if as_of is None:
         as_of = F.col("arrival_ts") if "arrival_ts" in parsed.columns else F.current_timestamp()
-    records = parsed.filter(F.col("record").isNotNull())
-    kept = [c for c in records.columns if c not in ("record", "route")]
+    records = parsed.drop("route")
+    kept = [c for c in records.columns if c != "record"]
 
     steps = compute_once(
         records,
@@ -154,9 +160,10 @@ def validate(parsed: DataFrame, as_of: Column | None = None) -> DataFrame:
         device_id=_text("device_id"),
         event_timestamp=F.col("_event_time"),
         **{s: F.col(f"_{s}_number") for s in SENSORS},
-        errors=errors,
+        errors=F.when(F.col("record").isNotNull(), errors),
     ).select(*kept, *REQUIRED_FIELDS, "errors")
-    return checked.withColumn("route", F.when(F.size("errors") == 0, "valid").otherwise("invalid"))
+    route = F.when(F.col("errors").isNull(), "unparsed").when(F.size("errors") == 0, "valid").otherwise("invalid")
+    return checked.withColumn("route", route)
 
 
 def telemetry(validated: DataFrame) -> DataFrame:

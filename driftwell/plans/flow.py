@@ -11,15 +11,20 @@ from driftwell.operators import dead_letters as letters
 from driftwell.operators import identity, quality, windows
 from driftwell.operators.fingerprint import fingerprint
 from driftwell.operators.parse import parse_messages, parser_dead_letters
-from driftwell.operators.validate import telemetry, validate, validator_dead_letters
+from driftwell.operators.validate import (
+    telemetry,
+    validate,
+    validate_all,
+    validator_dead_letters,
+)
 from driftwell.session import materialize
 
 
 class TelemetryFlow:
     """Every intermediate of the flow as a DataFrame.
 
-    All are lazy except the tables the flow has to read more than once, which are written to the
-    shared folder: the routed messages' accepted rows before identity, and identity's outcome.
+    All are lazy. Stages that are read several times (identity, counts) start from ``checked``, which
+    is written once to the shared folder, so messages are parsed a single time.
     """
 
     def __init__(self, messages: DataFrame, as_of: Column | None = None, registry: DataFrame | None = None):
@@ -55,9 +60,21 @@ class TelemetryFlow:
     def fingerprinted(self) -> DataFrame:
         return fingerprint(self.telemetry)
 
+    @cached_property
+    def checked(self) -> DataFrame:
+        """Every message once, with its route and fingerprint; the text only of rejected ones."""
+        everything = fingerprint(validate_all(self.parsed, self.as_of))
+        valid = F.col("route") == "valid"
+        return materialize(
+            everything.withColumn("message", F.when(~valid, F.col("message"))).withColumn(
+                "payload_hash", F.when(valid, F.col("payload_hash"))
+            ),
+            "checked",
+        )
+
     @cached_property
     def accepted(self) -> DataFrame:
-        return materialize(self.fingerprinted, "accepted")
+        return self.checked.filter(F.col("route") == "valid").drop("message", "errors", "route")
 
     @cached_property
     def conflict_checked(self) -> DataFrame:
@@ -88,15 +105,25 @@ class TelemetryFlow:
     @cached_property
     def stage_routes(self) -> DataFrame:
         """``arrival_ts, stage, route`` of every decision taken on a message."""
-        parsed = self.parsed.select("arrival_ts", F.lit("parsing").alias("stage"), "route")
-        validated = self.validated.select("arrival_ts", F.lit("validation").alias("stage"), "route")
-        return parsed.unionByName(validated).unionByName(identity_routes(self.routed))
+        return message_routes(self.checked).unionByName(identity_routes(self.routed))
 
     @cached_property
     def stage_counts(self) -> DataFrame:
         return quality.stage_counts(self.stage_routes)
 
 
+def message_routes(checked: DataFrame) -> DataFrame:
+    """The parsing and validation stages of one message, in one pass."""
+    unparsed = F.col("route") == "unparsed"
+    stages = F.array(
+        F.struct(
+            F.lit("parsing").alias("stage"), F.when(unparsed, "invalid").otherwise("valid").alias("route")
+        ),
+        F.when(~unparsed, F.struct(F.lit("validation").alias("stage"), F.col("route").alias("route"))),
+    )
+    return _taken(checked, stages)
+
+
 def identity_routes(routed: DataFrame) -> DataFrame:
     """The identity stages of one record, in one pass: each record stops at its last stage."""
     route = F.col("route")
@@ -117,5 +144,9 @@ def identity_routes(routed: DataFrame) -> DataFrame:
             F.struct(F.lit("registry").alias("stage"), route.alias("route")),
         ),
     )
+    return _taken(routed, stages)
+
+
+def _taken(routed: DataFrame, stages: Column) -> DataFrame:
     taken = routed.select("arrival_ts", F.explode(stages).alias("taken")).filter(F.col("taken").isNotNull())
     return taken.select("arrival_ts", F.col("taken.stage").alias("stage"), F.col("taken.route").alias("route"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,12 +35,52 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_scope: ContextVar[str] = ContextVar("scope", default="tables")
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and gives the planner real sizes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/driftwell/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/driftwell/{_scope.get()}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables materialized inside are dropped at the end: for jobs that repeat, like micro-batches."""
+    name = f"scratch-{uuid.uuid4().hex}"
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        remove(spark, f"{shared_dir(spark)}/driftwell/{name}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    files, place = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
