@@ -1,41 +1,34 @@
-"""Number expressions."""
+"""Number expressions, as SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from driftwell.functions.text import strip
 
 _DECIMAL_TEXT = r"(?U)^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def json_double(text: Column, kind: Column) -> Column:
+def json_double(text: str, kind: str) -> str:
     """A JSON number, boolean or numeric string as DOUBLE; NULL for anything else.
 
     ``kind`` is the member's JSON type. The pattern keeps out of strings what the cast would also
     take: ``1d``, ``NaN``, ``Infinity``.
     """
     return (
-        F.when(kind == "STRING", F.when(text.rlike(_DECIMAL_TEXT), strip(text).try_cast("double")))
-        .when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
-        .otherwise(text.try_cast("double"))
+        f"CASE WHEN {kind} = 'STRING' THEN CASE WHEN {text} rlike r'{_DECIMAL_TEXT}' "
+        f"THEN try_cast({strip(text)} as double) END "
+        f"WHEN {kind} = 'BOOLEAN' THEN if({text} = 'true', 1D, 0D) "
+        f"ELSE try_cast({text} as double) END"
     )
 
 
-def repr_text(number: Column) -> Column:
+def repr_text(number: str) -> str:
     """Shortest decimal text: plain from 1e-4 upwards, else ``1e-05`` style."""
-    text = number.cast("string")
-    size = F.abs(number)
-    sign = F.when(number < 0, F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(F.regexp_extract(text, r"([\d.]+)E", 1), r"\.0$|\.", "")
-    mantissa = F.regexp_replace(F.regexp_extract(text, r"(-?[\d.]+)E", 1), r"\.0$", "")
-    exponent = F.regexp_extract(text, r"E-?(\d+)", 1)
+    text = f"cast({number} as string)"
+    digits = f"regexp_replace(regexp_extract({text}, r'([\\d.]+)E', 1), r'\\.0$|\\.', '')"
+    mantissa = f"regexp_replace(regexp_extract({text}, r'(-?[\\d.]+)E', 1), r'\\.0$', '')"
+    exponent = f"regexp_extract({text}, r'E-(\\d+)', 1)"
     return (
-        F.when((size >= 1e-4) & (size < 1e-3), F.concat(sign, F.lit("0.000"), digits))
-        .when(
-            (size > 0) & (size < 1e-4),
-            F.concat(mantissa, F.lit("e-"), F.lpad(exponent, F.greatest(F.length(exponent), F.lit(2)), F.lit("0"))),
-        )
-        .otherwise(text)
+        f"CASE WHEN abs({number}) >= 1e-3 OR {number} = 0 THEN {text} "
+        f"WHEN abs({number}) >= 1e-4 THEN concat(if({number} < 0, '-', ''), '0.000', {digits}) "
+        f"ELSE concat({mantissa}, 'e-', lpad({exponent}, greatest(length({exponent}), 2), '0')) END"
     )

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` plus ``columns``, each evaluated a single time per row.
+def compute_once(df: DataFrame, **columns: str) -> DataFrame:
+    """``df`` plus ``columns`` (SQL expressions), each evaluated a single time per row.
 
     A filter on a computed column is normally pushed below the projection with the whole
     expression copied into it, once per use. A one-element generator keeps the filter above.
     """
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
+    members = ", ".join(f"'{name}', {value}" for name, value in columns.items())
+    return df.selectExpr("*", f"inline(array(named_struct({members})))")

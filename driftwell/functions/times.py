@@ -1,4 +1,4 @@
-"""ISO-8601 timestamp expressions."""
+"""ISO-8601 timestamp expressions, as SQL."""
 
 from __future__ import annotations
 
@@ -14,51 +14,52 @@ _ISO = (
     r"(?:.(\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
     r"(Z|([+-])(\d{2})(?:(:?)(\d{2})(?:\13(\d{2})(?:\.\d+)?)?)?)?)?$"
 )
-_PARTS = ["1", "3", "4", "5", "7", "8", "9", "10", "11", "12", "14", "15"]
-_YEAR, _MONTH, _DAY, _HOUR, _MINUTE, _SECOND, _FRACTION, _ZONE, _SIGN, _ZH, _ZM, _ZS = range(12)
+# Group numbers of: year, month, day, hour, minute, second, fraction, zone, sign, zone h, m and s.
+_GROUPS = [1, 3, 4, 5, 7, 8, 9, 10, 11, 12, 14, 15]
 
 
-def iso_parts(text: Column) -> Column:
+def iso_parts(text: str) -> str:
     """The pieces of an ISO-8601 text in an uncommon spelling; NULL for the common one."""
-    pieces = F.split(F.regexp_replace(text, _ISO, "|".join(f"${g}" for g in _PARTS)), r"\|", -1)
-    return F.when(~text.rlike(_PLAIN) & text.rlike(_ISO), pieces)
+    pieces = "|".join(f"${g}" for g in _GROUPS)
+    return (
+        f"CASE WHEN NOT {text} rlike r'{_PLAIN}' AND {text} rlike r'{_ISO}' "
+        f"THEN split(regexp_replace({text}, r'{_ISO}', '{pieces}'), '[|]', -1) END"
+    )
 
 
-def iso_timestamp(text: Column, parts: Column) -> Column:
+def iso_timestamp(text: str, parts: str) -> str:
     """The instant ``text`` names (zone-less text read as UTC), or NULL if it is not ISO-8601."""
-    return F.when(parts.isNull(), F.when(text.rlike(_PLAIN), text.try_cast("timestamp"))).otherwise(
-        _from_parts(parts)
-    )
+    plain = f"CASE WHEN {text} rlike r'{_PLAIN}' THEN try_cast({text} as timestamp) END"
+    return f"if({parts} IS NULL, {plain}, {_from_parts(parts)})"
 
 
-def iso_zone_missing(parts: Column) -> Column:
-    return F.coalesce(parts[_ZONE] == "", F.lit(False))
+def iso_zone_missing(parts: str) -> str:
+    return f"coalesce({parts}[7] = '', false)"
 
 
-def _from_parts(parts: Column) -> Column:
+def _from_parts(parts: str) -> str:
     def two(i):
-        return F.lpad(parts[i], 2, "0")
-
-    local = F.concat(
-        F.concat_ws("-", parts[_YEAR], parts[_MONTH], parts[_DAY]),
-        F.lit("T"),
-        F.concat_ws(":", two(_HOUR), two(_MINUTE), two(_SECOND)),
-        F.rpad(F.concat(F.lit("."), F.substring(parts[_FRACTION], 1, 6)), 7, "0"),
-        F.lit("Z"),
+        return f"lpad({parts}[{i}], 2, '0')"
+
+    local = (
+        f"concat({parts}[0], '-', {parts}[1], '-', {parts}[2], 'T', {two(3)}, ':', {two(4)}, ':', {two(5)}, "
+        f"rpad(concat('.', substr({parts}[6], 1, 6)), 7, '0'), 'Z')"
     )
     # The cast rejects zones beyond 18 hours, so the zone is applied as a plain difference.
-    zone = [two(i).cast("int") for i in (_ZH, _ZM, _ZS)]
-    offset = F.when((zone[0] < 24) & (zone[1] < 60) & (zone[2] < 60), zone[0] * 3600 + zone[1] * 60 + zone[2])
-    signed = F.when(parts[_SIGN] == "-", -offset).otherwise(offset)
-    return F.timestamp_micros(F.unix_micros(local.try_cast("timestamp")) - signed * F.lit(1_000_000))
+    hours, minutes, seconds = (f"cast({two(i)} as int)" for i in (9, 10, 11))
+    offset = (
+        f"CASE WHEN {hours} < 24 AND {minutes} < 60 AND {seconds} < 60 "
+        f"THEN ({hours} * 3600 + {minutes} * 60 + {seconds}) * if({parts}[8] = '-', -1000000L, 1000000L) END"
+    )
+    return f"timestamp_micros(unix_micros(try_cast({local} as timestamp)) - {offset})"
 
 
-def iso_text(instant: Column) -> Column:
+def iso_text(instant: str) -> str:
     """UTC ISO text; the fraction appears only when there is one, always with six digits."""
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.pmod(F.unix_micros(instant), F.lit(1_000_000))
-    fraction = F.when(micros != 0, F.date_format(instant, ".SSSSSS")).otherwise(F.lit(""))
-    return F.concat(whole, fraction, F.lit("+00:00"))
+    return (
+        f"concat(date_format({instant}, \"yyyy-MM-dd'T'HH:mm:ss\"), "
+        f"if(unix_micros({instant}) % 1000000 = 0, '', date_format({instant}, '.SSSSSS')), '+00:00')"
+    )
 
 
 def plus_seconds(instant: Column, seconds: int) -> Column:

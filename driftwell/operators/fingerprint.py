@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from driftwell.config import REQUIRED_FIELDS, SENSORS
 from driftwell.functions.numbers import repr_text
@@ -11,22 +10,19 @@ from driftwell.functions.text import json_string, strip
 from driftwell.functions.times import iso_text
 
 
-def canonical_payload() -> Column:
+def canonical_payload() -> str:
     """Compact JSON of the seven fields in name order: ids stripped, numbers as doubles, UTC time."""
 
     def value(field):
         if field in SENSORS:
-            return repr_text(F.col(field))
+            return repr_text(field)
         if field == "event_timestamp":
-            return F.concat(F.lit('"'), iso_text(F.col(field)), F.lit('"'))
-        return json_string(strip(F.col(field)))
+            return f"concat('\"', {iso_text(field)}, '\"')"
+        return json_string(strip(field))
 
-    parts = [
-        F.concat(F.lit(f'"{field}":'), F.coalesce(value(field), F.lit("null")))
-        for field in sorted(REQUIRED_FIELDS)
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    parts = [f"concat('\"{field}\":', coalesce({value(field)}, 'null'))" for field in sorted(REQUIRED_FIELDS)]
+    return f"concat('{{', concat_ws(',', {', '.join(parts)}), '}}')"
 
 
 def fingerprint(records: DataFrame) -> DataFrame:
-    return records.withColumn("payload_hash", F.sha2(canonical_payload(), 256))
+    return records.selectExpr("*", f"sha2({canonical_payload()}, 256) AS payload_hash")

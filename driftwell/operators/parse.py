@@ -13,7 +13,8 @@ PARSE_ERROR = "message is not a single valid JSON value"
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Adds ``message`` (text), ``record`` (VARIANT) and ``route`` (valid/invalid)."""
-    texts = messages.withColumn("message", utf8_text(F.col("value"))).drop("value")
+    others = [c for c in messages.columns if c != "value"]
+    texts = messages.selectExpr(*others, f"{utf8_text('value')} AS message")
     parsed = with_strict_json(texts, "message", "record")
     return parsed.withColumn("route", F.when(F.col("record").isNull(), "invalid").otherwise("valid"))
 

@@ -17,7 +17,7 @@ from driftwell.config import (
 from driftwell.functions.numbers import json_double
 from driftwell.functions.once import compute_once
 from driftwell.functions.text import strip
-from driftwell.functions.times import iso_parts, iso_timestamp, iso_zone_missing, plus_seconds
+from driftwell.functions.times import iso_parts, iso_timestamp, iso_zone_missing
 
 NOT_AN_OBJECT = "record must be a JSON object"
 
@@ -33,70 +33,49 @@ _USUAL_SHAPE = (
 )
 
 
-def _member_type(field: str) -> Column:
-    usual = F.when(_text(field).isNull(), "VOID").otherwise("DOUBLE") if field in SENSORS else F.lit("STRING")
-    member = F.try_variant_get("record", f"$.{field}", "variant")
-    return F.when(F.col("_usual"), usual).otherwise(F.schema_of_variant(member))
+def _member_type(field: str) -> str:
+    usual = f"if(_{field}_text IS NULL, 'VOID', 'DOUBLE')" if field in SENSORS else "'STRING'"
+    return f"if(_usual, {usual}, schema_of_variant(try_variant_get(record, '$.{field}', 'variant')))"
 
 
-def _text(field: str) -> Column:
-    return F.col(f"_{field}_text")
+def _presence_error(field: str) -> str:
+    kind = f"_{field}_type"
+    null_error = "" if field in SENSORS else f" WHEN {kind} = 'VOID' THEN 'Null required field: {field}'"
+    return f"CASE WHEN {kind} IS NULL THEN 'Missing required field: {field}'{null_error} END"
 
 
-def _type(field: str) -> Column:
-    return F.col(f"_{field}_type")
-
-
-def _present(field: str) -> Column:
-    return _type(field) != "VOID"
-
-
-def _presence_error(field: str) -> Column:
-    missing = F.when(_type(field).isNull(), F.lit(f"Missing required field: {field}"))
-    if field in SENSORS:
-        return missing
-    return missing.when(_type(field) == "VOID", F.lit(f"Null required field: {field}"))
-
-
-def _id_error(field: str, charset: str | None = None) -> Column:
-    text = F.col(f"_{field}_stripped")
-    error = (
-        F.when(_type(field) != "STRING", F.lit(f"{field} must be a string"))
-        .when(text == "", F.lit(f"{field} cannot be empty"))
-        .when(
-            ~F.length(text).between(ID_MIN_LENGTH, ID_MAX_LENGTH),
-            F.lit(f"{field} length is outside allowed range"),
-        )
+def _id_error(field: str, charset: str | None = None) -> str:
+    text = f"_{field}_stripped"
+    chars = f" WHEN NOT {text} rlike r'{charset}' THEN '{field} contains invalid characters'" if charset else ""
+    return (
+        f"CASE WHEN _{field}_type = 'VOID' THEN NULL "
+        f"WHEN _{field}_type <> 'STRING' THEN '{field} must be a string' "
+        f"WHEN {text} = '' THEN '{field} cannot be empty' "
+        f"WHEN length({text}) NOT BETWEEN {ID_MIN_LENGTH} AND {ID_MAX_LENGTH} "
+        f"THEN '{field} length is outside allowed range'{chars} END"
     )
-    if charset:
-        error = error.when(~text.rlike(charset), F.lit(f"{field} contains invalid characters"))
-    return F.when(_present(field), error)
 
 
-def _timestamp_error(as_of: Column) -> Column:
+def _timestamp_error() -> str:
     field = "event_timestamp"
-    return F.when(
-        _present(field),
-        F.when(_type(field) != "STRING", F.lit(f"{field} must be a string"))
-        .when(F.col("_event_time").isNull(), F.lit(f"{field} is not a valid ISO-8601 timestamp"))
-        .when(iso_zone_missing(F.col("_time_parts")), F.lit(f"{field} must include timezone"))
-        .when(
-            F.col("_event_time") > plus_seconds(as_of, MAX_FUTURE_SECONDS),
-            F.lit(f"{field} is too far in the future"),
-        ),
+    return (
+        f"CASE WHEN _{field}_type = 'VOID' THEN NULL "
+        f"WHEN _{field}_type <> 'STRING' THEN '{field} must be a string' "
+        f"WHEN _{field}_type = 'STRING' AND _event_time IS NULL THEN '{field} is not a valid ISO-8601 timestamp' "
+        f"WHEN {iso_zone_missing('_time_parts')} THEN '{field} must include timezone' "
+        f"WHEN _event_time > _as_of + interval {MAX_FUTURE_SECONDS} seconds "
+        f"THEN '{field} is too far in the future' END"
     )
 
 
-def _sensor_errors(sensor: str) -> list[Column]:
+def _sensor_errors(sensor: str) -> list[str]:
     low, high = SENSOR_RANGES[sensor]
-    number = F.col(f"_{sensor}_number")
+    number = f"_{sensor}_number"
     return [
-        F.when(
-            _present(sensor) & number.isNull(),
-            F.concat(F.lit(f"Invalid numeric value for {sensor}: "), _text(sensor)),
-        ),
-        F.when(number < low, F.concat(F.lit(f"{sensor} below minimum: "), number, F.lit(f" < {low}"))),
-        F.when(number > high, F.concat(F.lit(f"{sensor} above maximum: "), number, F.lit(f" > {high}"))),
+        f"CASE WHEN _{sensor}_type <> 'VOID' AND {number} IS NULL "
+        f"THEN concat('Invalid numeric value for {sensor}: ', _{sensor}_text) END",
+        f"CASE WHEN {number} < {low}D THEN concat('{sensor} below minimum: ', {number}, ' < {low}') END",
+        f"CASE WHEN {number} > {high}D THEN concat('{sensor} above maximum: ', {number}, ' > {high}') END",
     ]
 
 
@@ -116,54 +95,49 @@ def validate_all(parsed: DataFrame, as_of: Column | None = None) -> DataFrame:
     """
     if as_of is None:
         as_of = F.col("arrival_ts") if "arrival_ts" in parsed.columns else F.current_timestamp()
-    records = parsed.drop("route")
-    kept = [c for c in records.columns if c != "record"]
+    kept = [c for c in parsed.columns if c not in ("record", "route")]
 
+    texts = [f"_texts.{f} AS _{f}_text" for f in REQUIRED_FIELDS]
     steps = compute_once(
-        records,
-        _shape=F.schema_of_variant("record"),
-        _texts=F.from_json("message", _TEXTS_SCHEMA),
-    )
-    steps = compute_once(
-        steps.select("*", *[F.col("_texts")[f].alias(f"_{f}_text") for f in REQUIRED_FIELDS]),
-        _usual=F.col("_shape").rlike(_USUAL_SHAPE),
-    )
+        parsed.drop("route").withColumn("_as_of", as_of),
+        _shape="schema_of_variant(record)",
+        _texts=f"from_json(message, '{_TEXTS_SCHEMA}')",
+    ).selectExpr(*kept, "record", "_as_of", f"_shape rlike r'{_USUAL_SHAPE}' AS _usual", *texts)
     steps = compute_once(steps, **{f"_{f}_type": _member_type(f) for f in REQUIRED_FIELDS})
-    time_text = F.when(_type("event_timestamp") == "STRING", _text("event_timestamp"))
+    time_text = "CASE WHEN _event_timestamp_type = 'STRING' THEN _event_timestamp_text END"
     steps = compute_once(
         steps,
-        _event_id_stripped=strip(_text("event_id")),
-        _device_id_stripped=strip(_text("device_id")),
+        _event_id_stripped=strip("_event_id_text"),
+        _device_id_stripped=strip("_device_id_text"),
         _time_text=time_text,
-        **{f"_{s}_number": json_double(_text(s), _type(s)) for s in SENSORS},
+        **{f"_{s}_number": json_double(f"_{s}_text", f"_{s}_type") for s in SENSORS},
     )
-    steps = compute_once(steps, _time_parts=iso_parts(F.col("_time_text")))
-    steps = compute_once(steps, _event_time=iso_timestamp(F.col("_time_text"), F.col("_time_parts")))
-    checks = steps
-    for group, rules in (
-        ("_presence", [_presence_error(f) for f in REQUIRED_FIELDS]),
-        ("_ids", [_id_error("event_id"), _id_error("device_id", charset=r"^[A-Za-z0-9_-]+$")]),
-        ("_time", [_timestamp_error(as_of)]),
-        *[(f"_{s}_range", _sensor_errors(s)) for s in SENSORS],
-    ):
-        checks = compute_once(checks, **{group: F.array(*rules)})
-    groups = ["_presence", "_ids", "_time", *[f"_{s}_range" for s in SENSORS]]
+    steps = compute_once(steps, _time_parts=iso_parts("_time_text"))
+    steps = compute_once(steps, _event_time=iso_timestamp("_time_text", "_time_parts"))
+    ids = [_id_error("event_id"), _id_error("device_id", charset="^[A-Za-z0-9_-]+$")]
+    groups = {
+        "_presence": [_presence_error(f) for f in REQUIRED_FIELDS],
+        "_identity": [*ids, _timestamp_error()],
+        "_ranges": [e for s in SENSORS for e in _sensor_errors(s)],
+    }
+    for name, rules in groups.items():
+        steps = compute_once(steps, **{name: f"array({', '.join(rules)})"})
     # Error texts differ by rule, so taking NULL away as a set keeps all of them, in order.
-    no_error = F.array(F.lit(None).cast("string"))
-    errors = F.when(
-        F.col("message").rlike(r"^[ \t\r\n]*\{"),
-        F.array_except(F.concat(*groups), no_error),
-    ).otherwise(F.array(F.lit(NOT_AN_OBJECT)))
+    errors = (
+        r"CASE WHEN record IS NULL THEN NULL WHEN message rlike r'^[ \t\r\n]*\{' "
+        f"THEN array_except(concat({', '.join(groups)}), array(cast(null as string))) "
+        f"ELSE array('{NOT_AN_OBJECT}') END"
+    )
     checked = compute_once(
-        checks,
-        event_id=_text("event_id"),
-        device_id=_text("device_id"),
-        event_timestamp=F.col("_event_time"),
-        **{s: F.col(f"_{s}_number") for s in SENSORS},
-        errors=F.when(F.col("record").isNotNull(), errors),
-    ).select(*kept, *REQUIRED_FIELDS, "errors")
-    route = F.when(F.col("errors").isNull(), "unparsed").when(F.size("errors") == 0, "valid").otherwise("invalid")
-    return checked.withColumn("route", route)
+        steps,
+        event_id="_event_id_text",
+        device_id="_device_id_text",
+        event_timestamp="_event_time",
+        **{s: f"_{s}_number" for s in SENSORS},
+        errors=errors,
+    )
+    route = "CASE WHEN errors IS NULL THEN 'unparsed' WHEN size(errors) = 0 THEN 'valid' ELSE 'invalid' END"
+    return checked.selectExpr(*kept, *REQUIRED_FIELDS, "errors", f"{route} AS route")
 
 
 def telemetry(validated: DataFrame) -> DataFrame:

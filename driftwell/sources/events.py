@@ -84,71 +84,55 @@ def _schedule(spark: SparkSession) -> DataFrame:
 
 def messages(events: DataFrame) -> DataFrame:
     """``value`` bytes with ``arrival_ts`` and ``arrival_seq``. A map over ``events``: no shuffle."""
-    n = F.col("n")
-    quarter = F.lit(0.25).cast("double")
-    numbered = events.select(
-        F.col("event_id").alias("n"),
-        (F.col("event_id") % 100).alias("k"),
-        (F.floor(F.col("event_id") / 1000) % 2 == 0).alias("faulty"),
-        F.concat(F.lit("device-"), F.lpad((F.col("user_id") % 20).cast("string"), 3, "0")).alias("device"),
+    numbered = events.selectExpr(
+        "event_id AS n",
+        "event_id % 100 AS k",
+        "event_id div 1000 % 2 = 0 AS faulty",
+        "concat('device-', lpad(cast(user_id % 20 as string), 3, '0')) AS device",
     )
     copies = numbered.join(F.broadcast(_schedule(events.sparkSession)), "k")
 
-    def reading(name, value):
-        text = value.cast("string")
-        shown = F.when(F.col("other"), _quoted(text)).otherwise(text)
-        if name == "temperature":
-            shown = F.when(F.col("shape") == "quoted_temperature", _quoted(text)).otherwise(shown)
-        return F.coalesce(F.col(f"{name}_fault"), shown).alias(name)
-
     # Nothing is faulty in every other block.
-    active = copies.select(
-        *numbered.columns,
-        "copy",
-        "delay",
-        "warmer",
-        "other",
-        *[F.when(F.col("faulty"), F.col(c)).alias(c) for c in ("shape", *[f"{t}_fault" for t in _TEXTS])],
+    faults = [f"CASE WHEN faulty THEN {c} END AS {c}" for c in ("shape", *[f"{t}_fault" for t in _TEXTS])]
+    active = copies.selectExpr(
+        "n", "copy", "delay", "warmer", "other", "device", "timestamp_seconds(1704067200 + n) AS event_time", *faults
     )
-    clock = active.withColumn("event_time", F.timestamp_seconds(F.lit(1704067200) + n))
-    stamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")
-    zone = F.when(F.col("shape") == "naive", "").when(F.col("other"), "+00:00").otherwise("Z")
-    fields = clock.select(
+    zone = "CASE WHEN shape = 'naive' THEN '' WHEN other THEN '+00:00' ELSE 'Z' END"
+    stamp = "date_format(event_time, \"yyyy-MM-dd'T'HH:mm:ss\")"
+    fields = active.selectExpr(
         "n", "copy", "delay", "event_time", "shape",
-        F.coalesce("event_id_fault", _quoted(F.concat(F.lit("evt-"), n))).alias("event_id"),
-        F.coalesce("device_id_fault", _quoted(F.col("device"))).alias("device_id"),
-        F.coalesce("event_timestamp_fault", _quoted(F.concat(stamp, zone))).alias("event_timestamp"),
-        reading("temperature", 20 + (n * 7 % 81) * quarter + F.col("warmer")),
-        reading("humidity", 30 + (n * 11 % 201) * quarter),
-        reading("pressure", 990 + (n * 13 % 161) * quarter),
-        reading("battery_level", 20 + (n * 17 % 321) * quarter),
+        f"coalesce(event_id_fault, {_quoted("concat('evt-', n)")}) AS event_id",
+        f"coalesce(device_id_fault, {_quoted('device')}) AS device_id",
+        f"coalesce(event_timestamp_fault, {_quoted(f'concat({stamp}, {zone})')}) AS event_timestamp",
+        _reading("temperature", "20 + (n * 7 % 81) * 0.25D + warmer", "other OR coalesce(shape, '') = 'quoted_temperature'"),
+        _reading("humidity", "30 + (n * 11 % 201) * 0.25D"),
+        _reading("pressure", "990 + (n * 13 % 161) * 0.25D"),
+        _reading("battery_level", "20 + (n * 17 % 321) * 0.25D"),
     )
     return compute_once(
         fields,
-        value=_message_text().cast("binary"),
-        arrival_ts=F.timestamp_seconds(F.unix_seconds("event_time") + n % 5 + F.col("delay")),
-        arrival_seq=n * 10 + F.col("copy"),
+        value=f"cast({_message_text()} as binary)",
+        arrival_ts="timestamp_seconds(unix_seconds(event_time) + n % 5 + delay)",
+        arrival_seq="n * 10 + copy",
     ).select("value", "arrival_ts", "arrival_seq")
 
 
-def _quoted(text: Column) -> Column:
-    return F.concat(F.lit('"'), text, F.lit('"'))
+def _quoted(text: str) -> str:
+    return f"""concat('"', {text}, '"')"""
 
 
-def _message_text() -> Column:
-    shape = F.coalesce("shape", F.lit(""))
+def _reading(name: str, value: str, as_text: str = "other") -> str:
+    text = f"cast({value} as string)"
+    return f"coalesce({name}_fault, if({as_text}, {_quoted(text)}, {text})) AS {name}"
 
-    def member(name):
-        return F.concat(F.lit(f'"{name}": '), F.col(name))
 
-    shown = [
-        F.when(shape != "no_pressure", member(name)) if name == "pressure" else member(name) for name in _TEXTS
-    ]
-    body = F.concat(F.lit("{"), F.concat_ws(", ", *shown))
+def _message_text() -> str:
+    shown = [f"""concat('"{name}": ', {name})""" for name in _TEXTS]
+    at = _TEXTS.index("pressure")
+    shown[at] = f"CASE WHEN coalesce(shape, '') <> 'no_pressure' THEN {shown[at]} END"
+    body = f"concat('{{', concat_ws(', ', {', '.join(shown)}))"
     return (
-        F.when(shape == "truncated", body)
-        .when(shape == "not_object", "[1]")
-        .when(shape == "trailing", F.concat(body, F.lit("} x")))
-        .when(shape == "bom", F.concat(F.lit("﻿"), body, F.lit("}")))
-        .otherwise(F.concat(body, F.lit("}")))
+        f"CASE coalesce(shape, '') WHEN 'truncated' THEN {body} WHEN 'not_object' THEN '[1]' "
+        f"WHEN 'trailing' THEN concat({body}, '}} x') WHEN 'bom' THEN concat('\\ufeff', {body}, '}}') "
+        f"ELSE concat({body}, '}}') END"
     )
