@@ -17,24 +17,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftwell.config import CONFLICT_TTL_SECONDS, FOLD_COPIES
-from driftwell.operators.salting import every_salt, row_salt
+from driftwell.operators.copies import Copies
+from driftwell.operators.salting import every_salt, row_salt, salts_for
 from driftwell.session import materialize
 
 _BUCKET_MICROS = CONFLICT_TTL_SECONDS * 1_000_000
 _SLICE_WIDTHS = [1_000_000, 3600 * 1_000_000, None]
 
 
-def admit(rows: DataFrame, most_copies: int, fold_copies: int = FOLD_COPIES) -> DataFrame:
-    """``rows`` of repeated ids plus ``holder_hash`` and ``admitted``.
+def admit(rows: DataFrame, copies: Copies, fold_copies: int = FOLD_COPIES) -> DataFrame:
+    """``rows`` of the repeated ids in ``copies`` plus ``holder_hash`` and ``admitted``.
 
-    Needs the row id, ``payload_hash``, ``expires_at``, ``copies`` and ``salts``. A remembered holder
+    Needs the row id, ``payload_hash``, ``expires_at`` and ``copies``. A remembered holder
     of an earlier batch is a row with ``memory`` set: it comes first and is not returned.
     ``holder_hash`` is the hash of the holder a row is held by; an admitted row has its own.
     """
     few = _fold(rows.filter(F.col("copies") <= fold_copies))
-    if most_copies <= fold_copies:
+    if copies.most <= fold_copies:
         return few
-    return few.unionByName(_resolve_large(rows.filter(F.col("copies") > fold_copies)))
+    return few.unionByName(_resolve_large(rows.filter(F.col("copies") > fold_copies), copies))
 
 
 # -- ids with few copies -------------------------------------------------------------------------
@@ -90,55 +91,61 @@ def _fold(rows: DataFrame) -> DataFrame:
 # -- ids with many copies ------------------------------------------------------------------------
 
 
-def _resolve_large(rows: DataFrame) -> DataFrame:
-    holders = _holders(rows)
-    real = rows.filter(F.col("memory").isNull())
-    last = rows.groupBy("event_id", "salts").agg(F.max("arrival_ts").alias("last_arrival"))
-    # Holders are few per id and time, so this side is small; each is repeated per salt and bucket.
-    spans = (
-        holders.join(last, "event_id")
-        .filter(F.col("holder.at").isNotNull())
-        .select(
-            "event_id",
-            "salts",
-            F.col("holder.at").alias("from_ts"),
-            F.col("holder.seq").alias("from_seq"),
-            F.col("holder.until").alias("until"),
-            F.col("holder.hash").alias("holder_hash"),
-            F.explode(
-                F.sequence(
-                    F.expr(f"unix_micros(holder.at) div {_BUCKET_MICROS}"),
-                    F.greatest(
-                        F.expr(f"unix_micros(least(holder.until, last_arrival)) div {_BUCKET_MICROS}"),
-                        F.expr(f"unix_micros(holder.at) div {_BUCKET_MICROS}"),
-                    ),
-                )
-            ).alias("bucket"),
-        )
-        .select("*", every_salt())
-        .drop("salts")
+def _resolve_large(rows: DataFrame, copies: Copies) -> DataFrame:
+    first_bucket = F.expr(f"unix_micros(holder.at) div {_BUCKET_MICROS}")
+    last_bucket = F.expr(f"unix_micros(least(holder.until, last_arrival)) div {_BUCKET_MICROS}")
+    last = rows.groupBy("event_id").agg(F.max("arrival_ts").alias("last_arrival"))
+    # Holders are few per id and time. Each stands in every bucket it reaches that can have rows.
+    spans = _holders(rows).join(last, "event_id").select(
+        "event_id",
+        F.col("holder.at").alias("from_ts"),
+        F.col("holder.seq").alias("from_seq"),
+        F.col("holder.until").alias("until"),
+        F.col("holder.hash").alias("holder_hash"),
+        F.explode(F.sequence(first_bucket, F.greatest(first_bucket, last_bucket))).alias("bucket"),
     )
-    placed = real.select(
-        "*", row_salt("arrival_ts", "arrival_seq"), F.expr(f"unix_micros(arrival_ts) div {_BUCKET_MICROS}").alias("bucket")
-    ).alias("r")
-    spans = spans.alias("s")
-    # Spans of one id never overlap, so a row meets at most one.
-    at_or_after = (F.col("r.arrival_ts") > F.col("s.from_ts")) | (
-        (F.col("r.arrival_ts") == F.col("s.from_ts")) & (F.col("r.arrival_seq") >= F.col("s.from_seq"))
+    bucket = F.expr(f"unix_micros(arrival_ts) div {_BUCKET_MICROS}").alias("bucket")
+    placed = rows.filter(F.col("memory").isNull()).drop("salts").select("*", bucket)
+    placed, spans = _salt_hot_buckets(placed, spans, copies)
+    placed, spans = placed.alias("r"), spans.alias("s")
+    is_holder = (F.col("r.arrival_ts") == F.col("s.from_ts")) & (F.col("r.arrival_seq") == F.col("s.from_seq"))
+    at_or_after = is_holder | (F.col("r.arrival_ts") > F.col("s.from_ts")) | (
+        (F.col("r.arrival_ts") == F.col("s.from_ts")) & (F.col("r.arrival_seq") > F.col("s.from_seq"))
     )
+    # Spans of one id never overlap, so a row meets at most one.
     on = (
         (F.col("r.event_id") == F.col("s.event_id"))
-        & (F.col("r.salt") == F.col("s.salt"))
         & (F.col("r.bucket") == F.col("s.bucket"))
+        & (F.col("r.salt") == F.col("s.salt"))
         & at_or_after
         & (F.col("r.arrival_ts") < F.col("s.until"))
     )
-    is_holder = (F.col("r.arrival_ts") == F.col("s.from_ts")) & (F.col("r.arrival_seq") == F.col("s.from_seq"))
-    return placed.join(spans, on, "left").select(
-        *[F.col(f"r.{c}").alias(c) for c in rows.columns],
+    found = placed.join(spans, on, "left").select(
+        "r.*",
         F.coalesce("s.holder_hash", "r.payload_hash").alias("holder_hash"),
         (F.col("s.from_ts").isNull() | is_holder).alias("admitted"),
     )
+    return found.withColumn("salts", salts_for(F.col("copies"), copies.hot_rows)).drop("bucket", "salt")
+
+
+def _salt_hot_buckets(placed: DataFrame, spans: DataFrame, copies: Copies) -> tuple[DataFrame, DataFrame]:
+    """A ``salt`` on both sides, above 0 only for buckets of one id with more rows than a salt holds.
+
+    Like hot ids, such buckets number at most 10,000, which bounds the broadcast.
+    """
+    if copies.most <= copies.hot_rows:
+        return placed.withColumn("salt", F.lit(0)), spans.withColumn("salt", F.lit(0))
+    counted = placed.groupBy("event_id", "bucket").agg(F.count("*").alias("rows"))
+    hot = counted.filter(F.col("rows") > copies.hot_rows).select(
+        "event_id", "bucket", salts_for(F.col("rows"), copies.hot_rows).alias("salts")
+    )
+    hot = F.broadcast(materialize(hot, "hot-buckets"))
+
+    def with_salts(df):
+        return df.join(hot, ["event_id", "bucket"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+
+    placed = with_salts(placed).select("*", row_salt("arrival_ts", "arrival_seq")).drop("salts")
+    return placed, with_salts(spans).select("*", every_salt()).drop("salts")
 
 
 def _holders(rows: DataFrame) -> DataFrame:

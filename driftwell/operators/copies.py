@@ -26,10 +26,11 @@ CONFLICT_MEMORY, DEDUP_MEMORY, REGISTRY_MEMORY = "conflict", "dedup", "registry"
 
 @dataclass
 class Copies:
-    """``rows``: narrow rows of repeated ids with ``copies`` and ``salts``; the largest count."""
+    """Narrow rows of repeated ids with ``copies`` and ``salts``; the largest count; the size of a salt."""
 
     rows: DataFrame
     most: int
+    hot_rows: int
 
 
 def narrow_rows(records: DataFrame) -> DataFrame:
@@ -75,4 +76,4 @@ def find_copies(rows: DataFrame, hot_rows: int = HOT_ROWS) -> Copies:
             .drop("salts")
         )
         found = salted.join(repeated.select("*", every_salt()), ["event_id", "salt"]).drop("salt")
-    return Copies(materialize(found, "copies"), most)
+    return Copies(materialize(found, "copies"), most, hot_rows)

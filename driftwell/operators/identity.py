@@ -80,11 +80,11 @@ def _of_stage(copies: Copies, memory: str) -> DataFrame:
 
 def check_conflicts(copies: Copies, fold_copies: int = FOLD_COPIES) -> DataFrame:
     rows = with_conflict_expiry(_of_stage(copies, CONFLICT_MEMORY))
-    return admit(rows, copies.most, fold_copies)
+    return admit(rows, copies, fold_copies)
 
 
-def check_duplicates(rows: DataFrame, most: int, fold_copies: int = FOLD_COPIES) -> DataFrame:
-    return admit(with_dedup_expiry(rows), most, fold_copies)
+def check_duplicates(rows: DataFrame, copies: Copies, fold_copies: int = FOLD_COPIES) -> DataFrame:
+    return admit(with_dedup_expiry(rows), copies, fold_copies)
 
 
 def detect_conflicts(records: DataFrame, fold_copies: int = FOLD_COPIES, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -109,7 +109,7 @@ def detect_conflicts(records: DataFrame, fold_copies: int = FOLD_COPIES, hot_row
 def deduplicate(records: DataFrame, fold_copies: int = FOLD_COPIES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The first row per event id, and again after its event time is ten minutes past."""
     copies = find_copies(narrow_rows(records), hot_rows)
-    checked = check_duplicates(copies.rows, copies.most, fold_copies)
+    checked = check_duplicates(copies.rows, copies, fold_copies)
     return records.join(checked.filter(~F.col("admitted")).select(*ROW_ID), ROW_ID, "left_anti")
 
 
@@ -182,7 +182,7 @@ def _verdicts(copies: Copies, fold_copies: int) -> DataFrame:
     clean = checked.filter(~conflicting).withColumn("conflict_holder", F.col("admitted"))
     clean = clean.drop("holder_hash", "admitted").withColumn("expires_at", F.lit(None).cast("timestamp"))
     memory = copies.rows.filter(F.col("memory") == DEDUP_MEMORY).withColumn("conflict_holder", F.lit(False))
-    kept = check_duplicates(clean.unionByName(memory), copies.most, fold_copies)
+    kept = check_duplicates(clean.unionByName(memory), copies, fold_copies)
     duplicates = kept.filter(~F.col("admitted")).select(
         *ROW_ID, F.lit(DUPLICATE).alias("route"), "conflict_holder", F.lit(False).alias("dedup_holder")
     )

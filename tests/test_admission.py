@@ -81,7 +81,7 @@ def test_admission_equals_a_loop(spark, seed, fold_copies, hot_rows):
     copies = find_copies(rows, hot_rows)
     for check, expiry in (
         (lambda: check_conflicts(copies, fold_copies), conflict_expiry),
-        (lambda: check_duplicates(copies.rows, copies.most, fold_copies), dedup_expiry),
+        (lambda: check_duplicates(copies.rows, copies, fold_copies), dedup_expiry),
     ):
         got = {r.arrival_seq: (r.holder_hash, r.admitted) for r in check().collect()}
         assert got == repeated_only(records, loop(records, expiry))
@@ -118,7 +118,7 @@ def test_one_id_with_a_third_of_all_rows(spark):
     rng = random.Random(5)
     hot = [record("hot", i * 0.7 + rng.random() * 0.5, i, f"h{i % 5}", 0) for i in range(4000)]
     cold = [record(f"c{i}", i, 4000 + i, "h", i) for i in range(8000)]
-    found = detect_conflicts(spark.createDataFrame(hot + cold, SCHEMA), hot_rows=500)
+    found = detect_conflicts(spark.createDataFrame(hot + cold, SCHEMA), hot_rows=100)
     want = loop(hot + cold, conflict_expiry)
     want = {r[8]: "clean" if want[r[8]][0] == r[9] else "conflict" for r in hot + cold}
     assert {r.arrival_seq: r.route for r in found.select("arrival_seq", "route").collect()} == want
