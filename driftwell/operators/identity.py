@@ -29,6 +29,7 @@ from driftwell.operators.copies import (
 )
 from driftwell.operators.salting import every_salt, row_salt
 from driftwell.schemas import REGISTRY
+from driftwell.session import materialize
 
 SHORT_CONFLICT, DUPLICATE, NEW, REPLAY, CONFLICT = "short_conflict", "duplicate", "new", "replay", "conflict"
 
@@ -170,25 +171,32 @@ def decide_identity(
 
 def _verdicts(copies: Copies, fold_copies: int) -> DataFrame:
     """Row id, ``route``, ``registered_hash`` and ``registered_first_seen_at`` of every copy."""
-    checked = check_conflicts(copies, fold_copies)
-    conflicting = F.col("holder_hash") != F.col("payload_hash")
-    conflicts = checked.filter(conflicting).select(
+    checked = (
+        check_conflicts(copies, fold_copies)
+        .withColumn("conflicting", F.col("holder_hash") != F.col("payload_hash"))
+        .withColumn("conflict_hash", F.when(F.col("conflicting"), F.col("holder_hash")))
+        .withColumn("conflict_holder", F.col("admitted"))
+        # A conflict takes no part in deduplication: expired on arrival, it holds nothing back.
+        .withColumn("expires_at", F.when(F.col("conflicting"), F.col("arrival_ts")))
+        .drop("holder_hash", "admitted")
+    )
+    if copies.most > fold_copies:
+        checked = materialize(checked, "conflicts-checked")  # the distributed path reads it several times
+    memory = copies.rows.filter(F.col("memory") == DEDUP_MEMORY)
+    kept = materialize(
+        check_duplicates(checked.unionByName(memory, allowMissingColumns=True), copies, fold_copies),
+        "duplicates-checked",
+    )
+    stopped = kept.filter("conflicting OR NOT admitted").select(
         *ROW_ID,
-        F.lit(SHORT_CONFLICT).alias("route"),
-        F.col("holder_hash").alias("registered_hash"),
-        F.lit(False).alias("conflict_holder"),
+        F.when(F.col("conflicting"), SHORT_CONFLICT).otherwise(DUPLICATE).alias("route"),
+        F.col("conflict_hash").alias("registered_hash"),
+        "conflict_holder",
         F.lit(False).alias("dedup_holder"),
     )
-    clean = checked.filter(~conflicting).withColumn("conflict_holder", F.col("admitted"))
-    clean = clean.drop("holder_hash", "admitted").withColumn("expires_at", F.lit(None).cast("timestamp"))
-    memory = copies.rows.filter(F.col("memory") == DEDUP_MEMORY).withColumn("conflict_holder", F.lit(False))
-    kept = check_duplicates(clean.unionByName(memory), copies, fold_copies)
-    duplicates = kept.filter(~F.col("admitted")).select(
-        *ROW_ID, F.lit(DUPLICATE).alias("route"), "conflict_holder", F.lit(False).alias("dedup_holder")
-    )
     registered = copies.rows.filter(F.col("memory") == REGISTRY_MEMORY)
-    decided = _decide(kept.filter("admitted"), registered)
-    return conflicts.unionByName(duplicates, True).unionByName(decided, True)
+    decided = _decide(kept.filter("admitted AND NOT conflicting"), registered)
+    return stopped.unionByName(decided, allowMissingColumns=True)
 
 
 def _decide(kept: DataFrame, registered: DataFrame) -> DataFrame:
