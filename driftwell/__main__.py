@@ -7,7 +7,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from driftwell.session import configure
-from driftwell.sources.streams import file_messages, kafka_messages, silver_stream
+from driftwell.sources.streams import (
+    dead_letters_to_kafka,
+    file_messages,
+    kafka_messages,
+    silver_stream,
+)
 from driftwell.sources.tables import Tables
 from driftwell.streaming.ingest import start_ingest
 from driftwell.streaming.windows import start_gold
@@ -19,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     options.add_argument("--path", help="folder of message files")
     options.add_argument("--servers", help="Kafka bootstrap servers")
     options.add_argument("--topic", help="Kafka topic")
+    options.add_argument("--dead-letter-topic", help="Kafka topic that also gets the quarantine messages")
     options.add_argument("--root", required=True, help="folder of the result tables")
     options.add_argument("--checkpoints", required=True, help="folder of the stream checkpoints")
     options.add_argument("--once", action="store_true", help="process what is there, then stop")
@@ -32,7 +38,15 @@ def main(argv: list[str] | None = None) -> None:
     else:
         messages = file_messages(spark, chosen.path)
     trigger = {"availableNow": True} if chosen.once else {"processingTime": "1 minute"}
-    ingest = start_ingest(messages, tables, f"{chosen.checkpoints}/ingest", debug=chosen.debug, **trigger)
+    send = dead_letters_to_kafka(chosen.servers, chosen.dead_letter_topic) if chosen.dead_letter_topic else None
+    ingest = start_ingest(
+        messages,
+        tables,
+        f"{chosen.checkpoints}/ingest",
+        debug=chosen.debug,
+        send_dead_letters=send,
+        **trigger,
+    )
     if chosen.once:
         ingest.awaitTermination()
     gold = start_gold(silver_stream(spark, tables.path("silver")), tables, f"{chosen.checkpoints}/gold", **trigger)

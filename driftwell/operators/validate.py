@@ -38,6 +38,9 @@ def _member_type(field: str) -> str:
     return f"if(_usual, {usual}, schema_of_variant(try_variant_get(record, '$.{field}', 'variant')))"
 
 
+# The error texts below are part of the contract.
+
+
 def _presence_error(field: str) -> str:
     kind = f"_{field}_type"
     null_error = "" if field in SENSORS else f" WHEN {kind} = 'VOID' THEN 'Null required field: {field}'"

@@ -33,3 +33,13 @@ def kafka_messages(
 def silver_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     rows = spark.readStream.schema(SILVER).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     return rows.select(*SILVER.names)
+
+
+def dead_letters_to_kafka(servers: str, topic: str):
+    """A ``send_dead_letters`` for ``process_batch`` and ``start_ingest``."""
+
+    def send(letters: DataFrame) -> None:
+        writer = letters.select("value").write.format("kafka")
+        writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+    return send

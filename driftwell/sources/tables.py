@@ -93,8 +93,38 @@ class Tables:
         return self._read(name, self.path(name))
 
     def before(self, name: str, batch_id: int) -> DataFrame:
-        """What earlier batches wrote; rows of the batch itself, from a failed attempt, are left out."""
-        return self._read(name, self.path(name)).filter(F.col("batch_id") < batch_id)
+        """What earlier batches wrote; rows of the batch itself, from a failed attempt, are left out.
+
+        A merged copy, where there is one, stands for all parts up to its own number.
+        """
+        merged = self._merged(name, batch_id)
+        after = -1 if merged is None else merged
+        parts = [self._batch_path(name, b) for b in self._batches(name) if after < b < batch_id]
+        if merged is not None:
+            parts.append(self._batch_path(f"{name}_merged", merged))
+        schema = SCHEMAS[name]
+        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
+
+    def merge_before(self, name: str, batch_id: int, *order: str) -> None:
+        """Maintenance: rewrite all parts below ``batch_id`` as one copy, sorted by ``order``.
+
+        The parts are removed only once the copy is complete, and readers prefer a complete copy, so
+        this can stop at any point and be repeated. Run it between batches.
+        """
+        merged, last = f"{name}_merged", batch_id - 1
+        make_folder(self.spark, self.path(merged))
+        if not self.written(merged, last):
+            rows = self.before(name, batch_id)
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            rows.write.mode("overwrite").parquet(self._batch_path(merged, last))
+        self.forget_before(name, batch_id)
+        self.forget_before(merged, last)
+
+    def _merged(self, name: str, batch_id: int) -> int | None:
+        if not exists(self.spark, self.path(f"{name}_merged")):
+            return None
+        found = [b for b in self._batches(f"{name}_merged") if b < batch_id and self.written(f"{name}_merged", b)]
+        return max(found, default=None)
 
     def latest_before(self, name: str, batch_id: int) -> DataFrame | None:
         """The newest finished part older than this batch, for tables rewritten by every batch."""

@@ -7,6 +7,7 @@ two ten-minute stages, rewritten by every batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -20,19 +21,29 @@ from driftwell.plans.flow import TelemetryFlow, identity_routes, message_routes
 from driftwell.session import configure, materialize, scratch
 from driftwell.sources.tables import Tables
 
-# The last table of a batch marks it as done, since the gold stream reads it.
+# The last table of a batch marks it as done, since the gold stream reads it.
 LAST_TABLE = "silver"
 
 
 def process_batch(
-    messages: DataFrame, batch_id: int, tables: Tables, as_of: Column | None = None, debug: bool = False
+    messages: DataFrame,
+    batch_id: int,
+    tables: Tables,
+    as_of: Column | None = None,
+    debug: bool = False,
+    send_dead_letters: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Run every stage on ``messages`` and write all result tables; safe to repeat."""
+    """Run every stage on ``messages`` and write all result tables; safe to repeat.
+
+    ``send_dead_letters`` passes the quarantine messages on, e.g. to a topic, at least once.
+    """
     if tables.written(LAST_TABLE, batch_id):
         return
     with scratch(messages.sparkSession):
         for name, rows in _outputs(messages, batch_id, tables, as_of, debug):
             tables.write(rows, name, batch_id)
+            if name == "dead_letters" and send_dead_letters is not None:
+                send_dead_letters(rows)
     tables.forget_before("short_term_memory", batch_id - 1)
 
 
@@ -78,14 +89,20 @@ def start_ingest(
     checkpoint: str,
     as_of: Column | None = None,
     debug: bool = False,
+    send_dead_letters: Callable[[DataFrame], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
     """``trigger`` as for ``writeStream.trigger``, e.g. ``availableNow=True``."""
     configure(messages.sparkSession)
     return (
         messages.writeStream.queryName("ingest")
-        .foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, tables, as_of, debug))
+        .foreachBatch(lambda batch, number: process_batch(batch, number, tables, as_of, debug, send_dead_letters))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )
+
+
+def merge_registry(tables: Tables, batch_id: int) -> None:
+    """Maintenance between batches: one sorted copy instead of a part for each batch below ``batch_id``."""
+    tables.merge_before("registry", batch_id, "bucket", "event_id")

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from driftwell.operators import gold, windows
 from driftwell.plans.flow import TelemetryFlow
 from driftwell.schemas import SILVER
+from driftwell.session import remove
 from driftwell.sources import events
 from driftwell.sources.streams import file_messages, silver_stream
 from driftwell.sources.tables import Tables
-from driftwell.streaming.ingest import process_batch, start_ingest
+from driftwell.streaming.ingest import merge_registry, process_batch, start_ingest
 from driftwell.streaming.windows import (
     arrival_counts_stream,
     latest_gold,
@@ -75,18 +76,22 @@ def test_repeated_batch_changes_nothing(spark, flow, tmp_path):
     names = ["raw_telemetry", "registry", "silver", "replays", "conflicts", "short_term_memory"]
     process_batch(flow.messages, 0, tables, events.as_of())
     before = {n: rows(tables.read(n)) for n in names}
+    registered = tables.before("registry", 1).collect()
+    sent = []
     # An attempt that died before its last table: everything else is there already.
-    from driftwell.session import remove
-
     remove(spark, f"{tables.path('silver')}/batch_id=0")
-    process_batch(flow.messages, 0, tables, events.as_of())
+    process_batch(flow.messages, 0, tables, events.as_of(), send_dead_letters=lambda df: sent.append(df.count()))
+    assert sent == [tables.read("dead_letters").count()]
     assert {n: rows(tables.read(n)) for n in names} == before
     process_batch(flow.messages, 0, tables, events.as_of())
     assert {n: rows(tables.read(n)) for n in names} == before
+    merge_registry(tables, 1)
+    assert rows(tables.before("registry", 1)) == rows(spark.createDataFrame(registered, tables.before("registry", 1).schema))
     # The same messages as another batch are replays or conflicts of the registered ones.
     process_batch(flow.messages, 1, tables, events.as_of())
     assert tables.read("silver").filter("batch_id = 1").count() == 0
     assert tables.read("replays").filter("batch_id = 1").count() > 0
+    assert tables.read("registry").count() == 0  # nothing new; the merged copy holds the rest
 
 
 def test_target_table_must_exist(spark, tmp_path):
