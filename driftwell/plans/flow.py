@@ -50,7 +50,11 @@ class TelemetryFlow:
 
     @cached_property
     def dead_letters(self) -> DataFrame:
-        return letters.dead_letters(self.parser_letters, self.validator_letters)
+        return self.letters_by_stage.select("value")
+
+    @cached_property
+    def letters_by_stage(self) -> DataFrame:
+        return letters.letters_by_stage(validate_all(self.parsed, self.as_of))
 
     @cached_property
     def telemetry(self) -> DataFrame:

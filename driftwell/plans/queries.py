@@ -84,10 +84,13 @@ def dlq_messages(f):
 
 @_query
 def dlq_by_stage(f):
-    stages = letters.parser_letter_text(f.parser_letters).withColumn("stage", F.lit("parser")).unionByName(
-        letters.validator_letter_text(f.validator_letters).withColumn("stage", F.lit("validator"))
-    )
-    return stages.groupBy("stage").agg(F.count("*").alias("letters"))
+    return f.letters_by_stage.groupBy("error_stage").agg(F.count("*").alias("letters"))
+
+
+@_query
+def dlq_union(f):
+    """Both kinds of letters made apart and put together again."""
+    return letters.dead_letters(f.parser_letters, f.validator_letters)
 
 
 @_query

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftwell.config import CONFLICT_TTL_SECONDS
-from driftwell.operators import dead_letters, identity, quality, windows
+from driftwell.operators import identity, quality, windows
+from driftwell.operators.dead_letters import letters_by_stage
 from driftwell.plans.debug import debug_outputs
 from driftwell.plans.flow import TelemetryFlow, identity_routes, message_routes
 from driftwell.session import configure, materialize, scratch
@@ -51,9 +52,7 @@ def _outputs(messages: DataFrame, batch_id: int, tables: Tables, as_of: Column |
     flow = TelemetryFlow(messages, as_of)
     checked, accepted = flow.checked, flow.accepted
     yield "raw_telemetry", accepted
-    yield "dead_letters", dead_letters.dead_letters(
-        dead_letters.unparsed_letters(checked), dead_letters.rejected_letters(checked)
-    )
+    yield "dead_letters", letters_by_stage(checked).select("value")
 
     remembered = tables.latest_before("short_term_memory", batch_id)
     registry = tables.before("registry", batch_id)

@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from driftwell.operators import gold, identity, quality, windows
 from driftwell.schemas import TELEMETRY
@@ -52,7 +53,7 @@ def test_late_rows_are_panes_of_their_own(spark):
     rows = spark.createDataFrame(
         [(*reading("d", s, float(s), 1.0, 1.0, 1.0), START + timedelta(seconds=arrival)) for s, arrival in
          ((1, 2), (2, 59), (3, 60), (4, 179), (5, 180))],
-        TELEMETRY.add("arrival_ts", "timestamp"),
+        StructType([*TELEMETRY.fields, StructField("arrival_ts", TimestampType())]),
     )
     panes = gold.gold_panes(windows.classify_lateness(windows.assign_window(rows))).collect()
     got = sorted((r.pane, r.late_event_id, r.event_count, r.avg_temperature) for r in panes if r.pane == "late")
