@@ -173,7 +173,11 @@ def identity_in_two_batches(f):
 
 @_query
 def registry_pairs(f):
-    """Every record paired with the registry row of its id seen earlier, if any, and classified."""
+    """Every record paired with the registry row of its id seen earlier, if any, and classified.
+
+    The registry is unique by id. The rows of a hot id are split by adaptive execution, which may cut
+    the left side of a left join, since nothing after the join needs them together.
+    """
     registry = identity.registry_rows(f.new).select(
         F.col("event_id").alias("registered_id"),
         F.col("payload_hash").alias("registered_hash"),

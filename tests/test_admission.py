@@ -12,6 +12,9 @@ from driftwell.operators.identity import (
     check_duplicates,
     decide_identity,
     detect_conflicts,
+    registry_bucket,
+    registry_rows,
+    short_term_memory,
 )
 
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -123,3 +126,21 @@ def test_one_id_with_a_third_of_all_rows(spark):
     want = {r[8]: "clean" if want[r[8]][0] == r[9] else "conflict" for r in hot + cold}
     assert {r.arrival_seq: r.route for r in found.select("arrival_seq", "route").collect()} == want
     assert found.filter(F.col("route") == "conflict").count() > 3000
+
+
+@pytest.mark.parametrize("fold_copies,hot_rows", [(256, 10**6), (3, 10)])
+def test_two_batches_equal_one(spark, fold_copies, hot_rows):
+    """What a batch leaves behind (registry and living holders) makes the next one decide alike."""
+    records = random_records(11)
+    arrivals = sorted(r[7] for r in records)
+    cut = arrivals[len(arrivals) // 3]
+    early = spark.createDataFrame([r for r in records if r[7] < cut], SCHEMA)
+    late = spark.createDataFrame([r for r in records if r[7] >= cut], SCHEMA)
+    sizes = {"fold_copies": fold_copies, "hot_rows": hot_rows}
+    first = decide_identity(early, **sizes)
+    registry = registry_rows(first.filter(F.col("route") == "new")).withColumn("bucket", registry_bucket())
+    remembered = short_term_memory(first, None, F.lit(cut))
+    assert remembered.count() > 0
+    second = decide_identity(late, registry, remembered, **sizes)
+    got = {r.arrival_seq: r.route for r in first.unionByName(second).collect()}
+    assert got == expected_routes(records)

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from driftwell.operators import gold, windows
+from driftwell.operators import gold, quality, windows
 from driftwell.plans.flow import TelemetryFlow
 from driftwell.schemas import SILVER
 from driftwell.session import remove
@@ -67,6 +67,8 @@ def test_stream_tables_equal_the_batch_flow(run, flow):
     assert tables.read("registry_history").count() == routes["new"]
     counted = tables.read("stage_counts").groupBy("stage", "route").agg(F.sum("events"))
     assert rows(counted) == rows(flow.stage_counts.groupBy("stage", "route").agg(F.sum("events")))
+    alert = quality.conflict_alert(tables.read("stage_counts"))
+    assert rows(alert) == rows(quality.conflict_alert(flow.stage_counts))
     per_device = tables.spark.read.parquet(tables.path("event_time_count_debug"))
     assert per_device.agg(F.sum("record_count")).first()[0] == flow.telemetry.count()
 
