@@ -64,26 +64,20 @@ def _route_sum(stage: str, *routes: str) -> Column:
     return F.coalesce(F.sum(F.when(wanted, F.col("events"))), F.lit(0))
 
 
-def sustained(evaluations: DataFrame) -> DataFrame:
-    """Adds ``firing``: the condition ``breached`` held at this and all five evaluations before.
+def sustained(evaluations: DataFrame, before: int, minutes: int) -> DataFrame:
+    """Adds ``firing``: ``breached`` held now and at the ``before`` evaluations, ``minutes`` apart, before.
 
-    A minute without data breaches nothing, so it interrupts a run.
+    A moment without data breaches nothing, so it interrupts a run. Every evaluation is handed to the
+    later ones it counts for, so the evaluations are made once and no join or global order is needed.
     """
-    covers = F.sequence(
-        F.col("window_end"),
-        F.expr(f"window_end + interval {SUSTAIN_MINUTES} minutes"),
-        F.expr("interval 1 minute"),
-    )
-    breaches = (
-        evaluations.filter("breached")
-        .select(F.explode(covers).alias("window_end"))
-        .groupBy("window_end")
-        .agg(F.count("*").alias("breaches"))
+    others = [c for c in evaluations.columns if c != "window_end"]
+    handed = evaluations.select("*", F.explode(F.sequence(F.lit(0), F.lit(before))).alias("back")).withColumn(
+        "window_end", F.expr(f"window_end + back * interval {minutes} minutes")
     )
-    return (
-        evaluations.join(breaches, "window_end", "left")
-        .withColumn("firing", F.coalesce(F.col("breaches") == SUSTAIN_MINUTES + 1, F.lit(False)))
-        .drop("breaches")
+    own = F.max(F.when(F.col("back") == 0, F.struct(*others))).alias("own")
+    met = handed.groupBy("window_end").agg(own, F.sum(F.col("breached").cast("int")).alias("breaches"))
+    return met.filter(F.col("own").isNotNull()).select(
+        "window_end", "own.*", (F.col("breaches") == before + 1).alias("firing")
     )
 
 
@@ -100,7 +94,8 @@ def invalid_rate_alert(counts: DataFrame) -> DataFrame:
             F.lit(100.0) * F.col("invalid_events") / F.nullif(F.col("valid_events") + F.col("invalid_events"), F.lit(0)),
         )
     )
-    return sustained(_breached(rates, F.col("invalid_percent") > INVALID_RATE_PERCENT))
+    breached = _breached(rates, F.col("invalid_percent") > INVALID_RATE_PERCENT)
+    return sustained(breached, before=SUSTAIN_MINUTES, minutes=1)
 
 
 def conflict_alert(counts: DataFrame) -> DataFrame:
@@ -154,13 +149,5 @@ def latency_p95_alert(measured: DataFrame) -> DataFrame:
     p95 = distinct.groupBy("window_end").agg(
         F.sum("n").alias("events"), F.expr("percentile(latency_ms, 0.95D, n)").alias("p95_ms")
     )
-    evaluated = _breached(p95, F.col("p95_ms") > LATENCY_P95_MS)
-    before = evaluated.select(
-        F.expr(f"window_end + interval {SUSTAIN_MINUTES} minutes").alias("window_end"),
-        F.col("breached").alias("breached_before"),
-    )
-    return (
-        evaluated.join(before, "window_end", "left")
-        .withColumn("firing", F.col("breached") & F.coalesce("breached_before", F.lit(False)))
-        .drop("breached_before")
-    )
+    breached = _breached(p95, F.col("p95_ms") > LATENCY_P95_MS)
+    return sustained(breached, before=1, minutes=SUSTAIN_MINUTES)
