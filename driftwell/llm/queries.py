@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import bpe, language, near_duplicates, token_counts
+from driftwell.llm import bpe, language, licenses, merkle, mixing, near_duplicates, token_counts, url_lists
 
 TOKEN_LIMIT = 512
 
@@ -63,5 +63,82 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), out="scan")
+    return found.select(
+        "doc_id",
+        F.size("scan.matches").cast("long").alias("n_matches"),
+        F.array_join("scan.licenses", ",").alias("licenses"),
+        F.col("scan.best").alias("best"),
+        F.col("scan.best_dice").alias("best_dice"),
+    )
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = merkle.edited_pairs(_table(spark, sf_dir, "documents"))
+    printed = pairs.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.inline(
+            F.array(
+                F.struct(
+                    merkle.fingerprint(F.col("text")).alias("fingerprint"),
+                    merkle.fingerprint(F.col("edited")).alias("edited_fingerprint"),
+                    merkle.fingerprint(F.col("next")).alias("next_fingerprint"),
+                )
+            )
+        ),
+    )
+    pieces = [merkle.piece_digests(F.col(c)).alias(n) for c, n in (("fingerprint", "own"), ("edited_fingerprint", "edited"), ("next_fingerprint", "next"))]
+    digests = printed.select("*", F.inline(F.array(F.struct(*pieces))))
+    return digests.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        merkle.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+        merkle.likeness(F.col("own"), F.col("next")).alias("near_next"),
+    )
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a time of fetch within 2024, drawn from the page's number."""
+    day = F.expr("make_dt_interval(cast(pmod(page_id * 7919, 366) AS int), 0, cast(pmod(page_id * 104729, 1440) AS int))")
+    return _table(spark, sf_dir, "pages").select("page_id", "url", (F.lit("2024-01-01 00:00:00").cast("timestamp") + day).alias("fetched_at"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries drawn from the hosts, domains and first path segments that ``pages`` has."""
+    named = pages.select(F.inline(url_lists.keys(F.col("url")))).select("key").distinct()
+    number = named.withColumn("n", F.conv(F.substring(F.md5(F.col("key").cast("binary")), 1, 6), 16, 10).cast("int"))
+
+    def entry(action: str, day) -> Column:
+        since = F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days=day)
+        return F.struct(F.lit(action).alias("action"), since.alias("since"))
+
+    n = F.col("n")
+    in_path = F.contains("key", F.lit("/"))
+    listed = (
+        F.when(in_path & (n % 5 == 0), F.array(entry("allow", n % 300)))
+        .when(~in_path & (n % 3 == 0), F.array(entry("block", n % 200), entry("remove", n % 200 + 60), entry("block", n % 200 + 150)))
+        .when(~in_path & (n % 3 == 1), F.array(entry("allow", n % 100), entry("block", n % 100 + 120)))
+    )
+    return number.select("key", F.inline(listed))
+
+
+def op9_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = captures(spark, sf_dir)
+    judged = url_lists.judge(pages, list_entries(pages.select("url")))
+    utc = F.to_timestamp_ntz(F.date_format("url_verdict.since", "yyyy-MM-dd HH:mm:ss"))
+    return judged.select("page_id", "url_verdict.verdict", "url_verdict.key", utc.alias("since"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op2_language, op4_minhash, op5_bpe, op7_token_counts)}
+    listed = (op1_licenses, op2_language, op3_fingerprints, op4_minhash, op5_bpe, op7_token_counts, op9_url_lists, op10_mixing)
+    return {query.__name__: query for query in listed}
