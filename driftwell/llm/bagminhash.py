@@ -93,3 +93,12 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
         for k in range(bits.shape[2]):
             keys = mix(keys ^ mix(bits[:, :, k] + U64(k + 1)))
     return keys
+
+
+def sketches(signature: np.ndarray, planes: int = 4) -> np.ndarray:
+    """(n, 2 * planes): four hashed bits of every register, bit by bit, half of the registers in a word."""
+    bits = mix(np.ascontiguousarray(signature).view(np.uint64))
+    half = bits.shape[1] // 2
+    powers = U64(1) << np.arange(half, dtype=np.uint64)
+    words = [((side >> U64(63 - p) & U64(1)) * powers).sum(axis=1, dtype=np.uint64) for side in (bits[:, :half], bits[:, half : 2 * half]) for p in range(planes)]
+    return np.stack(words, axis=1)

@@ -3,11 +3,14 @@
 1. Every text becomes its multiset of five-word shingles, its BagMinHash signature and band keys, in one
    pass (numpy in an Arrow UDF). Texts with equal word sequences are one *node*: copies, however many, are
    merged by a partial aggregate before anything else.
-2. Nodes that share a band key are candidates. Each bucket compares its members with one hub, not with
-   each other; the verified links are joined into components. Buckets whose members are then in several
-   components compare again with another hub; after ``HUB_ROUNDS`` such rounds, all pairs of members of
-   different components are compared, so that no candidate link between components is lost. Groups of
-   near copies are settled by the hubs, which leaves few pairs for the last step.
+2. Nodes that share a band key are candidates. Each bucket compares its members with one hub, its most
+   central member (the one with most company in all its buckets), not with each other; the verified links are
+   joined into components. Buckets whose members are then in several components compare again with a hub
+   of another component; after ``HUB_ROUNDS`` rounds, the pairs of members of different components are left,
+   so that no candidate link between components is lost. The join makes each of them once, in the first
+   bucket both share, and only if their signatures differ in at most ``MOST_DIFFERENT`` registers (four bits
+   of each are compared; 7 of 10,000 pairs at 0.8 differ in more). Groups of near copies are settled by the
+   hubs, which leaves few pairs for this step.
 3. A link counts if the exact weighted Jaccard similarity of the two whole texts is at least ``threshold``.
 
 Words are compared in lower case, by ASCII white space. Null and empty texts and texts of white space are
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.bagminhash import REGISTERS, band_keys, signatures
+from driftwell.llm.bagminhash import REGISTERS, band_keys, signatures, sketches
 from driftwell.llm.codes import runs
 from driftwell.llm.components import components
 from driftwell.llm.shingles import WORDS, multisets, shingle_hashes, text_keys, weighted_jaccard, word_hashes
@@ -34,23 +37,26 @@ from driftwell.session import materialize
 
 BANDS = 20
 THRESHOLD = 0.8
-HUB_ROUNDS = 3
+HUB_ROUNDS = 4
+MOST_DIFFERENT = 26  # of 80 registers; at a similarity of 0.8 they are 15 on average
 RUN_CHARS = 1 << 22
 HUB_ROWS = 2_000  # pairs of one hub that are verified in one place
 
 
 def _signed(df: DataFrame, text: str, words: int, bands: int) -> DataFrame:
-    """Adds ``signed``: struct of the text's two keys and its band keys (none for a text without words)."""
+    """Adds ``signed``: struct of the text's two keys, its band keys (none for a text without words) and sketch."""
 
-    @F.arrow_udf("struct<k1:long,k2:long,bands:array<long>>")
+    @F.arrow_udf("struct<k1:long,k2:long,bands:array<long>,sketch:array<long>>")
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            first, second, keys, counts = [], [], [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
+            first, second, keys, counts, shown = [], [], [np.empty(0, np.int64)], [np.zeros(1, np.int64)], [np.empty(0, np.int64)]
             for texts in runs(batch.to_pylist(), RUN_CHARS):
                 hashes, starts = word_hashes(texts)
                 k1, k2 = text_keys(hashes, starts)
                 owner, shingles, weights = multisets(*shingle_hashes(hashes, starts, words))
-                found = band_keys(signatures(owner, shingles, weights, len(texts), REGISTERS), bands).view(np.int64)
+                signature = signatures(owner, shingles, weights, len(texts), REGISTERS)
+                found = band_keys(signature, bands).view(np.int64)
+                shown.append(sketches(signature).view(np.int64).reshape(-1))
                 some = np.diff(starts) > 0
                 first.append(k1.view(np.int64))
                 second.append(k2.view(np.int64))
@@ -58,7 +64,9 @@ def _signed(df: DataFrame, text: str, words: int, bands: int) -> DataFrame:
                 counts.append(np.where(some, bands, 0))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(counts)).astype(np.int32)), pa.array(np.concatenate(keys)))
             none = np.empty(0, np.int64)
-            yield pa.StructArray.from_arrays([pa.array(np.concatenate([none, *first])), pa.array(np.concatenate([none, *second])), lists], names=["k1", "k2", "bands"])
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * len(batch) + 1, 8, dtype=np.int32)), pa.array(np.concatenate(shown)))
+            columns = [pa.array(np.concatenate([none, *first])), pa.array(np.concatenate([none, *second])), lists, sketch]
+            yield pa.StructArray.from_arrays(columns, names=["k1", "k2", "bands", "sketch"])
 
     return df.withColumn("signed", sign(F.col(text)))
 
@@ -88,6 +96,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, words: int)
     return both.filter(_similarity(words)("text_a", "text_b") >= threshold).select("a", "b")
 
 
+def _remaining(unsettled: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of different components, each from the first bucket that both are in."""
+    members = unsettled.join(nodes, "node")
+    left, right = (members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "bands", "sketch")]) for n in "ab")
+    planes = range(4)
+
+    def different(half: int) -> str:
+        return "bit_count(" + " | ".join(f"(sketch_a[{4 * half + p}] ^ sketch_b[{4 * half + p}])" for p in planes) + ")"
+
+    alike = F.expr(f"{different(0)} + {different(1)} <= {MOST_DIFFERENT}")
+    first_shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
+    met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & alike & first_shared
+    return left.join(right, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS
 ) -> DataFrame:
@@ -98,17 +121,21 @@ def near_duplicates(
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     own = own.withColumn("text_hash", F.xxhash64("text"))
     signed = _signed(own, "text", words, bands).select(
-        "doc_id", "text_hash", F.concat(F.hex("signed.k1"), F.lit("-"), F.hex("signed.k2")).alias("node"), "signed.bands"
+        "doc_id", "text_hash", F.concat(F.hex("signed.k1"), F.lit("-"), F.hex("signed.k2")).alias("node"), "signed.bands", "signed.sketch"
     )
     signed = materialize(signed, "signed")
     nodes = signed.groupBy("node").agg(
-        F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
+        F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     nodes = materialize(nodes, "nodes")
 
     buckets = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("key", "hub")
-    crowded = materialize(buckets.join(hubs, "key").select("key", "node", "hub"), "crowded")
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = materialize(buckets.join(sizes, "key"), "shared")
+    company = shared.groupBy("node").agg(F.sum("members").alias("company"))
+    placed = shared.select("key", "node").join(company, "node")
+    hubs = placed.groupBy("key").agg(F.max(F.struct("company", "node")).alias("top")).select("key", F.col("top.node").alias("hub"))
+    crowded = materialize(placed.join(hubs, "key").select("key", "node", "company", "hub"), "crowded")
 
     wanted = crowded.select("node").distinct().join(nodes, "node").select("node", "least.*")
     found = own.join(wanted.hint("shuffle_hash"), own.doc_id.eqNullSafe(wanted.doc_id) & (own.text_hash == wanted.text_hash))
@@ -116,19 +143,21 @@ def near_duplicates(
 
     links = materialize(_verified(crowded.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, threshold, words), "verified")
     joined = components(links)
+    own_component = F.coalesce("component", "node")
     for turn in range(1, HUB_ROUNDS + 1):
-        labelled = crowded.select("key", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("hub"))
-        split = split.filter("least <> most").select("key", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component"))
-        unsettled = materialize(labelled.join(split, "key"), "unsettled")
+        labelled = crowded.join(joined, "node", "left").select("key", "node", "company", own_component.alias("component"))
+        main = labelled.groupBy("key").agg(F.max(F.struct("company", "node", "component")).alias("main"), F.min("component").alias("least"), F.max("component").alias("most"))
+        main = main.filter("least <> most").select("key", F.col("main.component").alias("main"))
+        unsettled = materialize(labelled.join(main, "key"), "unsettled")
         if unsettled.isEmpty():
             break
         if turn < HUB_ROUNDS:
-            pairs = unsettled.filter("component <> hub_component").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+            apart = unsettled.filter("component <> main").groupBy("key").agg(F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("hub"))
+            met = unsettled.join(apart.select("key", "hub.node", "hub.component").toDF("key", "hub", "hub_component"), "key")
+            pairs = met.filter("component <> hub_component").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         else:
-            left, right = (unsettled.select("key", F.col("node").alias(n), F.col("component").alias(f"component_{n}")) for n in "ab")
-            pairs = left.join(right, "key").filter("component_a < component_b").select("a", "b")
-        more = materialize(_verified(pairs.distinct(), texts, threshold, words), "verified")
+            pairs = _remaining(unsettled.select("key", "node", "component"), nodes.select("node", "bands", "sketch"))
+        more = materialize(_verified(pairs, texts, threshold, words), "verified")
         if not more.isEmpty():
             links = links.union(more)
             joined = components(links)
