@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import bpe, language, licenses, merkle, mixing, near_duplicates, token_counts, url_lists
+from driftwell.llm import bpe, language, licenses, merkle, mixing, near_duplicates, neighbours, personal_data, token_counts, url_lists
 
 TOKEN_LIMIT = 512
 
@@ -56,6 +56,20 @@ def encoded(docs: DataFrame) -> DataFrame:
     )
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(_table(spark, sf_dir, "documents").select("doc_id", "text"), kept=["doc_id"])
+    names = F.array(*[F.lit(k) for k in personal_data.KINDS])
+
+    def shown(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("personal_data.strict", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(number).alias(f"n_{kind}") for number, kind in enumerate(personal_data.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(shown("personal_data.strict"), 256).alias("base_sha256"), shown("personal_data.spans").alias("spans"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"))
@@ -103,6 +117,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), queries="vec_id % 50 = 0", k=5)
+
+
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a time of fetch within 2024, drawn from the page's number."""
     day = F.expr("make_dt_interval(cast(pmod(page_id * 7919, 366) AS int), 0, cast(pmod(page_id * 104729, 1440) AS int))")
@@ -140,5 +158,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = (op1_licenses, op2_language, op3_fingerprints, op4_minhash, op5_bpe, op7_token_counts, op9_url_lists, op10_mixing)
+    listed = (op1_licenses, op2_language, op3_fingerprints, op4_minhash, op5_bpe, op6_personal_data, op7_token_counts, op8_neighbours, op9_url_lists, op10_mixing)
     return {query.__name__: query for query in listed}
