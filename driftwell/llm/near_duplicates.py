@@ -5,12 +5,11 @@
    merged by a partial aggregate before anything else.
 2. Nodes that share a band key are candidates. Each bucket compares its members with one hub, its most
    central member (the one with most company in all its buckets), not with each other; the verified links are
-   joined into components. Buckets whose members are then in several components compare again with a hub
-   of another component; after ``HUB_ROUNDS`` rounds, the pairs of members of different components are left,
-   so that no candidate link between components is lost. The join makes each of them once, in the first
-   bucket both share, and only if their signatures differ in at most ``MOST_DIFFERENT`` registers (four bits
-   of each are compared; 7 of 10,000 pairs at 0.8 differ in more). Groups of near copies are settled by the
-   hubs, which leaves few pairs for this step.
+   joined into components, which settles nearly all of a group of near copies. What is left are pairs of a
+   bucket's members in different components. They are compared too, so that no candidate link between
+   components is lost: first those whose signatures are close, then, between components that are still
+   apart, all whose signatures differ in at most ``ROUNDS[-1]`` registers (four bits of each are compared; 7 of
+   10,000 pairs at 0.8 differ in more). The join makes each pair once, in the first bucket both share.
 3. A link counts if the exact weighted Jaccard similarity of the two whole texts is at least ``threshold``.
 
 Words are compared in lower case, by ASCII white space. Null and empty texts and texts of white space are
@@ -37,8 +36,7 @@ from driftwell.session import materialize
 
 BANDS = 20
 THRESHOLD = 0.8
-HUB_ROUNDS = 4
-MOST_DIFFERENT = 26  # of 80 registers; at a similarity of 0.8 they are 15 on average
+ROUNDS = (13, 26)  # most registers of 80 that differ; at a similarity of 0.8 they are 15 on average
 RUN_CHARS = 1 << 22
 HUB_ROWS = 2_000  # pairs of one hub that are verified in one place
 
@@ -96,7 +94,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, words: int)
     return both.filter(_similarity(words)("text_a", "text_b") >= threshold).select("a", "b")
 
 
-def _remaining(unsettled: DataFrame, nodes: DataFrame) -> DataFrame:
+def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: int) -> DataFrame:
     """Pairs (a, b) of members of different components, each from the first bucket that both are in."""
     members = unsettled.join(nodes, "node")
     left, right = (members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "bands", "sketch")]) for n in "ab")
@@ -105,7 +103,7 @@ def _remaining(unsettled: DataFrame, nodes: DataFrame) -> DataFrame:
     def different(half: int) -> str:
         return "bit_count(" + " | ".join(f"(sketch_a[{4 * half + p}] ^ sketch_b[{4 * half + p}])" for p in planes) + ")"
 
-    alike = F.expr(f"{different(0)} + {different(1)} <= {MOST_DIFFERENT}")
+    alike = F.expr(f"{different(0)} + {different(1)} <= {most_different}")
     first_shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
     met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & alike & first_shared
     return left.join(right, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
@@ -135,7 +133,7 @@ def near_duplicates(
     company = shared.groupBy("node").agg(F.sum("members").alias("company"))
     placed = shared.select("key", "node").join(company, "node")
     hubs = placed.groupBy("key").agg(F.max(F.struct("company", "node")).alias("top")).select("key", F.col("top.node").alias("hub"))
-    crowded = materialize(placed.join(hubs, "key").select("key", "node", "company", "hub"), "crowded")
+    crowded = materialize(placed.join(hubs, "key").select("key", "node", "hub"), "crowded")
 
     wanted = crowded.select("node").distinct().join(nodes, "node").select("node", "least.*")
     found = own.join(wanted.hint("shuffle_hash"), own.doc_id.eqNullSafe(wanted.doc_id) & (own.text_hash == wanted.text_hash))
@@ -144,23 +142,16 @@ def near_duplicates(
     links = materialize(_verified(crowded.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, threshold, words), "verified")
     joined = components(links)
     own_component = F.coalesce("component", "node")
-    for turn in range(1, HUB_ROUNDS + 1):
-        labelled = crowded.join(joined, "node", "left").select("key", "node", "company", own_component.alias("component"))
-        main = labelled.groupBy("key").agg(F.max(F.struct("company", "node", "component")).alias("main"), F.min("component").alias("least"), F.max("component").alias("most"))
-        main = main.filter("least <> most").select("key", F.col("main.component").alias("main"))
-        unsettled = materialize(labelled.join(main, "key"), "unsettled")
-        if unsettled.isEmpty():
-            break
-        if turn < HUB_ROUNDS:
-            apart = unsettled.filter("component <> main").groupBy("key").agg(F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("hub"))
-            met = unsettled.join(apart.select("key", "hub.node", "hub.component").toDF("key", "hub", "hub_component"), "key")
-            pairs = met.filter("component <> hub_component").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        else:
-            pairs = _remaining(unsettled.select("key", "node", "component"), nodes.select("node", "bands", "sketch"))
+    for most_different in ROUNDS:
+        labelled = crowded.join(joined, "node", "left").select("key", "node", own_component.alias("component"))
+        split = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
+        unsettled = labelled.join(split.select("key"), "key")
+        pairs = materialize(_remaining(unsettled, nodes.select("node", "bands", "sketch"), most_different), "remaining")
         more = materialize(_verified(pairs, texts, threshold, words), "verified")
         if not more.isEmpty():
-            links = links.union(more)
-            joined = components(links)
+            # A component's star stands for its links.
+            stars = joined.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            joined = components(stars.union(more))
 
     grouped = nodes.select("node", "least", "copies").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = grouped.groupBy("component").agg(F.min("least").alias("class_least"), F.sum("copies").alias("class_size"))
