@@ -244,7 +244,7 @@ def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int, s
         reached = frontier.join(adjacency, "center").select("query", "ids", F.explode("near").alias("node"))
         new = reached.filter(~F.array_contains("ids", F.col("node"))).select("query", "node").distinct()
         scored = new.join(units, "node").groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("found"))
-        state = state.join(scored, "query", "left").mapInArrow(advance, schema)
+        state = state.join(scored.hint("merge"), "query", "left").mapInArrow(advance, schema)
     return state.select("query", F.array_union("ids", F.array("query")).alias("ids"))
 
 
