@@ -15,7 +15,7 @@ import numpy as np
 
 from driftwell.llm.codes import U64, mix
 
-REGISTERS = 80
+REGISTERS = 160
 
 
 def _uniform(bits: np.ndarray) -> np.ndarray:
@@ -95,10 +95,9 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return keys
 
 
-def sketches(signature: np.ndarray, planes: int = 4) -> np.ndarray:
-    """(n, 2 * planes): four hashed bits of every register, bit by bit, half of the registers in a word."""
-    bits = mix(np.ascontiguousarray(signature).view(np.uint64))
-    half = bits.shape[1] // 2
-    powers = U64(1) << np.arange(half, dtype=np.uint64)
-    words = [((side >> U64(63 - p) & U64(1)) * powers).sum(axis=1, dtype=np.uint64) for side in (bits[:, :half], bits[:, half : 2 * half]) for p in range(planes)]
-    return np.stack(words, axis=1)
+def sketches(signature: np.ndarray, planes: int = 4, words: int = 4) -> np.ndarray:
+    """(n, words * planes): four hashed bits of every register, bit by bit, the registers dealt to ``words`` words."""
+    bits = mix(np.ascontiguousarray(signature).view(np.uint64)).reshape(len(signature), words, -1)
+    powers = U64(1) << np.arange(bits.shape[2], dtype=np.uint64)
+    made = [((bits[:, w] >> U64(63 - p) & U64(1)) * powers).sum(axis=1, dtype=np.uint64) for w in range(words) for p in range(planes)]
+    return np.stack(made, axis=1)

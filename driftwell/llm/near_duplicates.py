@@ -8,7 +8,7 @@
    joined into components, which settles nearly all of a group of near copies. What is left are pairs of a
    bucket's members in different components. They are compared too, so that no candidate link between
    components is lost: first those whose signatures are close, then, between components that are still
-   apart, all whose signatures differ in at most ``ROUNDS[-1]`` registers (four bits of each are compared; 7 of
+   apart, all whose signatures differ in at most ``ROUNDS[-1]`` registers (four bits of each are compared; 6 of
    10,000 pairs at 0.8 differ in more). The join makes each pair once, in the first bucket both share.
 3. A link counts if the exact weighted Jaccard similarity of the two whole texts is at least ``threshold``.
 
@@ -36,7 +36,8 @@ from driftwell.session import materialize
 
 BANDS = 20
 THRESHOLD = 0.8
-ROUNDS = (13, 26)  # most registers of 80 that differ; at a similarity of 0.8 they are 15 on average
+ROWS = 4  # registers in a band; the others serve the comparison of signatures only
+ROUNDS = (26, 46)  # most registers of 160 that differ; at a similarity of 0.8 they are 30 on average
 RUN_CHARS = 1 << 22
 HUB_ROWS = 2_000  # pairs of one hub that are verified in one place
 
@@ -53,7 +54,7 @@ def _signed(df: DataFrame, text: str, words: int, bands: int) -> DataFrame:
                 k1, k2 = text_keys(hashes, starts)
                 owner, shingles, weights = multisets(*shingle_hashes(hashes, starts, words))
                 signature = signatures(owner, shingles, weights, len(texts), REGISTERS)
-                found = band_keys(signature, bands).view(np.int64)
+                found = band_keys(signature[:, : bands * ROWS], bands).view(np.int64)
                 shown.append(sketches(signature).view(np.int64).reshape(-1))
                 some = np.diff(starts) > 0
                 first.append(k1.view(np.int64))
@@ -62,7 +63,7 @@ def _signed(df: DataFrame, text: str, words: int, bands: int) -> DataFrame:
                 counts.append(np.where(some, bands, 0))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(counts)).astype(np.int32)), pa.array(np.concatenate(keys)))
             none = np.empty(0, np.int64)
-            sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * len(batch) + 1, 8, dtype=np.int32)), pa.array(np.concatenate(shown)))
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, 16 * len(batch) + 1, 16, dtype=np.int32)), pa.array(np.concatenate(shown)))
             columns = [pa.array(np.concatenate([none, *first])), pa.array(np.concatenate([none, *second])), lists, sketch]
             yield pa.StructArray.from_arrays(columns, names=["k1", "k2", "bands", "sketch"])
 
@@ -100,10 +101,10 @@ def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: int) -> D
     left, right = (members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "bands", "sketch")]) for n in "ab")
     planes = range(4)
 
-    def different(half: int) -> str:
-        return "bit_count(" + " | ".join(f"(sketch_a[{4 * half + p}] ^ sketch_b[{4 * half + p}])" for p in planes) + ")"
+    def different(word: int) -> str:
+        return "bit_count(" + " | ".join(f"(sketch_a[{4 * word + p}] ^ sketch_b[{4 * word + p}])" for p in planes) + ")"
 
-    alike = F.expr(f"{different(0)} + {different(1)} <= {most_different}")
+    alike = F.expr(" + ".join(map(different, range(4))) + f" <= {most_different}")
     first_shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
     met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & alike & first_shared
     return left.join(right, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
