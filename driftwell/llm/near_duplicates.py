@@ -8,7 +8,7 @@
    joined into components, which settles nearly all of a group of near copies. What is left are pairs of a
    bucket's members in different components. They are compared too, so that no candidate link between
    components is lost: first those whose signatures are close, then, between components that are still
-   apart, all whose signatures differ in at most ``ROUNDS[-1]`` registers (four bits of each are compared; 6 of
+   apart, all whose similarities to the bucket's hub allow a link and whose signatures differ in at most ``ROUNDS[-1]`` registers (four bits of each are compared; 6 of
    10,000 pairs at 0.8 differ in more). The join makes each pair once, in the first bucket both share.
 3. A link counts if the exact weighted Jaccard similarity of the two whole texts is at least ``threshold``.
 
@@ -86,27 +86,32 @@ def _similarity(words: int):
     return similarity
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough. b may be the hub of very many: its rows are salted."""
+def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) with their similarity. b may be the hub of very many: its rows are salted."""
     salts = pairs.groupBy("b").agg(salts_for(F.count(F.lit(1)), HUB_ROWS).alias("salts"))
     salted = pairs.join(salts, "b").select("a", "b", row_salt("a"))
     hubs = texts.join(salts, texts.node == salts.b).select("b", F.col("text").alias("text_b"), every_salt())
     both = salted.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(hubs, ["b", "salt"])
-    return both.filter(_similarity(words)("text_a", "text_b") >= threshold).select("a", "b")
+    return materialize(both.select("a", "b", _similarity(words)("text_a", "text_b").alias("similarity")), "compared")
 
 
-def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: int) -> DataFrame:
-    """Pairs (a, b) of members of different components, each from the first bucket that both are in."""
+def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of members of different components, each from the first bucket that both are in.
+
+    One minus the similarity is a metric: two nodes whose similarities to the bucket's hub are further apart than
+    one minus the threshold can't be linked.
+    """
     members = unsettled.join(nodes, "node")
-    left, right = (members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "bands", "sketch")]) for n in "ab")
+    left, right = (members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "to_hub", "bands", "sketch")]) for n in "ab")
     planes = range(4)
 
     def different(word: int) -> str:
         return "bit_count(" + " | ".join(f"(sketch_a[{4 * word + p}] ^ sketch_b[{4 * word + p}])" for p in planes) + ")"
 
     alike = F.expr(" + ".join(map(different, range(4))) + f" <= {most_different}")
+    in_reach = F.abs(F.col("to_hub_a") - F.col("to_hub_b")) <= 1 - threshold + 1e-9
     first_shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
-    met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & alike & first_shared
+    met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & in_reach & alike & first_shared
     return left.join(right, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
@@ -140,19 +145,23 @@ def near_duplicates(
     found = own.join(wanted.hint("shuffle_hash"), own.doc_id.eqNullSafe(wanted.doc_id) & (own.text_hash == wanted.text_hash))
     texts = materialize(found.select("node", "text").dropDuplicates(["node"]), "texts")
 
-    links = materialize(_verified(crowded.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, threshold, words), "verified")
-    joined = components(links)
+    hub_pairs = crowded.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    to_hubs = _compared(hub_pairs, texts, words)
+    is_link = F.col("similarity") >= threshold
+    joined = components(to_hubs.filter(is_link))
+    measured = crowded.join(to_hubs.toDF("node", "hub", "similarity"), ["node", "hub"], "left")
+    measured = materialize(measured.select("key", "node", F.coalesce("similarity", F.lit(1.0)).alias("to_hub")), "measured")
     own_component = F.coalesce("component", "node")
     for most_different in ROUNDS:
-        labelled = crowded.join(joined, "node", "left").select("key", "node", own_component.alias("component"))
+        labelled = measured.join(joined, "node", "left").select("key", "node", "to_hub", own_component.alias("component"))
         split = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
         unsettled = labelled.join(split.select("key"), "key")
-        pairs = materialize(_remaining(unsettled, nodes.select("node", "bands", "sketch"), most_different), "remaining")
-        more = materialize(_verified(pairs, texts, threshold, words), "verified")
+        pairs = materialize(_remaining(unsettled, nodes.select("node", "bands", "sketch"), most_different, threshold), "remaining")
+        more = _compared(pairs, texts, words).filter(is_link)
         if not more.isEmpty():
             # A component's star stands for its links.
             stars = joined.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            joined = components(stars.union(more))
+            joined = components(stars.union(more.select("a", "b")))
 
     grouped = nodes.select("node", "least", "copies").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = grouped.groupBy("component").agg(F.min("least").alias("class_least"), F.sum("copies").alias("class_size"))
