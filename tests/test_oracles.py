@@ -8,9 +8,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from driftwell.plans.oracles import all_oracles
+from driftwell.plans.queries import all_queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +36,8 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(entry.queries()) >= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
