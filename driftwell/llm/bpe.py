@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.codes import runs
+from driftwell.llm.codes import runs, small_batches
 from driftwell.llm.merges import WordStore, load
 
 #: Fixed value: the file's own pattern.
@@ -47,6 +47,7 @@ def words_of(merges, text: str) -> list[str]:
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds the column ``ids`` (array of int): the token ids of ``text``."""
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -70,6 +71,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Adds the column ``decoded``: the strings of the tokens, special ones too, joined by one space."""
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("string")
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -12,6 +12,7 @@ from functools import cache
 import numpy as np
 
 CHARS = 1 << 20
+BATCH_ROWS = 1000  # whole texts that reach a Python worker at once
 U64 = np.uint64
 
 
@@ -33,6 +34,13 @@ def letter_table() -> np.ndarray:
     return np.where(is_letter, lower_table(), 0).astype(np.uint32)
 
 
+def small_batches(spark) -> None:
+    """Rows of texts are large: at most ``BATCH_ROWS`` of them go into an Arrow batch of this session."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def runs(texts: list[str | None], chars: int = CHARS) -> Iterator[list[str]]:
     """Consecutive texts, None as empty, in lists of about ``chars`` code points."""
     held, size = [], 0

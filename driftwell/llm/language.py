@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.codes import CHARS, U64, flat_codes, letter_table, mix, runs, spans
+from driftwell.llm.codes import CHARS, U64, flat_codes, letter_table, mix, runs, small_batches, spans
 
 UNKNOWN = "und"
 CELLS = 1 << 16  # hashed trigrams
@@ -216,6 +216,7 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang",
 
 def identify(df: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
     """Adds the column ``out``: struct of lang, score, and spans with start, end (code points) and lang."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     chars = max(1 << 14, CHARS * 16 // max(16, len(model.languages) ** 2))  # path memory grows with the square
 

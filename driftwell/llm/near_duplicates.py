@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.llm.bagminhash import REGISTERS, band_keys, signatures, sketches
-from driftwell.llm.codes import runs
+from driftwell.llm.codes import runs, small_batches
 from driftwell.llm.components import components
 from driftwell.llm.shingles import WORDS, multisets, shingle_hashes, text_keys, weighted_jaccard, word_hashes
 from driftwell.operators.salting import every_salt, row_salt, salts_for
@@ -44,6 +44,7 @@ HUB_ROWS = 2_000  # pairs of one hub that are verified in one place
 
 def _signed(df: DataFrame, text: str, words: int, bands: int) -> DataFrame:
     """Adds ``signed``: struct of the text's two keys, its band keys (none for a text without words) and sketch."""
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("struct<k1:long,k2:long,bands:array<long>,sketch:array<long>>")
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.codes import runs
+from driftwell.llm.codes import runs, small_batches
 from driftwell.llm.merges import WordStore, load
 
 #: Fixed value: the public pattern of the byte-level vocabulary.
@@ -37,6 +37,7 @@ def pre_tokens(merges, text: str) -> list[str]:
 
 def count_tokens(df: DataFrame, path: str, text: str = "text", n_tokens: str = "n_tokens") -> DataFrame:
     """Adds the column ``n_tokens`` (long)."""
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("long")
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
