@@ -90,7 +90,13 @@ class Tables:
             df.write.mode("overwrite").parquet(self._batch_path(name, batch_id))
 
     def read(self, name: str) -> DataFrame:
-        return self._read(name, self.path(name))
+        """All rows; those of a merged copy carry the number of its last batch."""
+        parts = self._read(name, self.path(name))
+        merged = self._merged(name)
+        if merged is None:
+            return parts
+        copy = self.spark.read.schema(SCHEMAS[name]).parquet(self._batch_path(f"{name}_merged", merged))
+        return parts.filter(F.col("batch_id") > merged).unionByName(copy.withColumn("batch_id", F.lit(merged).cast("long")))
 
     def before(self, name: str, batch_id: int) -> DataFrame:
         """What earlier batches wrote; rows of the batch itself, from a failed attempt, are left out.
@@ -120,10 +126,11 @@ class Tables:
         self.forget_before(name, batch_id)
         self.forget_before(merged, last)
 
-    def _merged(self, name: str, batch_id: int) -> int | None:
+    def _merged(self, name: str, batch_id: int | None = None) -> int | None:
+        """The last batch of the newest finished copy (of batches before ``batch_id``)."""
         if not exists(self.spark, self.path(f"{name}_merged")):
             return None
-        found = [b for b in self._batches(f"{name}_merged") if b < batch_id and self.written(f"{name}_merged", b)]
+        found = [b for b in self._batches(f"{name}_merged") if (batch_id is None or b < batch_id) and self.written(f"{name}_merged", b)]
         return max(found, default=None)
 
     def latest_before(self, name: str, batch_id: int) -> DataFrame | None:
