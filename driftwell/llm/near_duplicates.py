@@ -8,8 +8,10 @@
    joined into components, which settles nearly all of a group of near copies. What is left are pairs of a
    bucket's members in different components. They are compared too, so that no candidate link between
    components is lost: first those whose signatures are close, then, between components that are still
-   apart, all whose similarities to the bucket's hub allow a link and whose signatures differ in at most ``ROUNDS[-1]`` registers (four bits of each are compared; 6 of
-   10,000 pairs at 0.8 differ in more). The join makes each pair once, in the first bucket both share.
+   apart, all whose similarities to the bucket's hub allow a link and whose signatures do. For these the
+   members left get a second signature of ``FINE`` registers, which tells pairs at 0.8 from pairs at 0.75
+   (four bits of a register are compared; 3 of 10,000 pairs at 0.8 differ in more registers than
+   ``MOST_DIFFERENT`` allows). The join makes each pair once, in the first bucket both share.
 3. A link counts if the exact weighted Jaccard similarity of the two whole texts is at least ``threshold``.
 
 Words are compared in lower case, by ASCII white space. Null and empty texts and texts of white space are
@@ -37,7 +39,10 @@ from driftwell.session import materialize
 BANDS = 20
 THRESHOLD = 0.8
 ROWS = 4  # registers in a band; the others serve the comparison of signatures only
-ROUNDS = (26, 46)  # most registers of 160 that differ; at a similarity of 0.8 they are 30 on average
+SKETCH_WORDS = 4  # of 40 registers, each in four longs
+FINE = 1024  # registers of the second signature
+CLOSE = 26  # most registers of 160 that differ in the first round; at a similarity of 0.8 they are 30 on average
+MOST_DIFFERENT = (50, 236)  # the same in the second round, of 160 and of FINE; at 0.8 they are 30 and 192 on average
 RUN_CHARS = 1 << 22
 HUB_ROWS = 2_000  # pairs of one hub that are verified in one place
 
@@ -71,6 +76,25 @@ def _signed(df: DataFrame, text: str, words: int, bands: int) -> DataFrame:
     return df.withColumn("signed", sign(F.col(text)))
 
 
+def _fine_sketches(texts: DataFrame, words: int) -> DataFrame:
+    """(node, fine): sketches of ``FINE`` registers."""
+    small_batches(texts.sparkSession)
+    longs = FINE // 16  # 64 registers in four longs
+
+    @F.arrow_udf("array<long>")
+    def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            made = [np.empty(0, np.int64)]
+            for some in runs(batch.to_pylist(), RUN_CHARS):
+                owner, shingles, weights = multisets(*shingle_hashes(*word_hashes(some), words))
+                found = sketches(signatures(owner, shingles, weights, len(some), FINE), words=FINE // 64)
+                made.append(found.view(np.int64).reshape(-1))
+            starts = pa.array(np.arange(0, longs * len(batch) + 1, longs, dtype=np.int32))
+            yield pa.ListArray.from_arrays(starts, pa.array(np.concatenate(made)))
+
+    return materialize(texts.select("node", sketch("text").alias("fine")), "fine")
+
+
 def _similarity(words: int):
     @F.arrow_udf("double")
     def similarity(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -96,24 +120,28 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return materialize(both.select("a", "b", _similarity(words)("text_a", "text_b").alias("similarity")), "compared")
 
 
-def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: int, threshold: float) -> DataFrame:
+def _differ(sketch: str, words: int) -> str:
+    """SQL for the number of registers in which two sketches of ``words`` words differ."""
+    planes = [[f"({sketch}_a[{4 * w + p}] ^ {sketch}_b[{4 * w + p}])" for p in range(4)] for w in range(words)]
+    return " + ".join(f"bit_count({' | '.join(p)})" for p in planes)
+
+
+def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: dict[str, tuple[int, int]], threshold: float) -> DataFrame:
     """Pairs (a, b) of members of different components, each from the first bucket that both are in.
 
+    ``most_different`` has, for each column of sketches, its words of registers and how many registers may differ.
     One minus the similarity is a metric: two nodes whose similarities to the bucket's hub are further apart than
     one minus the threshold can't be linked.
     """
     members = unsettled.join(nodes, "node")
-    left, right = (members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "to_hub", "bands", "sketch")]) for n in "ab")
-    planes = range(4)
-
-    def different(word: int) -> str:
-        return "bit_count(" + " | ".join(f"(sketch_a[{4 * word + p}] ^ sketch_b[{4 * word + p}])" for p in planes) + ")"
-
-    alike = F.expr(" + ".join(map(different, range(4))) + f" <= {most_different}")
+    carried = ("node", "component", "to_hub", "bands", *most_different)
+    left, right = (members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in carried]) for n in "ab")
     in_reach = F.abs(F.col("to_hub_a") - F.col("to_hub_b")) <= 1 - threshold + 1e-9
     first_shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
-    met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & in_reach & alike & first_shared
-    return left.join(right, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & in_reach
+    for sketch, (sketch_words, most) in most_different.items():
+        met &= F.expr(f"{_differ(sketch, sketch_words)} <= {most}")
+    return left.join(right, met & first_shared).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def near_duplicates(
@@ -153,11 +181,17 @@ def near_duplicates(
     measured = crowded.join(to_hubs.toDF("node", "hub", "similarity"), ["node", "hub"], "left")
     measured = materialize(measured.select("key", "node", F.coalesce("similarity", F.lit(1.0)).alias("to_hub")), "measured")
     own_component = F.coalesce("component", "node")
-    for most_different in ROUNDS:
+    for close_first in (True, False):
         labelled = measured.join(joined, "node", "left").select("key", "node", "to_hub", own_component.alias("component"))
         split = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
         unsettled = labelled.join(split.select("key"), "key")
-        pairs = materialize(_remaining(unsettled, nodes.select("node", "bands", "sketch"), most_different, threshold), "remaining")
+        sketched = nodes.select("node", "bands", "sketch")
+        most_different = {"sketch": (SKETCH_WORDS, CLOSE if close_first else MOST_DIFFERENT[0])}
+        if not close_first:
+            left_over = texts.join(unsettled.select("node").distinct().hint("shuffle_hash"), "node", "left_semi")
+            sketched = sketched.join(_fine_sketches(left_over, words), "node")
+            most_different["fine"] = (FINE // 64, MOST_DIFFERENT[1])
+        pairs = materialize(_remaining(unsettled, sketched, most_different, threshold), "remaining")
         more = _compared(pairs, texts, words).filter(is_link)
         if not more.isEmpty():
             # A component's star stands for its links.
