@@ -38,24 +38,27 @@ def shared_dir(spark: SparkSession) -> str:
 _scope: ContextVar[str] = ContextVar("scope", default="tables")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, scope: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and gives the planner real sizes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/driftwell/{_scope.get()}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/driftwell/{scope or _scope.get()}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch(spark: SparkSession):
-    """Tables materialized inside are dropped at the end: for jobs that repeat, like micro-batches."""
-    name = f"scratch-{uuid.uuid4().hex}"
+    """Tables materialized inside are dropped at the end: for jobs that repeat, like micro-batches.
+
+    Yields a ``materialize`` for results that outlive the block.
+    """
+    outer, name = _scope.get(), f"scratch-{uuid.uuid4().hex}"
     token = _scope.set(name)
     try:
-        yield
+        yield lambda df, label: materialize(df, label, outer)
     finally:
         _scope.reset(token)
         remove(spark, f"{shared_dir(spark)}/driftwell/{name}")
