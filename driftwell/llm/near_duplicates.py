@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.llm.bagminhash import REGISTERS, band_keys, signatures, sketches
@@ -34,7 +34,7 @@ from driftwell.llm.codes import runs, small_batches
 from driftwell.llm.components import components
 from driftwell.llm.shingles import WORDS, multisets, shingle_hashes, text_keys, weighted_jaccard, word_hashes
 from driftwell.operators.salting import every_salt, row_salt, salts_for
-from driftwell.session import materialize
+from driftwell.session import materialize, scratch
 
 BANDS = 20
 THRESHOLD = 0.8
@@ -44,6 +44,7 @@ FINE = 1024  # registers of the second signature
 CLOSE = 26  # most registers of 160 that differ in the first round; at a similarity of 0.8 they are 30 on average
 MOST_DIFFERENT = (50, 236)  # the same in the second round, of 160 and of FINE; at 0.8 they are 30 and 192 on average
 RUN_CHARS = 1 << 22
+ROW_KEYS = ["__near_id", "__near_no_id", "__near_hash"]
 HUB_ROWS = 2_000  # pairs of one hub that are verified in one place
 
 
@@ -152,7 +153,16 @@ def near_duplicates(
     ``is_kept`` marks the rows that stand for their class: those with its smallest (doc_id, text_hash).
     """
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    own = own.withColumn("text_hash", F.xxhash64("text"))
+    with scratch(docs.sparkSession) as keep:
+        return keep(_classes(own.withColumn("text_hash", F.xxhash64("text")), threshold, words, bands), "classes")
+
+
+def _row_keys(doc_id: str, text_hash: str) -> list[Column]:
+    """Plain columns that tell (doc_id, text_hash) apart, nulls included, so that a grouping and a join by them share a shuffle."""
+    return [F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("__near_id"), F.isnull(doc_id).alias("__near_no_id"), F.col(text_hash).alias("__near_hash")]
+
+
+def _classes(own: DataFrame, threshold: float, words: int, bands: int) -> DataFrame:
     signed = _signed(own, "text", words, bands).select(
         "doc_id", "text_hash", F.concat(F.hex("signed.k1"), F.lit("-"), F.hex("signed.k2")).alias("node"), "signed.bands", "signed.sketch"
     )
@@ -171,8 +181,9 @@ def near_duplicates(
     crowded = materialize(placed.join(hubs, "key").select("key", "node", "hub"), "crowded")
 
     wanted = crowded.select("node").distinct().join(nodes, "node").select("node", "least.*")
-    found = own.join(wanted.hint("shuffle_hash"), own.doc_id.eqNullSafe(wanted.doc_id) & (own.text_hash == wanted.text_hash))
-    texts = materialize(found.select("node", "text").dropDuplicates(["node"]), "texts")
+    once = own.select(*_row_keys("doc_id", "text_hash"), "text").dropDuplicates(ROW_KEYS)
+    found = once.join(wanted.select(*_row_keys("doc_id", "text_hash"), "node").hint("shuffle_hash"), ROW_KEYS)
+    texts = materialize(found.select("node", "text"), "texts")
 
     hub_pairs = crowded.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     to_hubs = _compared(hub_pairs, texts, words)
@@ -207,9 +218,7 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, one of each class of near duplicates; all its columns."""
-    kept = near_duplicates(docs, text, doc_id, threshold).filter("is_kept")
-    kept = kept.select(F.col("doc_id").alias("__near_id"), F.col("text_hash").alias("__near_kept")).distinct()
-    marked = docs.withColumn("__near_hash", F.xxhash64(F.col(f"`{text}`")))
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__near_id")) & (F.col("__near_hash") == F.col("__near_kept"))
-    found = marked.join(kept.hint("shuffle_hash"), same).dropDuplicates([doc_id, "__near_hash"])
-    return found.drop("__near_hash", "__near_id", "__near_kept")
+    kept = near_duplicates(docs, text, doc_id, threshold).filter("is_kept").select(*_row_keys("doc_id", "text_hash")).distinct()
+    marked = docs.withColumn("__near_text_hash", F.xxhash64(F.col(f"`{text}`")))
+    once = marked.select(*_row_keys(f"`{doc_id}`", "__near_text_hash"), *[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates(ROW_KEYS)
+    return once.join(kept.hint("shuffle_hash"), ROW_KEYS).drop(*ROW_KEYS)
