@@ -22,13 +22,15 @@ def json_double(text: str, kind: str) -> str:
 
 
 def repr_text(number: str) -> str:
-    """Shortest decimal text: plain from 1e-4 upwards, else ``1e-05`` style."""
+    """Shortest decimal text: plain from 1e-4 up to 1e16, else in the style of ``1e-05`` and ``1e+16``."""
     text = f"cast({number} as string)"
     digits = f"regexp_replace(regexp_extract({text}, r'([\\d.]+)E', 1), r'\\.0$|\\.', '')"
     mantissa = f"regexp_replace(regexp_extract({text}, r'(-?[\\d.]+)E', 1), r'\\.0$', '')"
-    exponent = f"regexp_extract({text}, r'E-(\\d+)', 1)"
+    exponent = f"regexp_extract({text}, r'E-?(\\d+)', 1)"
+    scientific = f"concat({mantissa}, if(abs({number}) < 1, 'e-', 'e+'), lpad({exponent}, greatest(length({exponent}), 2), '0'))"
+    plain = f"regexp_replace(cast(cast({text} as decimal(28, 11)) as string), r'(\\.\\d+?)0+$', '$1')"
     return (
-        f"CASE WHEN abs({number}) >= 1e-3 OR {number} = 0 THEN {text} "
-        f"WHEN abs({number}) >= 1e-4 THEN concat(if({number} < 0, '-', ''), '0.000', {digits}) "
-        f"ELSE concat({mantissa}, 'e-', lpad({exponent}, greatest(length({exponent}), 2), '0')) END"
+        f"CASE WHEN {number} = 0 OR abs({number}) >= 1e-3 AND abs({number}) < 1e7 THEN {text} "
+        f"WHEN abs({number}) >= 1e-4 AND abs({number}) < 1 THEN concat(if({number} < 0, '-', ''), '0.000', {digits}) "
+        f"WHEN abs({number}) >= 1e7 AND abs({number}) < 1e16 THEN {plain} ELSE {scientific} END"
     )

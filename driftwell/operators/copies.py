@@ -76,4 +76,8 @@ def find_copies(rows: DataFrame, hot_rows: int = HOT_ROWS) -> Copies:
             .drop("salts")
         )
         found = salted.join(repeated.select("*", every_salt()), ["event_id", "salt"]).drop("salt")
-    return Copies(materialize(found, "copies"), most, hot_rows)
+    copies = materialize(found, "copies")
+    twice = copies.filter("memory IS NULL").groupBy(*ROW_ID).count().filter("count > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"({', '.join(ROW_ID)}) is not unique: verdicts could not be told apart")
+    return Copies(copies, most, hot_rows)

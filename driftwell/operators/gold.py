@@ -35,25 +35,13 @@ def gold(windowed: DataFrame) -> DataFrame:
 def gold_panes(classified: DataFrame) -> DataFrame:
     """The discarding view: one on-time pane per device and window, one pane per late row.
 
-    A late pane holds a single row, so it is a projection; only on-time rows are grouped.
+    One grouping in one pass: a late row's own (event_id, arrival_ts, arrival_seq) is part of its key.
     """
-    on_time = gold(classified.filter(F.col("lateness") == "on_time")).select(
-        *GOLD.names, F.lit("on_time").alias("pane"), F.lit(None).cast("string").alias("late_event_id")
-    )
-    late = classified.filter(F.col("lateness") == "late").select(
-        "device_id",
-        *_WINDOW_KEYS,
-        F.lit(1).cast("long").alias("event_count"),
-        F.col("temperature").alias("avg_temperature"),
-        F.col("temperature").alias("min_temperature"),
-        F.col("temperature").alias("max_temperature"),
-        F.col("humidity").alias("avg_humidity"),
-        F.col("pressure").alias("avg_pressure"),
-        F.col("battery_level").alias("avg_battery_level"),
-        F.lit("late").alias("pane"),
-        F.col("event_id").alias("late_event_id"),
-    )
-    return on_time.unionByName(late)
+    row_id = [c for c in ("event_id", "arrival_ts", "arrival_seq") if c in classified.columns]
+    kept = classified.filter(F.col("lateness").isin("on_time", "late"))
+    late_row = F.when(F.col("lateness") == "late", F.struct(*row_id))
+    panes = kept.groupBy("device_id", *_WINDOW_KEYS, F.col("lateness").alias("pane"), late_row.alias("late_row"))
+    return panes.agg(*gold_metrics()).select(*GOLD.names, "pane", F.col("late_row.event_id").alias("late_event_id"))
 
 
 def device_window_counts(windowed: DataFrame) -> DataFrame:

@@ -279,8 +279,9 @@ def replay_audit_rows(routed: DataFrame) -> DataFrame:
     )
 
 
-def short_conflict_audit_rows(conflicts: DataFrame) -> DataFrame:
+def short_conflict_audit_rows(conflicts: DataFrame, *others: str) -> DataFrame:
     return conflicts.select(
+        *others,
         *REQUIRED_FIELDS,
         "payload_hash",
         "original_payload_hash",
@@ -302,7 +303,9 @@ def durable_conflict_audit_rows(conflicts: DataFrame) -> DataFrame:
 
 
 def conflict_audit_rows(routed: DataFrame) -> DataFrame:
-    """Both producers in the one audit table; the durable one leaves its missing columns NULL."""
-    short = short_conflict_audit_rows(routed.filter(F.col("route") == SHORT_CONFLICT))
-    durable = durable_conflict_audit_rows(routed.filter(F.col("route") == CONFLICT))
-    return short.unionByName(durable, allowMissingColumns=True)
+    """Both producers in the one audit table, in one pass; the durable one leaves its missing columns NULL."""
+    both = routed.filter(F.col("route").isin(SHORT_CONFLICT, CONFLICT))
+    audited = short_conflict_audit_rows(both.select("*", F.col("route").alias("producer")), "producer")
+    shared = durable_conflict_audit_rows(both).columns
+    short = F.col("producer") == SHORT_CONFLICT
+    return audited.select(*[F.col(c) if c in shared else F.when(short, F.col(c)).alias(c) for c in audited.columns if c != "producer"])

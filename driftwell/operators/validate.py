@@ -14,7 +14,7 @@ from driftwell.config import (
     SENSORS,
     VALIDATION_STAGE,
 )
-from driftwell.functions.numbers import json_double
+from driftwell.functions.numbers import json_double, repr_text
 from driftwell.functions.once import compute_once
 from driftwell.functions.text import strip
 from driftwell.functions.times import iso_parts, iso_timestamp, iso_zone_missing
@@ -77,8 +77,8 @@ def _sensor_errors(sensor: str) -> list[str]:
     return [
         f"CASE WHEN _{sensor}_type <> 'VOID' AND {number} IS NULL "
         f"THEN concat('Invalid numeric value for {sensor}: ', _{sensor}_text) END",
-        f"CASE WHEN {number} < {low}D THEN concat('{sensor} below minimum: ', {number}, ' < {low}') END",
-        f"CASE WHEN {number} > {high}D THEN concat('{sensor} above maximum: ', {number}, ' > {high}') END",
+        f"CASE WHEN {number} < {low}D THEN concat('{sensor} below minimum: ', {repr_text(number)}, ' < {low}') END",
+        f"CASE WHEN {number} > {high}D THEN concat('{sensor} above maximum: ', {repr_text(number)}, ' > {high}') END",
     ]
 
 

@@ -12,7 +12,7 @@ from driftwell.config import REQUIRED_FIELDS
 from driftwell.operators import dead_letters as letters
 from driftwell.operators import gold as gold_ops
 from driftwell.operators import identity, quality, windows
-from driftwell.plans.flow import TelemetryFlow
+from driftwell.plans.flow import TelemetryFlow, message_routes
 from driftwell.session import configure
 from driftwell.sources import events
 
@@ -295,13 +295,14 @@ def stage_rate_5m(f):
 
 @_query
 def alert_invalid_rate(f):
-    alert = quality.invalid_rate_alert(f.stage_counts)
+    alert = quality.invalid_rate_alert(quality.stage_counts(message_routes(f.checked)))
     return alert.withColumn("invalid_percent", F.round("invalid_percent", 6))
 
 
 @_query
 def alert_conflict(f):
-    return quality.conflict_alert(f.stage_counts)
+    checks = f.conflict_checked.select("arrival_ts", F.lit("conflict_check").alias("stage"), "route")
+    return quality.conflict_alert(quality.stage_counts(checks))
 
 
 @_query
