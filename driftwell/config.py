@@ -49,3 +49,10 @@ LATENCY_P95_MS = 30000.0
 FOLD_COPIES = 256
 HOT_ROWS = 1_000_000
 REGISTRY_BUCKETS = 1024
+
+# Streams (ours). Bits of ``arrival_seq`` below the source partition; how far a partition's arrivals may be
+# out of order; after how long a silent partition is taken as idle; batches between merges of the registry.
+SOURCE_PARTITION_BITS = 44
+DISORDER_SECONDS = 10_800
+IDLE_SECONDS = 86_400
+MERGE_EVERY = 64

@@ -156,7 +156,7 @@ def decide_identity(
         rows = rows.unionByName(memory_rows(registry_hits(records, registry)))
     if remembered is not None:
         known = remembered.join(records.select("event_id").distinct(), "event_id")
-        rows = rows.unionByName(memory_rows(known))
+        rows = rows.unionByName(memory_rows(newest_holders(known)))
     copies = find_copies(rows, hot_rows)
     verdicts = _verdicts(copies, fold_copies)
     own_dedup = plus_seconds(F.col("event_timestamp"), DEDUPLICATION_SECONDS) > F.col("arrival_ts")
@@ -233,8 +233,17 @@ def _decide(kept: DataFrame, registered: DataFrame) -> DataFrame:
     )
 
 
-def short_term_memory(routed: DataFrame, earlier: DataFrame | None, horizon: Column) -> DataFrame:
-    """The latest holder per id and stage that outlives ``horizon``: the next batch's ``remembered``."""
+def newest_holders(remembered: DataFrame) -> DataFrame:
+    """One holder per id and stage: that of the last batch which made one."""
+    if "batch_id" not in remembered.columns:
+        return remembered
+    holder = F.struct("remembered_hash", "remembered_at", "expires_at")
+    newest = remembered.groupBy("event_id", "memory").agg(F.max_by(holder, "batch_id").alias("holder"))
+    return newest.select("event_id", "memory", "holder.*")
+
+
+def short_term_memory(routed: DataFrame) -> DataFrame:
+    """The latest holder per id and stage that these rows made, for the ``remembered`` of later batches."""
     latest = F.max(F.struct("arrival_ts", "arrival_seq", "payload_hash", "expires_at")).alias("last")
 
     def last_holder(stage, holders):
@@ -247,12 +256,9 @@ def short_term_memory(routed: DataFrame, earlier: DataFrame | None, horizon: Col
         )
 
     blank = routed.withColumn("expires_at", F.lit(None).cast("timestamp"))
-    found = last_holder(CONFLICT_MEMORY, with_conflict_expiry(blank.filter("conflict_holder"))).unionByName(
+    return last_holder(CONFLICT_MEMORY, with_conflict_expiry(blank.filter("conflict_holder"))).unionByName(
         last_holder(DEDUP_MEMORY, with_dedup_expiry(blank.filter("dedup_holder")))
     )
-    if earlier is not None:
-        found = found.unionByName(earlier.join(found, ["event_id", "memory"], "left_anti"))
-    return found.filter(F.col("expires_at") > horizon)
 
 
 def registry_rows(new_rows: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ from driftwell.operators import dead_letters as letters
 from driftwell.operators import gold as gold_ops
 from driftwell.operators import identity, quality, windows
 from driftwell.plans.flow import TelemetryFlow, message_routes
-from driftwell.session import configure
+from driftwell.session import configure, materialize
 from driftwell.sources import events
+from driftwell.streaming import memory
 
 
 def flow(spark: SparkSession, sf_dir: str) -> TelemetryFlow:
@@ -166,11 +167,41 @@ def identity_in_two_batches(f):
     cut = F.timestamp_micros(F.lit((low + high) // 2))
     first = identity.decide_identity(rows.filter(F.col("arrival_ts") < cut))
     registry = identity.registry_rows(first.filter(F.col("route") == identity.NEW))
-    remembered = identity.short_term_memory(first, None, cut)
+    remembered = identity.short_term_memory(first)
     second = identity.decide_identity(rows.filter(F.col("arrival_ts") >= cut), registry, remembered)
     return first.unionByName(second).select("event_id", "arrival_seq", "route", "original_first_seen_at")
 
 
+@_query
+def identity_in_device_batches(f):
+    """Three batches whose arrivals overlap in time: every device is cut at instants of its own.
+
+    A later batch finds only the parts of the memory that outlive the horizon, which the device
+    furthest behind decides.
+    """
+    device = F.pmod(F.xxhash64("device_id"), F.lit(16))
+    rows = f.accepted
+    bounds = rows.agg(F.min("arrival_ts").alias("low"), F.max("arrival_ts").alias("high"))
+    low, high = bounds.select(F.unix_micros("low"), F.unix_micros("high")).first()
+    come = (F.unix_micros("arrival_ts") - F.lit(low)) / F.lit(max(high - low, 1))
+    batch = F.when(come < (device + 1) / 40, 0).when(come < (device + 21) / 40, 1).otherwise(2)
+    numbered = rows.withColumn("batch", batch)
+    results, registry, remembered, progress = [], None, None, None
+    for number in range(3):
+        records = numbered.filter(F.col("batch") == number).drop("batch")
+        routed = materialize(identity.decide_identity(records, registry, remembered), f"batch-{number}")
+        results.append(routed.select("event_id", "arrival_seq", "route", "original_first_seen_at"))
+        new = identity.registry_rows(routed.filter(F.col("route") == identity.NEW))
+        registry = new if registry is None else registry.unionByName(new)
+        partitioned = records.withColumn("source_partition", device)
+        progress = memory.latest_arrivals(partitioned, progress)
+        part = identity.short_term_memory(routed).withColumn("batch_id", F.lit(number).cast("long"))
+        known = part if remembered is None else remembered.unionByName(part)
+        reached = memory.horizon(progress, disorder_seconds=0)
+        remembered = known if reached is None else known.filter(F.col("expires_at") > F.lit(reached))
+    return results[0].unionByName(results[1]).unionByName(results[2])
+
+
 @_query
 def registry_pairs(f):
     """Every record paired with the registry row of its id seen earlier, if any, and classified.

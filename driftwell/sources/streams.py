@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftwell.config import SOURCE_PARTITION_BITS
 from driftwell.schemas import MESSAGES, SILVER
 
 
@@ -16,7 +17,11 @@ def file_messages(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 def kafka_messages(
     spark: SparkSession, servers: str, topic: str, offsets_per_batch: int = 50_000_000
 ) -> DataFrame:
-    """A Kafka topic (needs the Kafka connector on the class path)."""
+    """A Kafka topic (needs the Kafka connector on the class path).
+
+    Only a time the broker stamped (``timestampType`` 1) is an arrival; a producer's own is not trusted, and
+    the ingest stamps those messages with the time of their batch.
+    """
     stream = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -26,8 +31,12 @@ def kafka_messages(
         .load()
     )
     # Offsets are unique per partition; the partition number goes above them.
-    sequence = F.col("partition").cast("long") * F.lit(2**44) + F.col("offset")
-    return stream.select("value", F.col("timestamp").alias("arrival_ts"), sequence.alias("arrival_seq"))
+    sequence = F.col("partition").cast("long") * F.lit(2**SOURCE_PARTITION_BITS) + F.col("offset")
+    return stream.select("value", broker_time().alias("arrival_ts"), sequence.alias("arrival_seq"))
+
+
+def broker_time() -> Column:
+    return F.when(F.col("timestampType") == 1, F.col("timestamp"))
 
 
 def silver_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql.types import (
 
 from driftwell import schemas
 from driftwell.plans.debug import DEBUG_TABLES
-from driftwell.session import exists, folder_names, make_folder, remove
+from driftwell.session import exists, folder_names, make_folder, move, remove
 
 _MEMORY = StructType(
     [
@@ -48,7 +49,10 @@ SCHEMAS = {
     "replays": schemas.REPLAYS,
     "registry": StructType([*schemas.REGISTRY.fields, StructField("bucket", IntegerType())]),
     "registry_history": schemas.REGISTRY,
+    "batch_clock": StructType([StructField("batch_time", TimestampType())]),
     "short_term_memory": _MEMORY,
+    "memory_parts": StructType([StructField("part", LongType()), StructField("until", TimestampType())]),
+    "arrivals": StructType([StructField("source_partition", LongType()), StructField("last_arrival", TimestampType())]),
     "stage_counts": _COUNTS,
     "latency": _LATENCY,
     "silver": schemas.SILVER,
@@ -80,14 +84,47 @@ class Tables:
         """Append ``df`` as this batch's part of an existing table.
 
         A retried batch keeps a part that was finished and replaces one that was not, so rows are
-        never there twice. Tables are not created on the fly.
+        never there twice. A part is written in a hidden folder and its files are moved only when all
+        are complete; a retry after that moves the rest of the same files. So a stream that reads the
+        table meets each file under one name and never a file of a failed attempt. Tables are not
+        created on the fly.
         """
         if not exists(self.spark, self.path(name)):
             raise ValueError(f"table {name} does not exist under {self.root}")
         if name in SCHEMAS:
             df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])
-        if not self.written(name, batch_id):
-            df.write.mode("overwrite").parquet(self._batch_path(name, batch_id))
+        if self.written(name, batch_id):
+            return
+        staged = f"{self.path(name)}/_staged/batch_id={batch_id}"
+        if not exists(self.spark, f"{staged}/_SUCCESS"):
+            df.write.mode("overwrite").parquet(staged)
+        self._publish(staged, self._batch_path(name, batch_id))
+
+    def _publish(self, staged: str, final: str) -> None:
+        make_folder(self.spark, final)
+        for file in sorted(folder_names(self.spark, staged), key=lambda n: n == "_SUCCESS"):  # the mark goes last
+            move(self.spark, f"{staged}/{file}", f"{final}/{file}")
+        remove(self.spark, staged)
+
+    def batch_time(self, batch_id: int) -> datetime:
+        """When the batch was first tried; its retries get the same."""
+        self.write(self.spark.range(1).select(F.current_timestamp().alias("batch_time")), "batch_clock", batch_id)
+        return self.part("batch_clock", batch_id).first().batch_time
+
+    def part(self, name: str, batch_id: int) -> DataFrame:
+        return self.parts(name, [batch_id]).drop("batch_id")
+
+    def parts(self, name: str, batch_ids: list[int]) -> DataFrame:
+        return self._read(name, *[self._batch_path(name, b) for b in batch_ids])
+
+    def rows(self, name: str, values: list[tuple]) -> DataFrame:
+        return self.spark.createDataFrame(values, SCHEMAS[name])
+
+    def keep(self, name: str, batch_ids: set[int]) -> None:
+        """Removes all parts but these and later ones."""
+        for old in self._batches(name):
+            if old not in batch_ids and old < max(batch_ids):
+                remove(self.spark, self._batch_path(name, old))
 
     def read(self, name: str) -> DataFrame:
         """All rows; those of a merged copy carry the number of its last batch."""
@@ -147,6 +184,6 @@ class Tables:
         names = folder_names(self.spark, self.path(name))
         return [int(n.split("=")[1]) for n in names if n.startswith("batch_id=")]
 
-    def _read(self, name: str, path: str) -> DataFrame:
+    def _read(self, name: str, *paths: str) -> DataFrame:
         schema = StructType([*SCHEMAS[name].fields, StructField("batch_id", LongType())])
-        return self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(path)
+        return self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*paths)

@@ -1,26 +1,26 @@
 """Messages to tables, one micro-batch (or one bounded load) at a time.
 
 The batch operators do the work, so a stream and a backfill give the same rows. What has to be known
-from earlier batches is kept in tables: the registry for good, and the still-living holders of the
-two ten-minute stages, rewritten by every batch.
+from earlier batches is kept in tables: the registry for good, and the holders of the two ten-minute
+stages for as long as a row can still meet them (see ``memory``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftwell.config import CONFLICT_TTL_SECONDS
+from driftwell.config import DISORDER_SECONDS, MERGE_EVERY
 from driftwell.operators import identity, quality, windows
 from driftwell.operators.dead_letters import letters_by_stage
 from driftwell.plans.debug import debug_outputs
 from driftwell.plans.flow import TelemetryFlow, identity_routes, message_routes
 from driftwell.session import configure, materialize, scratch
 from driftwell.sources.tables import Tables
+from driftwell.streaming.memory import ShortTermMemory
 
 # The last table of a batch marks it as done, since the gold stream reads it.
 LAST_TABLE = "silver"
@@ -33,30 +33,42 @@ def process_batch(
     as_of: Column | None = None,
     debug: bool = False,
     send_dead_letters: Callable[[DataFrame], None] | None = None,
+    disorder_seconds: int = DISORDER_SECONDS,
+    merge_every: int = MERGE_EVERY,
 ) -> None:
     """Run every stage on ``messages`` and write all result tables; safe to repeat.
 
-    ``send_dead_letters`` passes the quarantine messages on, e.g. to a topic, at least once.
+    ``send_dead_letters`` passes the quarantine messages on, e.g. to a topic, at least once. ``disorder_seconds``
+    is how far arrivals of one source partition may be out of order across batches. Every ``merge_every``
+    batches the registry's parts are merged.
     """
     if tables.written(LAST_TABLE, batch_id):
         return
+    if batch_id > 0 and batch_id % merge_every == 0:
+        merge_registry(tables, batch_id)
+    memory = ShortTermMemory(tables, batch_id, disorder_seconds)
     with scratch(messages.sparkSession):
-        for name, rows in _outputs(messages, batch_id, tables, as_of, debug):
+        for name, rows in _outputs(stamped(messages, tables, batch_id), batch_id, tables, memory, as_of, debug):
             tables.write(rows, name, batch_id)
             if name == "dead_letters" and send_dead_letters is not None:
                 send_dead_letters(rows)
-    tables.forget_before("short_term_memory", batch_id - 1)
+    memory.forget()
+    tables.forget_before("batch_clock", batch_id)
 
 
-def _outputs(messages: DataFrame, batch_id: int, tables: Tables, as_of: Column | None, debug: bool):
+def stamped(messages: DataFrame, tables: Tables, batch_id: int) -> DataFrame:
+    """Arrivals on this side's clock: no arrival is later than its batch, one without a time is stamped with it."""
+    return messages.withColumn("arrival_ts", F.least("arrival_ts", F.lit(tables.batch_time(batch_id))))
+
+
+def _outputs(messages: DataFrame, batch_id: int, tables: Tables, memory: ShortTermMemory, as_of: Column | None, debug: bool):
     flow = TelemetryFlow(messages, as_of)
     checked, accepted = flow.checked, flow.accepted
     yield "raw_telemetry", accepted
     yield "dead_letters", letters_by_stage(checked).select("value")
 
-    remembered = tables.latest_before("short_term_memory", batch_id)
     registry = tables.before("registry", batch_id)
-    routed = materialize(identity.decide_identity(accepted, registry, remembered), "routed")
+    routed = materialize(identity.decide_identity(accepted, registry, memory.remembered()), "routed")
     new = routed.filter(F.col("route") == identity.NEW)
     registered = identity.registry_rows(new)
 
@@ -66,15 +78,9 @@ def _outputs(messages: DataFrame, batch_id: int, tables: Tables, as_of: Column |
     yield "registry", bucketed.repartitionByRange("bucket").sortWithinPartitions("bucket", "event_id")
     yield "registry_history", registered
 
-    last_arrival = accepted.agg(F.max("arrival_ts")).first()[0]
-    if last_arrival is not None:
-        # Arrivals may be somewhat out of order across batches, so holders are kept a while longer.
-        horizon = F.lit(last_arrival - timedelta(seconds=CONFLICT_TTL_SECONDS))
-        yield "short_term_memory", identity.short_term_memory(routed, remembered, horizon)
-    elif remembered is not None:
-        yield "short_term_memory", remembered
+    yield from memory.advance(accepted, identity.short_term_memory(routed))
 
-    routes = message_routes(checked).unionByName(identity_routes(routed))
+    routes = message_routes(checked).unionByName(identity_routes(routed)).unionByName(memory.behind(accepted))
     yield "stage_counts", quality.stage_counts(routes)
     yield "latency", quality.latency_stats(quality.measure_latency(accepted))
     if debug:
@@ -89,13 +95,14 @@ def start_ingest(
     as_of: Column | None = None,
     debug: bool = False,
     send_dead_letters: Callable[[DataFrame], None] | None = None,
+    disorder_seconds: int = DISORDER_SECONDS,
     **trigger,
 ) -> StreamingQuery:
     """``trigger`` as for ``writeStream.trigger``, e.g. ``availableNow=True``."""
     configure(messages.sparkSession)
     return (
         messages.writeStream.queryName("ingest")
-        .foreachBatch(lambda batch, number: process_batch(batch, number, tables, as_of, debug, send_dead_letters))
+        .foreachBatch(lambda batch, number: process_batch(batch, number, tables, as_of, debug, send_dead_letters, disorder_seconds))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()

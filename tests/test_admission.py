@@ -139,7 +139,7 @@ def test_two_batches_equal_one(spark, fold_copies, hot_rows):
     sizes = {"fold_copies": fold_copies, "hot_rows": hot_rows}
     first = decide_identity(early, **sizes)
     registry = registry_rows(first.filter(F.col("route") == "new")).withColumn("bucket", registry_bucket())
-    remembered = short_term_memory(first, None, F.lit(cut))
+    remembered = short_term_memory(first)
     assert remembered.count() > 0
     second = decide_identity(late, registry, remembered, **sizes)
     got = {r.arrival_seq: r.route for r in first.unionByName(second).collect()}
