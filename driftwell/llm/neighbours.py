@@ -2,15 +2,20 @@
 
 1. Equal vectors are one *node*; a node keeps the ids of its smallest ``COPIES`` members, which is all that a
    result of five can need. Nodes carry their unit vector in half precision through the joins.
-2. A first graph: each of ``TREES`` sets of random hyperplanes cuts the nodes into leaves of about ``LEAF``
-   nodes; larger leaves (a crowd of like vectors) are dealt into parts, so no group is larger than twice that.
-   Every node takes the best ``DEGREE`` of all its leaves as neighbours.
-3. NN-descent, ``DESCENTS`` times: neighbours, forward and backward, of every node meet at that node and are
-   compared with each other; a pair is sent on only where it beats the node's present last neighbour. Backward
-   lists keep the ``DEGREE`` best (the graph is an index, its recall is measured).
-4. Search: each query node starts from its own neighbours; step by step the unvisited of its best ``BEAM`` are
-   joined with the adjacency, their neighbours with the unit vectors, and the best ``BEAM`` kept, until
-   nothing new comes up or ``STEPS`` steps are done.
+2. A first graph: each of a number of sets of random hyperplanes cuts the nodes into leaves of about ``LEAF``
+   nodes. Larger leaves (a crowd of like vectors) are cut again at the medians of a sample of the leaf, as
+   often as that makes them smaller; only what no plane parts (units equal in half precision) is dealt out by
+   chance, so no group is larger than about twice ``LEAF``. Every node takes the best ``DEGREE`` of all its leaves.
+3. NN-descent: neighbours, forward and backward, of every node meet at that node and are compared with each
+   other; a pair is sent on only where it beats the node's present last neighbour. Backward lists keep the
+   ``DEGREE`` best (the graph is an index, its recall is measured). Rounds go on until less than ``SETTLED`` of
+   all neighbours are new; centers whose adjacency is as in the round before have nothing to add and sit out.
+4. Search: each query node starts from its own neighbours; step by step the unvisited of its best nodes (the
+   beam) are joined with the adjacency, their neighbours with the unit vectors, and the best kept, until nothing
+   new comes up. No node is visited twice for a query, so this ends.
+
+Each doubling of the nodes above ``LEAF`` adds ``MORE_TREES`` sets of hyperplanes to ``TREES`` and ``MORE_BEAM`` nodes
+to a beam of ``BEAM``.
 5. The beam's members are scored again with the original vectors in double precision and ranked.
 
 Vectors that are null, zero, or hold null or non-finite components, and rows with a null id, take no part;
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +41,12 @@ TREES = 24
 LEAF = 1024
 DEGREE = 16
 PER_TREE = 12  # neighbours a leaf proposes to a node
-DESCENTS = 2
+MORE_TREES = 2
+SAMPLE = 256  # nodes of a crowded leaf that place its cuts
+SETTLED = 0.002
 PROPOSED = 5  # better neighbours a meeting proposes to a node
 BEAM = 96
-STEPS = 8
+MORE_BEAM = 16
 COPIES = 6
 CHUNK = 512  # rows of lists worked on at once in a task
 SEED = 20240101
@@ -119,9 +127,51 @@ def _merged(lists: DataFrame, keep: int = DEGREE) -> DataFrame:
     return gathered.mapInArrow(merge, LISTS)
 
 
+def _doublings(count: int, leaf: int = LEAF) -> int:
+    """Cuts in two that bring ``count`` nodes down to leaves of ``leaf``."""
+    return max(0, math.ceil(math.log2(max(count, 1) / leaf)))
+
+
+def _cut_crowded(placed: DataFrame, units: DataFrame, dimensions: int, leaf: int) -> DataFrame:
+    """Cuts leaves of more than 1.5 ``leaf`` nodes at their medians until that makes no leaf smaller."""
+    before, turn = math.inf, 0
+    while True:
+        sizes = placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
+        crowded = sizes.filter(F.col("n") > 1.5 * leaf).withColumn("cuts", F.ceil(F.log2(F.col("n") / leaf)).cast("int"))
+        crowded = materialize(crowded, "crowded")
+        # The sum of squares falls with every leaf that is parted.
+        weight, most = crowded.agg(F.sum(F.col("n").cast("double") * F.col("n")), F.max("cuts")).first()
+        if weight is None or weight > 0.99 * before:
+            return placed
+        before, turn = weight, turn + 1
+        planes = np.random.default_rng(SEED + turn).normal(size=(dimensions, most)).astype(np.float32)
+        inside = materialize(placed.join(crowded, ["tree", "leaf"]).join(units.select("node", "unit"), "node"), "inside")
+        sample = inside.filter(F.pmod(F.xxhash64("node", "tree", F.lit(turn)), F.col("n")) < SAMPLE)
+
+        def middle(table: pa.Table) -> pa.Table:
+            middles = np.median(_units(table.column("unit").combine_chunks()) @ planes, axis=0)
+            return pa.table({"tree": table.column("tree")[:1], "leaf": table.column("leaf")[:1], "middles": _lists([middles], pa.float32())})
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if len(batch):
+                    middles = np.array(batch.column(5).to_pylist(), np.float32)
+                    used = np.arange(planes.shape[1]) < batch.column(3).to_numpy()[:, None]
+                    sides = (_units(batch.column(4)) @ planes > middles) & used
+                    codes = (sides * (np.int64(1) << np.arange(planes.shape[1], dtype=np.int64))).sum(axis=1, dtype=np.int64)
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes)], names=["node", "tree", "leaf", "code"])
+
+        middles = sample.select("tree", "leaf", "unit").groupBy("tree", "leaf").applyInArrow(middle, "tree int, leaf long, middles array<float>")
+        rows = inside.join(F.broadcast(middles), ["tree", "leaf"]).select("node", "tree", "leaf", "cuts", "unit", "middles")
+        parted = rows.mapInArrow(cut, "node long, tree int, leaf long, code long")
+        named = parted.select("node", "tree", F.xxhash64("leaf", F.lit(turn), "code").alias("leaf"))
+        kept = placed.join(crowded, ["tree", "leaf"], "left_anti").select("node", "tree", "leaf")
+        placed = materialize(kept.union(named), "leaves")
+
+
 def _forest(units: DataFrame, count: int, dimensions: int, trees: int, leaf: int) -> DataFrame:
     """Lists of near nodes found within the leaves."""
-    bits = max(0, math.ceil(math.log2(max(count, 1) / leaf)))
+    bits = _doublings(count, leaf)
     trees = trees if bits else 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,6 +183,7 @@ def _forest(units: DataFrame, count: int, dimensions: int, trees: int, leaf: int
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, trees)), pa.array(np.tile(np.arange(trees), len(nodes)), pa.int32()), pa.array(codes.reshape(-1))], names=["node", "tree", "leaf"])
 
     placed = materialize(units.select("node", "unit").mapInArrow(cut, "node long, tree int, leaf long"), "leaves")
+    placed = _cut_crowded(placed, units, dimensions, leaf)
     parts = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (1.5 * leaf)).alias("parts"))
     dealt = placed.join(parts, ["tree", "leaf"]).select("node", "tree", "leaf", F.pmod(F.xxhash64("node", "tree"), F.col("parts")).alias("part"))
 
@@ -158,15 +209,16 @@ def _adjacency(graph: DataFrame) -> DataFrame:
     links = graph.select("node", F.inline(F.arrays_zip("ids", "scores"))).toDF("center", "member", "score")
     place = F.row_number().over(Window.partitionBy("member").orderBy(F.desc("score"), "center"))
     back = links.withColumn("place", place).filter(F.col("place") <= DEGREE).select(F.col("member").alias("center"), F.col("center").alias("member"))
-    return links.select("center", "member").union(back).distinct()
+    both = links.select("center", "member").union(back)
+    return both.groupBy("center").agg(F.array_sort(F.collect_set("member")).alias("near"))
 
 
-def _descend(graph: DataFrame, units: DataFrame) -> DataFrame:
-    """One round: members of each center's adjacency are compared with each other."""
+def _descend(graph: DataFrame, adjacency: DataFrame, units: DataFrame) -> DataFrame:
+    """One round: members of each center's adjacency (center, near) are compared with each other."""
     # What a node's next neighbour has to beat; nodes with few neighbours take any.
     last = F.when(F.size("scores") < DEGREE, -2.0).otherwise(F.array_min("scores")).cast("float")
     known = units.select("node", "unit").join(graph.select("node", last.alias("last")), "node")
-    met = _adjacency(graph).join(known.withColumnRenamed("node", "member"), "member")
+    met = adjacency.select("center", F.explode("near").alias("member")).join(known.withColumnRenamed("node", "member"), "member")
     meetings = met.groupBy("center").agg(F.collect_list(F.struct("member", "unit", "last")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,22 +247,33 @@ def _descend(graph: DataFrame, units: DataFrame) -> DataFrame:
     return _merged(graph.union(meetings.select("members").mapInArrow(compare, LISTS)))
 
 
-def neighbour_graph(nodes: DataFrame, trees: int = TREES, leaf: int = LEAF, descents: int = DESCENTS) -> DataFrame:
-    """(node, ids, scores): each node's neighbours, best first, of nodes (node, unit)."""
+def neighbour_graph(nodes: DataFrame, trees: int | None = None, leaf: int = LEAF, descents: int | None = None) -> DataFrame:
+    """(node, ids, scores): each node's neighbours, best first, of nodes (node, unit); ``descents`` ends the rounds early."""
     units = nodes.select("node", "unit")
     head = units.first()
     if head is None:
         return nodes.sparkSession.createDataFrame([], LISTS)
-    dimensions = len(head["unit"]) // 2
-    graph = materialize(_merged(_forest(units, units.count(), dimensions, trees, leaf)), "graph")
-    for _ in range(descents):
-        graph = materialize(_descend(graph, units), "graph")
+    dimensions, count = len(head["unit"]) // 2, units.count()
+    trees = TREES + MORE_TREES * _doublings(count, leaf) if trees is None else trees
+    graph = materialize(_merged(_forest(units, count, dimensions, trees, leaf)), "graph")
+    before, rounds = None, 0
+    while rounds != descents:
+        adjacency = materialize(_adjacency(graph), "adjacency")
+        moved = adjacency
+        if before is not None:
+            moved = adjacency.join(before.withColumnRenamed("near", "was"), "center", "left").filter(~F.col("near").eqNullSafe(F.col("was"))).select("center", "near")
+        old, graph = graph, materialize(_descend(graph, moved, units), "graph")
+        before, rounds = adjacency, rounds + 1
+        both = graph.join(old.select("node", F.col("ids").alias("was")), "node")
+        new, total = both.agg(F.sum(F.size(F.array_except("ids", "was"))), F.sum(F.size("ids"))).first()
+        if new <= SETTLED * total:
+            break
     return graph
 
 
-def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int, steps: int) -> DataFrame:
+def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int) -> DataFrame:
     """(query, ids): the best ``beam`` nodes that greedy search finds for each query node, itself among them."""
-    adjacency = materialize(_adjacency(graph).groupBy("center").agg(F.collect_list("member").alias("near")), "adjacency")
+    adjacency = materialize(_adjacency(graph), "adjacency")
     start = queries.select(F.col("node").alias("query"), "unit").join(graph.withColumnRenamed("node", "query"), "query")
     state = start.select("query", "unit", "ids", "scores", F.array().cast("array<long>").alias("done"))
 
@@ -232,33 +295,38 @@ def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int, s
                     best, marks = was, mark
                 ids.append(best)
                 scores.append(marks)
-                done.append(np.intersect1d(seen, best))
+                done.append(seen)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(ids, pa.int64()), _lists(scores, pa.float32()), _lists(done, pa.int64())], names=["query", "unit", "ids", "scores", "done"])
 
     schema = "query long, unit binary, ids array<long>, scores array<float>, done array<long>"
-    for _ in range(steps):
+    ended = []
+    while True:
         state = materialize(state, "search")
-        frontier = state.select("query", "ids", F.explode(F.array_except("ids", "done")).alias("center"))
-        if frontier.isEmpty():
+        open_ = F.size(F.array_except("ids", "done")) > 0
+        ended.append(state.filter(~open_).select("query", "ids"))
+        state = state.filter(open_)
+        if state.isEmpty():
             break
+        frontier = state.select("query", "ids", F.explode(F.array_except("ids", "done")).alias("center"))
         reached = frontier.join(adjacency, "center").select("query", "ids", F.explode("near").alias("node"))
         new = reached.filter(~F.array_contains("ids", F.col("node"))).select("query", "node").distinct()
         scored = new.join(units, "node").groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("found"))
         state = state.join(scored.hint("merge"), "query", "left").mapInArrow(advance, schema)
-    return state.select("query", F.array_union("ids", F.array("query")).alias("ids"))
+    return reduce(DataFrame.union, ended).select("query", F.array_union("ids", F.array("query")).alias("ids"))
 
 
 def nearest(
-    df: DataFrame, queries: str, vector: str = "embedding", vec_id: str = "vec_id", k: int = 5, beam: int = BEAM, steps: int = STEPS
+    df: DataFrame, queries: str, vector: str = "embedding", vec_id: str = "vec_id", k: int = 5, beam: int | None = None
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for the rows that meet ``queries``, a SQL condition on vec_id."""
     rows = materialize(valid_vectors(df, vector, vec_id), "vectors")
     nodes = materialize(_nodes(rows), "nodes")
     units = nodes.select("node", "unit")
     graph = neighbour_graph(nodes)
+    beam = max(BEAM + MORE_BEAM * _doublings(nodes.count()), 2 * k) if beam is None else beam
     asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "embedding").join(nodes.select("embedding", F.col("node").alias("query")), "embedding")
     asked = materialize(asked, "queries")
-    found = _search(graph, units, asked.select(F.col("query").alias("node")).distinct().join(units, "node"), beam, steps)
+    found = _search(graph, units, asked.select(F.col("query").alias("node")).distinct().join(units, "node"), beam)
     pairs = asked.join(found, "query").select("query_id", F.col("embedding").alias("left"), F.explode("ids").alias("node"))
 
     @F.arrow_udf("double")

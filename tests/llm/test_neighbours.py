@@ -47,3 +47,29 @@ def test_odd_vectors(spark):
     got = [(r["rank"], r.vec_id, r.score) for r in neighbours.nearest(frame, "vec_id = 0").orderBy("rank").collect()]
     assert got == [(1, 1, 1.0), (2, 2, 1.0), (3, 8, 0.0)]
     assert neighbours.nearest(frame.limit(0), "vec_id = 0").count() == 0
+
+
+def test_crowd_is_cut_and_not_dealt(spark):
+    draw = np.random.default_rng(2)
+    spread = np.zeros((600, 16))
+    spread[:, :4] = 0.3 * draw.normal(size=(600, 4))
+    vectors = np.concatenate([draw.normal(size=16) + spread, draw.normal(size=(600, 16))]).astype(np.float16).astype(np.float64)
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    nodes = materialize(neighbours._nodes(neighbours.valid_vectors(frame, "embedding", "vec_id")), "nodes")
+    graph = {r.node: r.ids for r in neighbours.neighbour_graph(nodes, trees=8, leaf=64, descents=0).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T
+    np.fill_diagonal(near, -2)
+    best = np.argsort(-near, axis=1)[:, :5]
+    assert np.mean([len(set(best[i]) & set(graph[i])) / 5 for i in range(600)]) > 0.9
+
+
+def test_search_goes_on_until_nothing_new_comes_up(spark):
+    # A chain of 40 nodes; the query is at its far end and starts at the near one.
+    angles = [*np.linspace(1.5, 0.05, 40), 0.0]
+    units = [(i, bytearray(np.array([np.cos(a), np.sin(a)], np.float16).tobytes())) for i, a in enumerate(angles)]
+    links = [(i, [i + 1] if i < 39 else [38], [0.9]) for i in range(40)] + [(40, [0], [0.0])]
+    unit = spark.createDataFrame(units, "node long, unit binary")
+    graph = spark.createDataFrame(links, neighbours.LISTS)
+    found = neighbours._search(graph, unit, unit.filter("node = 40"), 4).first()
+    assert {39, 38, 37} <= set(found.ids)
