@@ -35,6 +35,16 @@ def test_licences(spark):
     assert licenses.scan(frame.limit(0)).count() == 0
 
 
+def test_licences_within_a_long_text(spark):
+    filler = " ".join(f"word{i} stands here" for i in range(400))
+    split = {name: re.sub(r"(?<=[.:;])\s+", "\n\n", text) for name, text in TEMPLATES.items()}
+    rows = [(name, f"{filler}\n\nCopyright 2024 Foo\n{text}\nint main;\n\n{filler}") for name, text in split.items()]
+    rows += [("MIT-notice", "Copyright 2024 Foo. Released under the MIT License."), ("ISC", f"{filler} {TEMPLATES['ISC']} {filler}")]
+    frame = spark.createDataFrame([*rows, (None, filler), (None, "mit"), (None, None)], "license string, text string")
+    for row in licenses.scan(frame).collect():
+        assert row.license in row.license_scan.licenses if row.license else row.license_scan.matches == []
+
+
 def test_fingerprints(spark):
     text = "First line runs on.\nSecond line is short.\n\nNext section stands alone."
     rows = [(3, text), (2, text), (1, text.replace("short", "long")), (None, None), (0, ""), (0, ""), (-1, "x" * 100_000)]
