@@ -11,7 +11,8 @@ is spread over the slices, and no pair is made. Equal captures are judged once.
 
 Of entries of one key and instant the one whose action comes first in block, allow, remove wins; repeated entries
 count once. Entries with a null in any field are ignored. Captures without a URL, a host or a time get the verdict
-``unknown``, those without a valid entry ``none``. URLs of any length are fine (keys follow ``PATH_DEPTH`` segments);
+``unknown``, those without a valid entry ``none``. URLs of any length are fine (captures get keys
+of as many path segments as the deepest entry has, counted first);
 hosts are compared in lower case without port and final dot. Other columns of any name are kept.
 """
 
@@ -51,6 +52,12 @@ def keys(url: Column, depth: int = PATH_DEPTH) -> Column:
     return F.when(name.isNotNull(), F.concat(domains, paths))
 
 
+def deepest(entries: DataFrame) -> int:
+    """The most path segments that a key of ``entries`` has."""
+    segments = F.size(F.split("key", "/")) - 1
+    return max(0, entries.agg(F.max(segments).alias("depth")).first()["depth"] or 0)
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(key, action, valid_from, valid_to) of entries (key, action, since); ``valid_to`` is exclusive, null while open."""
     order = F.array(*[F.lit(a) for a in ACTIONS])
@@ -87,7 +94,7 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched_at:
     """Adds ``out``: struct(verdict, key, since)."""
     url_, at_ = F.col(f"`{url}`"), F.col(f"`{fetched_at}`")
     distinct = captures.select(url_.alias("url"), at_.cast("timestamp").alias("fetched_at")).na.drop().distinct()
-    asked = distinct.select("url", "fetched_at", F.inline(keys(F.col("url"))))
+    asked = distinct.select("url", "fetched_at", F.inline(keys(F.col("url"), deepest(entries))))
     found = as_of(asked, intervals(entries)).filter("action <> 'remove'")
     best = found.groupBy(F.col("url").alias("__url"), F.col("fetched_at").alias("__fetched_at")).agg(F.max(F.struct("rank", "action", "key", "valid_from")).alias("__best"))
     joined = captures.join(best, (url_ == F.col("__url")) & (at_.cast("timestamp") == F.col("__fetched_at")), "left")

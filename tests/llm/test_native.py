@@ -115,6 +115,13 @@ def test_url_lists(spark):
     assert url_lists.judge(asked.limit(0), listed).count() == 0
 
 
+def test_deep_url_list_entries(spark):
+    listed = spark.createDataFrame([("a.org/a/b/c", "block", datetime(2024, 1, 1)), ("a.org/a", "allow", datetime(2024, 1, 1))], "key string, action string, since timestamp")
+    urls = ["http://a.org/a/b/c/d", "http://a.org/a/b", "http://a.org/"]
+    asked = spark.createDataFrame([(url, datetime(2024, 1, 2)) for url in urls], "url string, fetched_at timestamp")
+    assert {r.url: r.url_verdict.verdict for r in url_lists.judge(asked, listed).collect()} == dict(zip(urls, ["block", "allow", "none"], strict=True))
+
+
 def test_mixing(spark):
     rows = [(i, "w " * (i % 40), ["a", "b", "c", None][i % 4]) for i in range(400)] + [(7, "w w", "a"), (7, "w w", "a"), (None, None, "z"), (9, "w " * 9000, "b")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, block int")
