@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftwell.llm import licenses, merkle, mixing, url_lists
+from driftwell.llm import licenses, merkle, mixing, top_scores, url_lists, vector_codes
 from driftwell.llm.license_texts import TEMPLATES
 
 
@@ -125,5 +125,57 @@ SELECT doc_id, size, source_size, target,
 FROM placed"""
 
 
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_TOP_SCORES = rf"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor({top_scores.FACTOR} * x::DOUBLE)) AS c
+  FROM embeddings WHERE {_USABLE}),
+scored AS (
+  SELECT q.row_id, q.vec_id AS query_id, v.vec_id, list_inner_product(q.c, v.c)::BIGINT AS score, v.row_id AS other
+  FROM vectors q JOIN vectors v ON q.row_id <> v.row_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY row_id ORDER BY score DESC, vec_id NULLS LAST, other)
+QUALIFY row_number() OVER best <= 20"""
+
+
+def _vector_codes() -> str:
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+    steps = []
+    for step in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""
+near{step} AS (
+  SELECT a.n, a.p, min(list_sum(list_transform(list_zip(a.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * {entries} + b.e) AS best
+  FROM cut a JOIN book{step} b USING (p) GROUP BY a.n, a.p)""")
+        if step < vector_codes.ROUNDS:
+            steps.append(f"""
+sums{step} AS (
+  SELECT p, best % {entries} AS e, i, sum(v)::BIGINT AS total, count(*) AS number
+  FROM (SELECT c.p, best, unnest(c.c) AS v, unnest(range(len(c.c))) AS i FROM cut c JOIN near{step} USING (n, p)) GROUP BY ALL),
+book{step + 1} AS (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{step} b
+  LEFT JOIN (SELECT p, e, list((total - ((total % number) + number) % number) // number ORDER BY i) AS c FROM sums{step} GROUP BY p, e) m USING (p, e))""")
+    last = vector_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS n, vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.FACTOR} * x::DOUBLE)::BIGINT) AS numbers
+  FROM embeddings WHERE {_USABLE}),
+cut AS (
+  SELECT n, p, numbers[p * (len(numbers) // {parts}) + 1 : (p + 1) * (len(numbers) // {parts})] AS c
+  FROM (SELECT n, numbers, unnest(range({parts})) AS p FROM kept)),
+book0 AS (SELECT p, n AS e, c FROM cut WHERE n < {entries}),{','.join(steps)},
+coded AS (
+  SELECT n, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error FROM near{last} GROUP BY n),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (n), digest"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op1_licenses": _licenses(), "op3_fingerprints": _fingerprints(), "op9_url_lists": _URL_LISTS, "op10_mixing": _MIXING}
+    return {
+        "op1_licenses": _licenses(),
+        "op3_fingerprints": _fingerprints(),
+        "op9_url_lists": _URL_LISTS,
+        "op10_mixing": _MIXING,
+        "op11_top_scores": _TOP_SCORES,
+        "op13_vector_codes": _vector_codes(),
+    }

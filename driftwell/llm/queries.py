@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import bpe, language, licenses, merkle, mixing, near_duplicates, neighbours, personal_data, token_counts, url_lists
+from driftwell.llm import (
+    alignment,
+    bpe,
+    language,
+    licenses,
+    merkle,
+    mixing,
+    near_duplicates,
+    neighbours,
+    personal_data,
+    token_counts,
+    top_scores,
+    url_lists,
+    vector_codes,
+)
 
 TOKEN_LIMIT = 512
 
@@ -157,6 +171,35 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_scores.top_scores(_table(spark, sf_dir, "embeddings"), queries="vec_id % 20 = 0", k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.weighed_alignments(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"), kept=["doc_id"])
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = (op1_licenses, op2_language, op3_fingerprints, op4_minhash, op5_bpe, op6_personal_data, op7_token_counts, op8_neighbours, op9_url_lists, op10_mixing)
+    listed = (
+        op1_licenses,
+        op2_language,
+        op3_fingerprints,
+        op4_minhash,
+        op5_bpe,
+        op6_personal_data,
+        op7_token_counts,
+        op8_neighbours,
+        op9_url_lists,
+        op10_mixing,
+        op11_top_scores,
+        op12_alignment,
+        op13_vector_codes,
+    )
     return {query.__name__: query for query in listed}
