@@ -27,6 +27,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ COMMON = 65_536
 KNOWN_UNITS = 100_000
 KNOWN_CHARS = 1 << 23
 PAIRS_AT_ONCE = 1 << 21
+JOINED_CHARS = 1 << 15  # of units that A reads as one text
 BITS = np.int64(20)  # of an id
 MASK = (1 << 20) - 1
 
@@ -71,6 +73,8 @@ class Vocabularies:
         self.b = SentencePieceProcessor(model_file=path_b)
         byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
         vocabulary = self.a.get_vocab(with_added_tokens=True)
+        if not all(symbol in vocabulary for symbol in byte_of):
+            raise ValueError("A does not know every byte")
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
             self.bytes_a[number] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
@@ -80,6 +84,7 @@ class Vocabularies:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.space = self.b.piece_to_id("▁")
         self.length_a, self.length_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
+        self.written = [np.array([[f"{i}{sign}" for i in range(n)] for sign in signs], dtype=object) for n, signs in ((len(self.bytes_a), ",|"), (len(pieces), ",;"))]
         by_bytes: dict[bytes, int] = {}
         for byte_piece in (False, True):  # a whole piece before a single byte
             for i, own in enumerate(self.bytes_b):
@@ -87,15 +92,35 @@ class Vocabularies:
                     by_bytes.setdefault(own, i)
         self.identity = np.fromiter((by_bytes.get(own, -1) for own in self.bytes_a), np.int64, len(self.bytes_a))
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for units given without their first space; ([], []) where the bytes differ."""
-        in_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For units given without their first space: ids in A, how many each unit has, the same in B; none where bytes differ."""
+        own = [b" " + u.encode("utf-8", "surrogatepass") for u in units]
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        in_a = self._in_a(units)
         in_b = [ids or [self.space] for ids in self.b.encode(units, num_threads=1)]
-        for i, unit in enumerate(units):
-            own = b" " + unit.encode("utf-8", "surrogatepass")
-            if b"".join([self.bytes_a[t] for t in in_a[i]]) != own or b"".join([self.bytes_b[t] for t in in_b[i]]) != own:
-                in_a[i], in_b[i] = [], []
-        return in_a, in_b
+        n_b = np.fromiter(map(len, in_b), np.int64, len(in_b))
+        b = np.fromiter(chain.from_iterable(in_b), np.int64, int(n_b.sum()))
+        # A's vocabulary has every byte, so its bytes are the units' own, and a unit ends where its bytes do.
+        upto = np.searchsorted(np.cumsum(self.length_a[in_a]), np.cumsum(size)) + 1
+        n_a = np.diff(upto, prepend=0)
+        fits = np.add.reduceat(self.length_b[b], np.cumsum(n_b) - n_b) == size if len(units) else np.empty(0, bool)
+        kept = np.repeat(fits, n_b)
+        if b"".join(map(self.bytes_b.__getitem__, b[kept].tolist())) != b"".join([o for o, f in zip(own, fits.tolist(), strict=True) if f]):
+            fits &= np.fromiter((b"".join(map(self.bytes_b.__getitem__, ids)) == o for ids, o in zip(in_b, own, strict=True)), bool, len(own))
+            kept = np.repeat(fits, n_b)
+        return in_a[np.repeat(fits, n_a)], np.where(fits, n_a, 0), b[kept], np.where(fits, n_b, 0)
+
+    def _in_a(self, units: list[str]) -> np.ndarray:
+        """Ids of all units one after the other. Those that end in a letter or sign are joined, as nothing reaches over their ends."""
+        texts, held, size = [], [], 0
+        for unit in units:
+            held += (" ", unit)
+            size += len(unit)
+            if size >= JOINED_CHARS or not unit or unit[-1].isspace():
+                texts.append("".join(held))
+                held, size = [], 0
+        texts.append("".join(held))
+        return np.concatenate([np.array(e.ids, dtype=np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
 
 
 @cache
@@ -113,10 +138,6 @@ def _counted(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(times, first)
 
 
-def _flat(lists: list[list[int]]) -> np.ndarray:
-    return np.fromiter((x for ids in lists for x in ids), np.int64, sum(map(len, lists)))
-
-
 class Units:
     """Alignments of the units met so far in this task; emptied when they are too many."""
 
@@ -141,9 +162,7 @@ class Units:
         return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
 
     def _align(self, new: list[str]) -> None:
-        in_a, in_b = self.of.encode(new)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (in_a, in_b))
-        a, b = _flat(in_a), _flat(in_b)
+        a, n_a, b, n_b = self.of.encode(new)
         # Units without tokens have no bytes here either, so that both sides' offsets are the same line.
         end_a, end_b = np.cumsum(self.of.length_a[a]), np.cumsum(self.of.length_b[b])
         ends = np.intersect1d(end_a, end_b, assume_unique=True)
@@ -153,21 +172,20 @@ class Units:
         in_group_a, in_group_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
         links = np.bincount(unit_of_group, weights=in_group_a * in_group_b, minlength=len(new)).astype(np.int64)
         groups = np.bincount(unit_of_group, minlength=len(new))
-        self._show(new, a, b, in_group_a, in_group_b, groups)
+        self._show(a, b, group_a, group_b, n_a + n_b)
         self._pair(len(new), a, b, group_a, group_b, unit_of_group, len(ends))
         self.numbers = np.concatenate((self.numbers, np.stack([n_a, n_b, groups, links])), axis=1)
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
         self.chars += sum(map(len, new))
 
-    def _show(self, new, a, b, in_group_a, in_group_b, groups) -> None:
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        shown, at_a, at_b = [], 0, 0
-        for x, y in zip(in_group_a.tolist(), in_group_b.tolist(), strict=True):
-            shown.append(f"{','.join(text_a[at_a : at_a + x])}|{','.join(text_b[at_b : at_b + y])}")
-            at_a, at_b = at_a + x, at_b + y
+    def _show(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, tokens: np.ndarray) -> None:
+        """Every unit's groups as text: each id with the sign behind it, in the order of groups, A's before B's."""
+        last_a, last_b = (np.diff(g, append=-1) != 0 for g in (group_a, group_b))
+        written = np.concatenate((self.of.written[0][last_a.astype(int), a], self.of.written[1][last_b.astype(int), b]))
+        written = written[np.argsort(np.concatenate((group_a, group_b)), kind="stable")].tolist()
         at = 0
-        for n in groups.tolist():
-            self.shown.append(";".join(shown[at : at + n]))
+        for n in tokens.tolist():
+            self.shown.append("".join(written[at : at + n])[:-1])
             at += n
 
     def _pair(self, n, a, b, group_a, group_b, unit_of_group, n_groups) -> None:
