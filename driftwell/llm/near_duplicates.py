@@ -17,7 +17,8 @@
 Words are compared in lower case, by ASCII white space. Null and empty texts and texts of white space are
 copies of one another (no words); a text under five words has one shingle. Repeated rows are copies. A
 class's id is its smallest doc_id (null if it has only null ids). Texts of any length are fine. Other
-columns are not read. At 0.8, 20 bands of 4 registers miss a pair in 3 of 100,000 cases.
+columns are not read; an empty table gives no rows. At 0.8, 20 bands of 4 registers miss a pair in 3 of 100,000
+cases; a lower ``threshold`` is refused, as bands and sketches would lose links.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from driftwell.llm.bagminhash import REGISTERS, band_keys, signatures, sketches
 from driftwell.llm.codes import runs, small_batches
-from driftwell.llm.components import components
+from driftwell.llm.components import components, merged
 from driftwell.llm.shingles import WORDS, multisets, shingle_hashes, text_keys, weighted_jaccard, word_hashes
 from driftwell.operators.salting import every_salt, row_salt, salts_for
 from driftwell.session import materialize, scratch
@@ -43,7 +44,8 @@ SKETCH_WORDS = 4  # of 40 registers, each in four longs
 FINE = 1024  # registers of the second signature
 CLOSE = 26  # most registers of 160 that differ in the first round; at a similarity of 0.8 they are 30 on average
 MOST_DIFFERENT = (50, 236)  # the same in the second round, of 160 and of FINE; at 0.8 they are 30 and 192 on average
-RUN_CHARS = 1 << 22
+RUN_CHARS = 1 << 20
+TEXT_KEYS = ["k1", "k2"]
 ROW_KEYS = ["__near_id", "__near_no_id", "__near_hash"]
 HUB_ROWS = 2_000  # pairs of one hub that are verified in one place
 
@@ -128,7 +130,7 @@ def _differ(sketch: str, words: int) -> str:
 
 
 def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: dict[str, tuple[int, int]], threshold: float) -> DataFrame:
-    """Pairs (a, b) of members of different components, each from the first bucket that both are in.
+    """Pairs (a, b) of members of different components, with these, each from the first bucket that both are in.
 
     ``most_different`` has, for each column of sketches, its words of registers and how many registers may differ.
     One minus the similarity is a metric: two nodes whose similarities to the bucket's hub are further apart than
@@ -142,7 +144,7 @@ def _remaining(unsettled: DataFrame, nodes: DataFrame, most_different: dict[str,
     met = (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & in_reach
     for sketch, (sketch_words, most) in most_different.items():
         met &= F.expr(f"{_differ(sketch, sketch_words)} <= {most}")
-    return left.join(right, met & first_shared).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return left.join(right, met & first_shared).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "component_a", "component_b")
 
 
 def near_duplicates(
@@ -152,6 +154,8 @@ def near_duplicates(
 
     ``is_kept`` marks the rows that stand for their class: those with its smallest (doc_id, text_hash).
     """
+    if threshold < THRESHOLD or bands < BANDS:
+        raise ValueError(f"bands and sketches are laid out for similarities of {THRESHOLD} or more")
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     with scratch(docs.sparkSession) as keep:
         return keep(_classes(own.withColumn("text_hash", F.xxhash64("text")), threshold, words, bands), "classes")
@@ -164,13 +168,13 @@ def _row_keys(doc_id: str, text_hash: str) -> list[Column]:
 
 def _classes(own: DataFrame, threshold: float, words: int, bands: int) -> DataFrame:
     signed = _signed(own, "text", words, bands).select(
-        "doc_id", "text_hash", F.concat(F.hex("signed.k1"), F.lit("-"), F.hex("signed.k2")).alias("node"), "signed.bands", "signed.sketch"
+        "doc_id", "text_hash", "signed.*"
     )
     signed = materialize(signed, "signed")
-    nodes = signed.groupBy("node").agg(
+    nodes = signed.groupBy(*TEXT_KEYS).agg(
         F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
-    nodes = materialize(nodes, "nodes")
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # short ids, fixed by the table
 
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -181,14 +185,13 @@ def _classes(own: DataFrame, threshold: float, words: int, bands: int) -> DataFr
     crowded = materialize(placed.join(hubs, "key").select("key", "node", "hub"), "crowded")
 
     wanted = crowded.select("node").distinct().join(nodes, "node").select("node", "least.*")
-    once = own.select(*_row_keys("doc_id", "text_hash"), "text").dropDuplicates(ROW_KEYS)
-    found = once.join(wanted.select(*_row_keys("doc_id", "text_hash"), "node").hint("shuffle_hash"), ROW_KEYS)
-    texts = materialize(found.select("node", "text"), "texts")
+    found = own.select(*_row_keys("doc_id", "text_hash"), "text").join(wanted.select(*_row_keys("doc_id", "text_hash"), "node").hint("shuffle_hash"), ROW_KEYS)
+    texts = materialize(found.select("node", "text").dropDuplicates(["node"]), "texts")  # repeated rows of the few that are left
 
     hub_pairs = crowded.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     to_hubs = _compared(hub_pairs, texts, words)
     is_link = F.col("similarity") >= threshold
-    joined = components(to_hubs.filter(is_link))
+    joined = materialize(components(to_hubs.filter(is_link)), "joined")
     measured = crowded.join(to_hubs.toDF("node", "hub", "similarity"), ["node", "hub"], "left")
     measured = materialize(measured.select("key", "node", F.coalesce("similarity", F.lit(1.0)).alias("to_hub")), "measured")
     own_component = F.coalesce("component", "node")
@@ -203,17 +206,15 @@ def _classes(own: DataFrame, threshold: float, words: int, bands: int) -> DataFr
             sketched = sketched.join(_fine_sketches(left_over, words), "node")
             most_different["fine"] = (FINE // 64, MOST_DIFFERENT[1])
         pairs = materialize(_remaining(unsettled, sketched, most_different, threshold), "remaining")
-        more = _compared(pairs, texts, words).filter(is_link)
-        if not more.isEmpty():
-            # A component's star stands for its links.
-            stars = joined.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            joined = components(stars.union(more.select("a", "b")))
+        if not pairs.isEmpty():
+            more = _compared(pairs.select("a", "b"), texts, words).filter(is_link).join(pairs, ["a", "b"])
+            joined = merged(joined, more.select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
 
-    grouped = nodes.select("node", "least", "copies").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    grouped = nodes.select("node", *TEXT_KEYS, "least", "copies").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = grouped.groupBy("component").agg(F.min("least").alias("class_least"), F.sum("copies").alias("class_size"))
-    verdicts = grouped.select("node", "component").join(classes, "component").select("node", "class_least", F.col("class_least.doc_id").alias("class_id"), "class_size")
+    verdicts = grouped.select(*TEXT_KEYS, "component").join(classes, "component").select(*TEXT_KEYS, "class_least", F.col("class_least.doc_id").alias("class_id"), "class_size")
     is_kept = F.struct("doc_id", "text_hash").eqNullSafe(F.struct("class_least.doc_id", "class_least.text_hash"))
-    return signed.select("doc_id", "text_hash", "node").join(verdicts, "node").select("doc_id", "text_hash", "class_id", "class_size", is_kept.alias("is_kept"))
+    return signed.select("doc_id", "text_hash", *TEXT_KEYS).join(verdicts, TEXT_KEYS).select("doc_id", "text_hash", "class_id", "class_size", is_kept.alias("is_kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:

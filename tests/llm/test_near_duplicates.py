@@ -4,8 +4,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
-from driftwell.llm import bagminhash, near_duplicates, shingles
+from driftwell.llm import bagminhash, components, near_duplicates, shingles
 
 
 def counted(text):
@@ -88,3 +89,34 @@ def test_null_ids_repeated_rows_and_empty(spark):
     assert {r.class_id for r in rows if r.text_hash != 42} == {1}
     assert near_duplicates.drop_near_duplicates(frame).count() == 2
     assert near_duplicates.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_a_lower_threshold_is_refused(spark):
+    frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="0.8"):
+        near_duplicates.near_duplicates(frame, threshold=0.6)
+
+
+def test_components_and_further_links(spark):
+    draw = np.random.default_rng(9)
+    links = [(int(a), int(b)) for a, b in draw.integers(0, 300, (180, 2))] + [(1000, n) for n in range(400, 520)] + [(2000 + n, 2001 + n) for n in range(40)]
+    more = [(3, 450), (2000, 7), (9001, 9002)]
+
+    def brute(pairs):
+        top = {n: n for pair in pairs for n in pair}
+
+        def find(x):
+            while top[x] != x:
+                x = top[x]
+            return x
+
+        for a, b in pairs:
+            top[max(find(a), find(b))] = min(find(a), find(b))
+        return {n: find(n) for n in top}
+
+    first = components.components(spark.createDataFrame([p for p in links if p[0] != p[1]], "a long, b long"))
+    got = {r.node: r.component for r in first.collect()}
+    assert got == brute([p for p in links if p[0] != p[1]])
+    between = [(got.get(a, a), got.get(b, b)) for a, b in more]
+    after = {r.node: r.component for r in components.merged(first, spark.createDataFrame(between, "a long, b long")).collect()}
+    assert after == brute([p for p in links if p[0] != p[1]] + more)
