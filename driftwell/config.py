@@ -45,14 +45,15 @@ REPLAY_RATE_PERCENT = 2.0
 LATENCY_P95_MS = 30000.0
 
 # Engine sizes (ours). A key with at most FOLD_COPIES copies is folded as one bounded array; a
-# key with more takes the distributed path. A key is spread over one salt per HOT_ROWS copies.
+# key with more takes the distributed path. A key is spread over one salt per HOT_ROWS copies. The registry
+# is stored in buckets, and so many parts of a level are merged into one.
 FOLD_COPIES = 256
 HOT_ROWS = 1_000_000
-REGISTRY_BUCKETS = 1024
+REGISTRY_BUCKETS = 256
+REGISTRY_FAN = 8
 
 # Streams (ours). Bits of ``arrival_seq`` below the source partition; how far a partition's arrivals may be
-# out of order; after how long a silent partition is taken as idle; batches between merges of the registry.
+# out of order; after how long a silent partition is taken as idle.
 SOURCE_PARTITION_BITS = 44
 DISORDER_SECONDS = 10_800
 IDLE_SECONDS = 86_400
-MERGE_EVERY = 64

@@ -11,7 +11,6 @@ from driftwell.config import (
     DEDUPLICATION_SECONDS,
     FOLD_COPIES,
     HOT_ROWS,
-    REGISTRY_BUCKETS,
     REPLAY_REASON,
     REQUIRED_FIELDS,
 )
@@ -114,27 +113,20 @@ def deduplicate(records: DataFrame, fold_copies: int = FOLD_COPIES, hot_rows: in
     return records.join(checked.filter(~F.col("admitted")).select(*ROW_ID), ROW_ID, "left_anti")
 
 
-def registry_bucket(event_id: str = "event_id") -> Column:
-    return F.pmod(F.xxhash64(event_id), F.lit(REGISTRY_BUCKETS)).cast("int")
-
-
 def registry_hits(records: DataFrame, registry: DataFrame) -> DataFrame:
-    """Registry rows of the ids at hand, as remembered rows. Both sides are unique by id: no skew.
+    """Registry rows of the ids at hand, as remembered rows, one for an id.
 
-    The registry side is only filtered, not shuffled, when the ids fit a broadcast, which adaptive
-    execution decides from their measured size. A stored registry is sorted by ``bucket``: a batch
-    that touches few buckets (at most REGISTRY_BUCKETS numbers are listed) skips the other row groups.
+    A registry stored in buckets of the id (see ``sources.registry``) is neither shuffled nor gathered: the distinct
+    ids of the batch are dealt to its buckets, or shipped if adaptive execution finds them small enough.
     """
     ids = records.select("event_id").distinct()
-    if "bucket" in registry.columns:
-        touched = [r.bucket for r in ids.select(registry_bucket().alias("bucket")).distinct().collect()]
-        if len(touched) < REGISTRY_BUCKETS // 2:
-            registry = registry.filter(F.col("bucket").isin(touched))
-    return registry.join(ids, "event_id").select(
+    hits = registry.select("event_id", "payload_hash", "first_seen_at").join(ids, "event_id")
+    first = hits.groupBy("event_id").agg(F.min(F.struct("first_seen_at", "payload_hash")).alias("first"))
+    return first.select(
         "event_id",
         F.lit(REGISTRY_MEMORY).alias("memory"),
-        F.col("payload_hash").alias("remembered_hash"),
-        F.col("first_seen_at").alias("remembered_at"),
+        F.col("first.payload_hash").alias("remembered_hash"),
+        F.col("first.first_seen_at").alias("remembered_at"),
         F.lit(None).cast("timestamp").alias("expires_at"),
     )
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,9 @@ from driftwell.operators import dead_letters as letters
 from driftwell.operators import gold as gold_ops
 from driftwell.operators import identity, quality, windows
 from driftwell.plans.flow import TelemetryFlow, message_routes
-from driftwell.session import configure, materialize
+from driftwell.session import configure, materialize, shared_dir
 from driftwell.sources import events
+from driftwell.sources.registry import Registry
 from driftwell.streaming import memory
 
 
@@ -202,6 +205,26 @@ def identity_in_device_batches(f):
     return results[0].unionByName(results[1]).unionByName(results[2])
 
 
+@_query
+def identity_in_stored_batches(f):
+    """Four batches by arrival against the stored registry, whose parts are merged on the way."""
+    rows = f.accepted
+    spark = rows.sparkSession
+    low, high = rows.agg(F.min(F.unix_micros("arrival_ts")), F.max(F.unix_micros("arrival_ts"))).first()
+    part = F.floor((F.unix_micros("arrival_ts") - F.lit(low)) * 4 / F.lit(high - low + 1))
+    stored = Registry(spark, f"{shared_dir(spark)}/driftwell/tables/registry-{uuid.uuid4().hex}", buckets=16, fan=2)
+    results, remembered = [], None
+    for number in range(4):
+        stored.create().merge(number)
+        routed = identity.decide_identity(rows.filter(part == number), stored.before(number), remembered)
+        routed = materialize(routed, f"batch-{number}")
+        stored.add(identity.registry_rows(routed.filter(F.col("route") == identity.NEW)), number)
+        holders = identity.short_term_memory(routed).withColumn("batch_id", F.lit(number).cast("long"))
+        remembered = holders if remembered is None else remembered.unionByName(holders)
+        results.append(routed.select("event_id", "arrival_seq", "route", "original_first_seen_at"))
+    return reduce(DataFrame.unionByName, results)
+
+
 @_query
 def registry_pairs(f):
     """Every record paired with the registry row of its id seen earlier, if any, and classified.

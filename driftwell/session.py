@@ -87,10 +87,3 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     files, place = _file_system(spark, path)
     files.delete(place, True)
-
-
-def move(spark: SparkSession, path: str, to: str) -> None:
-    files, place = _file_system(spark, path)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
-    if not files.rename(place, target):
-        raise OSError(f"could not move {path} to {to}")

@@ -1,4 +1,10 @@
-"""Append-only result tables: one Parquet folder per batch, written at most once."""
+"""Append-only result tables: one Parquet partition per batch, written at most once.
+
+Spark's dynamic partition overwrite commits a batch's partition: its files are written aside and the partition
+appears as a whole when the job commits. So a reader (the gold stream, say) meets no file of an attempt that
+failed, and a batch that is tried again keeps the partitions that are there and writes the others. A batch
+without rows for a table leaves no partition.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +14,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -17,8 +22,10 @@ from pyspark.sql.types import (
 )
 
 from driftwell import schemas
+from driftwell.config import REGISTRY_BUCKETS
 from driftwell.plans.debug import DEBUG_TABLES
-from driftwell.session import exists, folder_names, make_folder, move, remove
+from driftwell.session import exists, folder_names, make_folder, remove
+from driftwell.sources.registry import Registry
 
 _MEMORY = StructType(
     [
@@ -47,8 +54,8 @@ SCHEMAS = {
     "dead_letters": schemas.DEAD_LETTERS,
     "conflicts": schemas.CONFLICTS,
     "replays": schemas.REPLAYS,
-    "registry": StructType([*schemas.REGISTRY.fields, StructField("bucket", IntegerType())]),
     "registry_history": schemas.REGISTRY,
+    "finished": StructType([StructField("finished_at", TimestampType())]),
     "batch_clock": StructType([StructField("batch_time", TimestampType())]),
     "short_term_memory": _MEMORY,
     "memory_parts": StructType([StructField("part", LongType()), StructField("until", TimestampType())]),
@@ -65,12 +72,18 @@ SCHEMAS = {
 class Tables:
     spark: SparkSession
     root: str
+    registry_buckets: int = REGISTRY_BUCKETS
 
     def create(self, debug: bool = False) -> Tables:
         for name in [*SCHEMAS, *(DEBUG_TABLES if debug else [])]:
             make_folder(self.spark, self.path(name))
+        self.registry.create()
         return self
 
+    @property
+    def registry(self) -> Registry:
+        return Registry(self.spark, self.path("registry"), self.registry_buckets)
+
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
@@ -78,16 +91,12 @@ class Tables:
         return f"{self.path(name)}/batch_id={batch_id}"
 
     def written(self, name: str, batch_id: int) -> bool:
-        return exists(self.spark, f"{self._batch_path(name, batch_id)}/_SUCCESS")
+        return exists(self.spark, self._batch_path(name, batch_id))
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        """Append ``df`` as this batch's part of an existing table.
+        """Append ``df`` as this batch's partition of an existing table, unless it is there already.
 
-        A retried batch keeps a part that was finished and replaces one that was not, so rows are
-        never there twice. A part is written in a hidden folder and its files are moved only when all
-        are complete; a retry after that moves the rest of the same files. So a stream that reads the
-        table meets each file under one name and never a file of a failed attempt. Tables are not
-        created on the fly.
+        Tables are not created on the fly.
         """
         if not exists(self.spark, self.path(name)):
             raise ValueError(f"table {name} does not exist under {self.root}")
@@ -95,16 +104,9 @@ class Tables:
             df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])
         if self.written(name, batch_id):
             return
-        staged = f"{self.path(name)}/_staged/batch_id={batch_id}"
-        if not exists(self.spark, f"{staged}/_SUCCESS"):
-            df.write.mode("overwrite").parquet(staged)
-        self._publish(staged, self._batch_path(name, batch_id))
-
-    def _publish(self, staged: str, final: str) -> None:
-        make_folder(self.spark, final)
-        for file in sorted(folder_names(self.spark, staged), key=lambda n: n == "_SUCCESS"):  # the mark goes last
-            move(self.spark, f"{staged}/{file}", f"{final}/{file}")
-        remove(self.spark, staged)
+        numbered = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch_id").parquet(self.path(name))
 
     def batch_time(self, batch_id: int) -> datetime:
         """When the batch was first tried; its retries get the same."""
@@ -115,7 +117,8 @@ class Tables:
         return self.parts(name, [batch_id]).drop("batch_id")
 
     def parts(self, name: str, batch_ids: list[int]) -> DataFrame:
-        return self._read(name, *[self._batch_path(name, b) for b in batch_ids])
+        there = [self._batch_path(name, b) for b in batch_ids if self.written(name, b)]
+        return self._read(name, *there) if there else self.read(name).limit(0)
 
     def rows(self, name: str, values: list[tuple]) -> DataFrame:
         return self.spark.createDataFrame(values, SCHEMAS[name])
@@ -127,52 +130,11 @@ class Tables:
                 remove(self.spark, self._batch_path(name, old))
 
     def read(self, name: str) -> DataFrame:
-        """All rows; those of a merged copy carry the number of its last batch."""
-        parts = self._read(name, self.path(name))
-        merged = self._merged(name)
-        if merged is None:
-            return parts
-        copy = self.spark.read.schema(SCHEMAS[name]).parquet(self._batch_path(f"{name}_merged", merged))
-        return parts.filter(F.col("batch_id") > merged).unionByName(copy.withColumn("batch_id", F.lit(merged).cast("long")))
-
-    def before(self, name: str, batch_id: int) -> DataFrame:
-        """What earlier batches wrote; rows of the batch itself, from a failed attempt, are left out.
-
-        A merged copy, where there is one, stands for all parts up to its own number.
-        """
-        merged = self._merged(name, batch_id)
-        after = -1 if merged is None else merged
-        parts = [self._batch_path(name, b) for b in self._batches(name) if after < b < batch_id]
-        if merged is not None:
-            parts.append(self._batch_path(f"{name}_merged", merged))
-        schema = SCHEMAS[name]
-        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
-
-    def merge_before(self, name: str, batch_id: int, *order: str) -> None:
-        """Maintenance: rewrite all parts below ``batch_id`` as one copy, sorted by ``order``.
-
-        The parts are removed only once the copy is complete, and readers prefer a complete copy, so
-        this can stop at any point and be repeated. Run it between batches.
-        """
-        merged, last = f"{name}_merged", batch_id - 1
-        make_folder(self.spark, self.path(merged))
-        if not self.written(merged, last):
-            rows = self.before(name, batch_id)
-            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-            rows.write.mode("overwrite").parquet(self._batch_path(merged, last))
-        self.forget_before(name, batch_id)
-        self.forget_before(merged, last)
-
-    def _merged(self, name: str, batch_id: int | None = None) -> int | None:
-        """The last batch of the newest finished copy (of batches before ``batch_id``)."""
-        if not exists(self.spark, self.path(f"{name}_merged")):
-            return None
-        found = [b for b in self._batches(f"{name}_merged") if (batch_id is None or b < batch_id) and self.written(f"{name}_merged", b)]
-        return max(found, default=None)
+        return self._read(name, self.path(name))
 
     def latest_before(self, name: str, batch_id: int) -> DataFrame | None:
-        """The newest finished part older than this batch, for tables rewritten by every batch."""
-        found = [b for b in self._batches(name) if b < batch_id and self.written(name, b)]
+        """The newest part older than this batch, for tables rewritten by every batch."""
+        found = [b for b in self._batches(name) if b < batch_id]
         return self._read(name, self._batch_path(name, max(found))).drop("batch_id") if found else None
 
     def forget_before(self, name: str, batch_id: int) -> None:

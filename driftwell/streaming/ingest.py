@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftwell.config import DISORDER_SECONDS, MERGE_EVERY
+from driftwell.config import DISORDER_SECONDS
 from driftwell.operators import identity, quality, windows
 from driftwell.operators.dead_letters import letters_by_stage
 from driftwell.plans.debug import debug_outputs
@@ -22,8 +22,8 @@ from driftwell.session import configure, materialize, scratch
 from driftwell.sources.tables import Tables
 from driftwell.streaming.memory import ShortTermMemory
 
-# The last table of a batch marks it as done, since the gold stream reads it.
-LAST_TABLE = "silver"
+# A row here says that all of a batch's tables are written; only then is what it remembered let go.
+FINISHED, REGISTRY = "finished", "registry"
 
 
 def process_batch(
@@ -34,24 +34,25 @@ def process_batch(
     debug: bool = False,
     send_dead_letters: Callable[[DataFrame], None] | None = None,
     disorder_seconds: int = DISORDER_SECONDS,
-    merge_every: int = MERGE_EVERY,
 ) -> None:
     """Run every stage on ``messages`` and write all result tables; safe to repeat.
 
     ``send_dead_letters`` passes the quarantine messages on, e.g. to a topic, at least once. ``disorder_seconds``
-    is how far arrivals of one source partition may be out of order across batches. Every ``merge_every``
-    batches the registry's parts are merged.
+    is how far arrivals of one source partition may be out of order across batches.
     """
-    if tables.written(LAST_TABLE, batch_id):
+    if tables.written(FINISHED, batch_id):
         return
-    if batch_id > 0 and batch_id % merge_every == 0:
-        merge_registry(tables, batch_id)
+    tables.registry.merge(batch_id)
     memory = ShortTermMemory(tables, batch_id, disorder_seconds)
     with scratch(messages.sparkSession):
         for name, rows in _outputs(stamped(messages, tables, batch_id), batch_id, tables, memory, as_of, debug):
-            tables.write(rows, name, batch_id)
+            if name == REGISTRY:
+                tables.registry.add(rows, batch_id)
+            else:
+                tables.write(rows, name, batch_id)
             if name == "dead_letters" and send_dead_letters is not None:
                 send_dead_letters(rows)
+    tables.write(messages.sparkSession.range(1).select(F.current_timestamp().alias("finished_at")), FINISHED, batch_id)
     memory.forget()
     tables.forget_before("batch_clock", batch_id)
 
@@ -67,15 +68,13 @@ def _outputs(messages: DataFrame, batch_id: int, tables: Tables, memory: ShortTe
     yield "raw_telemetry", accepted
     yield "dead_letters", letters_by_stage(checked).select("value")
 
-    registry = tables.before("registry", batch_id)
-    routed = materialize(identity.decide_identity(accepted, registry, memory.remembered()), "routed")
+    routed = materialize(identity.decide_identity(accepted, tables.registry.before(batch_id), memory.remembered()), "routed")
     new = routed.filter(F.col("route") == identity.NEW)
     registered = identity.registry_rows(new)
 
     yield "conflicts", identity.conflict_audit_rows(routed)
     yield "replays", identity.replay_audit_rows(routed)
-    bucketed = registered.withColumn("bucket", identity.registry_bucket())
-    yield "registry", bucketed.repartitionByRange("bucket").sortWithinPartitions("bucket", "event_id")
+    yield REGISTRY, registered
     yield "registry_history", registered
 
     yield from memory.advance(accepted, identity.short_term_memory(routed))
@@ -108,7 +107,3 @@ def start_ingest(
         .start()
     )
 
-
-def merge_registry(tables: Tables, batch_id: int) -> None:
-    """Maintenance between batches: one sorted copy instead of a part for each batch below ``batch_id``."""
-    tables.merge_before("registry", batch_id, "bucket", "event_id")

@@ -49,7 +49,7 @@ class ShortTermMemory:
         self.horizon = None if self.progress is None else horizon(self.progress, disorder_seconds)
         parts = tables.latest_before(PARTS, batch_id)
         # One row per part that is still alive: as many as batches fit into the disorder and the ten minutes.
-        self.parts = [] if parts is None else [(r.part, r.until) for r in parts.collect()]
+        self.parts = [] if parts is None else [(r.part, r.until) for r in parts.collect() if r.until is not None]
 
     def remembered(self) -> DataFrame | None:
         return self.tables.parts(MEMORY, [part for part, _ in self.parts]) if self.parts else None
@@ -65,9 +65,10 @@ class ShortTermMemory:
         yield PROGRESS, latest_arrivals(records.withColumn("source_partition", source_partition()), self.progress)
         reached = horizon(self.tables.part(PROGRESS, self.batch_id), self.disorder_seconds)
         until = self.tables.part(MEMORY, self.batch_id).agg(F.max("expires_at")).first()[0]
-        own = [] if until is None else [(self.batch_id, until)]
-        alive = [(part, until) for part, until in [*self.parts, *own] if reached is None or until > reached]
-        yield PARTS, self.tables.rows(PARTS, alive)
+        # The batch's own row is there even if it remembers nothing, so that the list is never taken from an older one.
+        alive = [(part, last) for part, last in self.parts if reached is None or last > reached]
+        own = until if until is not None and (reached is None or until > reached) else None
+        yield PARTS, self.tables.rows(PARTS, [*alive, (self.batch_id, own)])
 
     def forget(self) -> None:
         """Removes parts that no longer matter; only once the batch is done."""

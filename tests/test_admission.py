@@ -12,7 +12,6 @@ from driftwell.operators.identity import (
     check_duplicates,
     decide_identity,
     detect_conflicts,
-    registry_bucket,
     registry_rows,
     short_term_memory,
 )
@@ -138,7 +137,7 @@ def test_two_batches_equal_one(spark, fold_copies, hot_rows):
     late = spark.createDataFrame([r for r in records if r[7] >= cut], SCHEMA)
     sizes = {"fold_copies": fold_copies, "hot_rows": hot_rows}
     first = decide_identity(early, **sizes)
-    registry = registry_rows(first.filter(F.col("route") == "new")).withColumn("bucket", registry_bucket())
+    registry = registry_rows(first.filter(F.col("route") == "new"))
     remembered = short_term_memory(first)
     assert remembered.count() > 0
     second = decide_identity(late, registry, remembered, **sizes)

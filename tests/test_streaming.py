@@ -12,7 +12,7 @@ from driftwell.session import remove
 from driftwell.sources import events
 from driftwell.sources.streams import file_messages, silver_stream
 from driftwell.sources.tables import Tables
-from driftwell.streaming.ingest import merge_registry, process_batch, start_ingest
+from driftwell.streaming.ingest import process_batch, start_ingest
 from driftwell.streaming.windows import (
     arrival_counts_stream,
     latest_gold,
@@ -41,7 +41,7 @@ def run(spark, flow, tmp_path_factory):
     for low, high in ((0, 400), (400, 900), (900, 10**9)):
         part = messages.filter((F.col("part") >= low) & (F.col("part") < high)).drop("part")
         part.coalesce(1).write.mode("append").parquet(inbox)
-    tables = Tables(spark, str(base / "tables")).create(debug=True)
+    tables = Tables(spark, str(base / "tables"), registry_buckets=4).create(debug=True)
     stream = file_messages(spark, inbox, files_per_batch=1)
     start_ingest(
         stream, tables, str(base / "ck-ingest"), as_of=events.as_of(), debug=True, availableNow=True
@@ -63,7 +63,7 @@ def test_stream_tables_equal_the_batch_flow(run, flow):
     routes = {r.route: r["count"] for r in routed.groupBy("route").count().collect()}
     assert tables.read("replays").count() == routes["replay"]
     assert tables.read("conflicts").count() == routes["short_conflict"] + routes["conflict"]
-    assert tables.read("registry").count() == routes["new"]
+    assert tables.registry.rows().count() == routes["new"]
     assert tables.read("registry_history").count() == routes["new"]
     counted = tables.read("stage_counts").groupBy("stage", "route").agg(F.sum("events"))
     assert rows(counted) == rows(flow.stage_counts.groupBy("stage", "route").agg(F.sum("events")))
@@ -74,26 +74,26 @@ def test_stream_tables_equal_the_batch_flow(run, flow):
 
 
 def test_repeated_batch_changes_nothing(spark, flow, tmp_path):
-    tables = Tables(spark, str(tmp_path / "t")).create()
-    names = ["raw_telemetry", "registry", "silver", "replays", "conflicts", "short_term_memory"]
+    tables = Tables(spark, str(tmp_path / "t"), registry_buckets=4).create()
+    names = ["raw_telemetry", "silver", "replays", "conflicts", "short_term_memory"]
     process_batch(flow.messages, 0, tables, events.as_of())
     before = {n: rows(tables.read(n)) for n in names}
-    registered = tables.before("registry", 1).collect()
+    registered = rows(tables.registry.before(1))
     sent = []
-    # An attempt that died before its last table: everything else is there already.
-    remove(spark, f"{tables.path('silver')}/batch_id=0")
+    # An attempt that died before its last tables: everything else is there already.
+    for lost in ("finished", "silver"):
+        remove(spark, f"{tables.path(lost)}/batch_id=0")
     process_batch(flow.messages, 0, tables, events.as_of(), send_dead_letters=lambda df: sent.append(df.count()))
     assert sent == [tables.read("dead_letters").count()]
     assert {n: rows(tables.read(n)) for n in names} == before
     process_batch(flow.messages, 0, tables, events.as_of())
     assert {n: rows(tables.read(n)) for n in names} == before
-    merge_registry(tables, 1)
-    assert rows(tables.before("registry", 1)) == rows(spark.createDataFrame(registered, tables.before("registry", 1).schema))
+    assert rows(tables.registry.before(1)) == registered
     # The same messages as another batch are replays or conflicts of the registered ones.
     process_batch(flow.messages, 1, tables, events.as_of())
     assert tables.read("silver").filter("batch_id = 1").count() == 0
     assert tables.read("replays").filter("batch_id = 1").count() > 0
-    assert rows(tables.read("registry").drop("batch_id")) == rows(tables.before("registry", 1))  # nothing new; the merged copy holds the rest
+    assert rows(tables.registry.rows()) == registered  # nothing new
 
 
 def test_target_table_must_exist(spark, tmp_path):
@@ -130,7 +130,7 @@ def test_late_events_count_until_the_lateness_is_over(spark, tmp_path):
         made = [(f"{name}{s}", "d", start + timedelta(seconds=s), 20.0 + s, 1.0, 1.0, 1.0, None, None) for s in seconds]
         spark.createDataFrame(made, SILVER).coalesce(1).write.mode("append").parquet(inbox)
 
-    tables = Tables(spark, str(tmp_path / "t")).create()
+    tables = Tables(spark, str(tmp_path / "t"), registry_buckets=4).create()
 
     def drain():
         silver = silver_stream(spark, inbox, files_per_batch=1)
