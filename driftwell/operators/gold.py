@@ -44,6 +44,15 @@ def gold_panes(classified: DataFrame) -> DataFrame:
     return panes.agg(*gold_metrics()).select(*GOLD.names, "pane", F.col("late_row.event_id").alias("late_event_id"))
 
 
+def late_panes(classified: DataFrame) -> DataFrame:
+    """Each late row as a pane of its own: the aggregates of one row are its measurements."""
+    late = classified.filter("lateness = 'late'")
+    values = {"event_count": F.lit(1).cast("long")}
+    values |= {name: F.col(name.split("_", 1)[1]) for name in GOLD.names if name.startswith(("avg_", "min_", "max_"))}
+    columns = [values.get(name, F.col(name)).alias(name) for name in GOLD.names]
+    return late.select(*columns, F.lit("late").alias("pane"), F.col("event_id").alias("late_event_id"))
+
+
 def device_window_counts(windowed: DataFrame) -> DataFrame:
     return windowed.groupBy("device_id", *_WINDOW_KEYS).agg(F.count("*").alias("record_count"))
 

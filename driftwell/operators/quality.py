@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from driftwell.config import (
     INVALID_RATE_PERCENT,
     LATENCY_P95_MS,
+    LATENCY_SKETCH,
     RATE_WINDOW_MINUTES,
     REPLAY_RATE_PERCENT,
     SUSTAIN_MINUTES,
@@ -138,6 +139,49 @@ def latency_stats(measured: DataFrame) -> DataFrame:
     )
 
 
+def latency_rollup(measured: DataFrame) -> DataFrame:
+    """What the latency of a batch leaves behind per minute of arrival: totals, and a sketch of the distribution.
+
+    The KLL sketch holds at most a few times ``LATENCY_SKETCH`` numbers however many events there are. Rows of
+    several batches are merged by ``merged_latency``.
+    """
+    return measured.groupBy(_minute().alias("minute")).agg(
+        F.count("latency_ms").alias("events"),
+        F.sum("latency_ms").alias("sum_ms"),
+        F.min("latency_ms").alias("min_ms"),
+        F.max("latency_ms").alias("max_ms"),
+        F.expr(f"kll_sketch_agg_bigint(latency_ms, {LATENCY_SKETCH})").alias("sketch"),
+    )
+
+
+def merged_latency(rollups: DataFrame, *keys: str | Column) -> DataFrame:
+    """Rollup rows with equal keys (by minute, unless others are given) as one."""
+    return rollups.groupBy(*(keys or ("minute",))).agg(
+        F.sum("events").alias("events"),
+        F.sum("sum_ms").alias("sum_ms"),
+        F.min("min_ms").alias("min_ms"),
+        F.max("max_ms").alias("max_ms"),
+        F.expr("kll_merge_agg_bigint(sketch)").alias("sketch"),
+    )
+
+
+def latency_p95_windows(rollups: DataFrame) -> DataFrame:
+    """P95 per aligned five-minute window from stored rollups alone.
+
+    The share of the window's events up to ``p95_ms`` is 0.95 within ``LATENCY_RANK_ERROR`` (with a confidence of 99 %); it is
+    exact for windows of fewer events than the sketch holds.
+    """
+    window_end = F.window("minute", _RATE).end
+    merged = merged_latency(rollups.filter("events > 0"), window_end.alias("window_end"))
+    return merged.select("window_end", "events", F.expr("kll_sketch_get_quantile_bigint(sketch, 0.95D)").cast("double").alias("p95_ms"))
+
+
+def stored_latency_p95_alert(rollups: DataFrame) -> DataFrame:
+    """As ``latency_p95_alert``, for the rows that streams store; a group's state is one sketch."""
+    p95 = latency_p95_windows(rollups)
+    return sustained(_breached(p95, F.col("p95_ms") > LATENCY_P95_MS), before=1, minutes=SUSTAIN_MINUTES)
+
+
 def latency_p95_alert(measured: DataFrame) -> DataFrame:
     """Exact P95 per aligned five-minute window, firing once two windows in a row breach.
 

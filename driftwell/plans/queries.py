@@ -10,20 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from driftwell.config import REQUIRED_FIELDS
+from driftwell.config import LATENCY_RANK_ERROR, RATE_WINDOW_MINUTES, REQUIRED_FIELDS
 from driftwell.operators import dead_letters as letters
 from driftwell.operators import gold as gold_ops
 from driftwell.operators import identity, quality, windows
+from driftwell.operators.parse import parse_messages
+from driftwell.operators.validate import validate
 from driftwell.plans.flow import TelemetryFlow, message_routes
 from driftwell.session import configure, materialize, shared_dir
-from driftwell.sources import events
+from driftwell.sources import events, streams
 from driftwell.sources.registry import Registry
 from driftwell.streaming import memory
 
 
 def flow(spark: SparkSession, sf_dir: str) -> TelemetryFlow:
     configure(spark)
-    return TelemetryFlow(events.messages(events.events_table(spark, sf_dir)), as_of=events.as_of())
+    table = events.events_table(spark, sf_dir)
+    made = TelemetryFlow(events.messages(table), as_of=events.as_of())
+    made.events = table
+    return made
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -369,3 +374,49 @@ def alert_replay_rate(f):
 def alert_latency_p95(f):
     alert = quality.latency_p95_alert(quality.measure_latency(f.telemetry))
     return alert.withColumn("p95_ms", F.round("p95_ms", 3))
+
+
+@_query
+def latency_p95_stored(f):
+    """Five-minute P95 from stored sketches of several batches: whether each is within the stated error in ranks."""
+    measured = quality.measure_latency(f.telemetry)
+    batches = [quality.latency_rollup(measured.filter(F.pmod(F.xxhash64("arrival_seq"), F.lit(3)) == n)) for n in range(3)]
+    stored = materialize(reduce(DataFrame.unionByName, batches), "latency")
+    p95 = quality.latency_p95_windows(stored).select("window_end", "p95_ms")
+    rows = measured.select(F.window("arrival_ts", f"{RATE_WINDOW_MINUTES} minutes").end.alias("window_end"), "latency_ms")
+    counted = rows.groupBy("window_end", "latency_ms").agg(F.count("*").alias("n")).join(p95, "window_end")
+    shares = counted.groupBy("window_end").agg(
+        F.sum("n").alias("events"),
+        (F.sum(F.when(F.col("latency_ms") < F.col("p95_ms"), F.col("n")).otherwise(0)) / F.sum("n")).alias("below"),
+        (F.sum(F.when(F.col("latency_ms") <= F.col("p95_ms"), F.col("n")).otherwise(0)) / F.sum("n")).alias("upto"),
+    )
+    within = (F.col("below") <= 0.95 + LATENCY_RANK_ERROR) & (F.col("upto") >= 0.95 - LATENCY_RANK_ERROR)
+    return shares.select("window_end", "events", within.alias("within_error"))
+
+
+# -- rows at the edges of the rules, which the regular messages do not have ------------------------
+
+
+@_query
+def edge_validation(f):
+    """Ids of 100 and 101 characters, blank ids and bytes that are no text, one kind a message."""
+    checked = validate(parse_messages(events.edge_messages(f.events)), f.as_of)
+    return checked.select("arrival_seq", "route", F.array_join("errors", "; ").alias("errors"))
+
+
+@_query
+def edge_decoding(f):
+    """Messages as text: what is no UTF-8 becomes the replacement character."""
+    decoded = parse_messages(events.edge_messages(f.events))
+    return decoded.select("arrival_seq", F.sha2(F.col("message"), 256).alias("message_sha256"), F.length("message").cast("long").alias("n_chars"))
+
+
+@_query
+def file_identity(f):
+    """Every message names itself by its file and row there: as many names as messages, in however many files."""
+    spark = f.events.sparkSession
+    path = f"{shared_dir(spark)}/driftwell/tables/inbox-{uuid.uuid4().hex}"
+    f.messages.select("value").write.parquet(path)
+    named, again = (streams.file_identity(spark.read.schema("value binary").parquet(path).select("value", "_metadata")) for _ in range(2))
+    both = named.join(again.select("arrival_seq", F.col("value").alias("other")), "arrival_seq", "left")
+    return both.agg(F.count("*").alias("messages"), F.count_distinct("arrival_seq").alias("names"), F.count_if(F.col("value") == F.col("other")).alias("same_again"))

@@ -53,6 +53,11 @@ GOLD = StructType(
     ]
 )
 
+# New events on the arrival clock, for what depends on how late a row is.
+NEW_EVENTS = StructType([*SILVER.fields, *_fields(TimestampType(), "arrival_ts"), *_fields(LongType(), "arrival_seq")])
+
+PANES = StructType([*GOLD.fields, *_fields(StringType(), "pane", "late_event_id")])
+
 CONFLICTS = StructType(
     [
         *TELEMETRY.fields,

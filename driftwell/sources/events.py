@@ -136,3 +136,29 @@ def _message_text() -> str:
         f"WHEN 'trailing' THEN concat({body}, '}} x') WHEN 'bom' THEN concat('\\ufeff', {body}, '}}') "
         f"ELSE concat({body}, '}}') END"
     )
+
+
+#: Of the ids in edge messages, by ``n % 8``: (event_id, device_id) as SQL for bytes; the longest id has 100 characters.
+_EDGES = [
+    ("rpad(concat('evt-', n, '-'), 100, 'x')", "'probe'"),
+    ("rpad(concat('evt-', n, '-'), 101, 'x')", "'probe'"),
+    ("concat('evt-', n)", "repeat('d', 101)"),
+    ("concat('evt-', n)", "'   '"),
+    ("concat(chr(160), ' ')", "'probe'"),
+    ("concat('evt-', n)", "X'70FF71'"),
+    ("concat(cast(concat('evt-', n) as binary), X'C3')", "'probe'"),
+    ("concat('evt-', n)", "repeat('d', 100)"),
+]
+
+
+def edge_messages(events: DataFrame) -> DataFrame:
+    """A message per event whose ids are at the edges of the rules, or hold bytes that are no text."""
+
+    def pick(at: int) -> str:
+        cases = " ".join(f"WHEN {kind} THEN cast({ids[at]} as binary)" for kind, ids in enumerate(_EDGES))
+        return f"CASE n % 8 {cases} END"
+
+    numbered = events.selectExpr("event_id AS n")
+    texts = ["'{\"event_id\": \"'", pick(0), "'\", \"device_id\": \"'", pick(1), """'", "event_timestamp": "2024-01-01T00:00:00Z", "temperature": 1, "humidity": 2, "pressure": 900, "battery_level": 3}'"""]
+    value = ", ".join(f"cast({t} as binary)" for t in texts)
+    return numbered.selectExpr(f"concat({value}) AS value", "timestamp_seconds(1704067200 + n) AS arrival_ts", "n AS arrival_seq")

@@ -100,5 +100,6 @@ class Registry:
         placed = rows.select(*REGISTRY.names, F.lit(level).alias("level"), F.lit(batch_id).cast("long").alias("batch_id"))
         if level == 0:  # a file for each bucket, not one for each bucket and task
             placed = placed.repartition(self.buckets, "event_id")
-        with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        # The rows' own session writes them, which in a stream's batch is another one; without the setting all parts would go.
+        with _setting(placed.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             placed.write.insertInto(self.table, overwrite=True)

@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
     LongType,
     StringType,
     StructField,
@@ -46,6 +47,7 @@ _LATENCY = StructType(
     [
         StructField("minute", TimestampType()),
         *[StructField(n, LongType()) for n in ("events", "sum_ms", "min_ms", "max_ms")],
+        StructField("sketch", BinaryType()),
     ]
 )
 
@@ -62,9 +64,11 @@ SCHEMAS = {
     "arrivals": StructType([StructField("source_partition", LongType()), StructField("last_arrival", TimestampType())]),
     "stage_counts": _COUNTS,
     "latency": _LATENCY,
+    "new_events": schemas.NEW_EVENTS,
     "silver": schemas.SILVER,
     "gold": schemas.GOLD,
     "gold_updates": schemas.GOLD,
+    "gold_panes": schemas.PANES,
 }
 
 

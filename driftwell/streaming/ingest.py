@@ -81,10 +81,12 @@ def _outputs(messages: DataFrame, batch_id: int, tables: Tables, memory: ShortTe
 
     routes = message_routes(checked).unionByName(identity_routes(routed)).unionByName(memory.behind(accepted))
     yield "stage_counts", quality.stage_counts(routes)
-    yield "latency", quality.latency_stats(quality.measure_latency(accepted))
+    yield "latency", quality.latency_rollup(quality.measure_latency(accepted))
     if debug:
         yield from debug_outputs(accepted, new).items()
-    yield "silver", windows.silver_rows(windows.assign_window(new))
+    windowed = windows.assign_window(new)
+    yield "new_events", windowed
+    yield "silver", windows.silver_rows(windowed)
 
 
 def start_ingest(

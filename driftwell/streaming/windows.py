@@ -6,8 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftwell.config import ALLOWED_LATENESS_SECONDS, WINDOW_SECONDS
-from driftwell.operators.gold import device_arrival_counts, gold_metrics
+from driftwell.config import (
+    ALLOWED_LATENESS_SECONDS,
+    DISORDER_SECONDS,
+    MAX_FUTURE_SECONDS,
+    WINDOW_SECONDS,
+)
+from driftwell.operators.gold import device_arrival_counts, gold_metrics, late_panes
+from driftwell.operators.windows import classify_lateness
 from driftwell.schemas import GOLD
 from driftwell.session import configure
 from driftwell.sources.tables import Tables
@@ -59,6 +65,34 @@ def start_gold_updates(silver: DataFrame, tables: Tables, checkpoint: str, **tri
     )
 
 
+def panes_stream(new_events: DataFrame, disorder_seconds: int = DISORDER_SECONDS) -> DataFrame:
+    """The discarding view as it fires: a pane of the on-time rows once a window is over, and each late row as a pane.
+
+    Whether a row is on time, late or dropped depends on its own arrival and window, so late panes need no state. On-time rows are
+    aggregated until no more can come: an event is at most ``MAX_FUTURE_SECONDS`` ahead of its arrival, so a window that has been
+    met ends at most that and a window's length after the newest arrival; arrivals may be out of order by ``disorder_seconds``.
+    """
+    reach = MAX_FUTURE_SECONDS + WINDOW_SECONDS + disorder_seconds
+    classified = classify_lateness(new_events)
+    on_time = classified.filter("lateness = 'on_time'").withWatermark("window_end", f"{reach} seconds")
+    panes = on_time.groupBy("device_id", "window_start", "window_end").agg(*gold_metrics())
+    panes = panes.select(*GOLD.names, F.lit("on_time").alias("pane"), F.lit(None).cast("string").alias("late_event_id"))
+    return panes.unionByName(late_panes(classified))
+
+
+def start_panes(new_events: DataFrame, tables: Tables, checkpoint: str, disorder_seconds: int = DISORDER_SECONDS, **trigger) -> StreamingQuery:
+    configure(new_events.sparkSession)
+    return (
+        panes_stream(new_events, disorder_seconds)
+        .writeStream.queryName("gold_panes")
+        .outputMode("append")
+        .foreachBatch(lambda rows, batch_id: tables.write(rows, "gold_panes", batch_id))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def latest_gold(tables: Tables) -> DataFrame:
     """The newest version of each device window among the updates."""
     row = F.struct(*GOLD.names)

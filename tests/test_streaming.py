@@ -1,16 +1,18 @@
 """The stream against the batch flow, retries, and late data."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from driftwell.config import LATENCY_RANK_ERROR
 from driftwell.operators import gold, quality, windows
 from driftwell.plans.flow import TelemetryFlow
-from driftwell.schemas import SILVER
+from driftwell.schemas import NEW_EVENTS, SILVER
 from driftwell.session import remove
 from driftwell.sources import events
-from driftwell.sources.streams import file_messages, silver_stream
+from driftwell.sources.streams import file_bytes, file_messages, new_event_stream, silver_stream
 from driftwell.sources.tables import Tables
 from driftwell.streaming.ingest import process_batch, start_ingest
 from driftwell.streaming.windows import (
@@ -18,6 +20,7 @@ from driftwell.streaming.windows import (
     latest_gold,
     start_gold,
     start_gold_updates,
+    start_panes,
 )
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -163,3 +166,75 @@ def test_arrival_counts_stream(spark, run, flow):
     )
     query.awaitTermination()
     assert rows(spark.table("arrivals")) == rows(gold.device_arrival_counts(flow.telemetry))
+
+
+def test_panes_as_they_fire(spark, tmp_path):
+    """On-time panes once their window is over, late rows at once, rows beyond the lateness not at all."""
+    draw, start = random.Random(3), datetime(2024, 1, 1)
+    made = []
+    for n in range(400):
+        event = start + timedelta(seconds=n * 3)
+        arrival = event + timedelta(seconds=draw.choice([-200, 1, 2, 30, 70, 100, 170, 200, 400]))
+        begin = event - timedelta(seconds=event.second)
+        made.append((f"e{n}", f"d{n % 3}", event, draw.choice([None, n * 0.25]), 1.0 * n, 900.0, 50.0, begin, begin + timedelta(seconds=60), arrival, n))
+    made.sort(key=lambda r: r[9])
+    inbox = str(tmp_path / "inbox")
+    for part in (made[:150], made[150:300], made[300:]):
+        spark.createDataFrame(part, NEW_EVENTS).coalesce(1).write.mode("append").parquet(inbox)
+    tables = Tables(spark, str(tmp_path / "t"), registry_buckets=4).create()
+
+    def drain():
+        stream = new_event_stream(spark, inbox, files_per_batch=1)
+        start_panes(stream, tables, str(tmp_path / "ck"), disorder_seconds=60, availableNow=True).awaitTermination()
+
+    drain()
+    wanted = gold.gold_panes(windows.classify_lateness(spark.createDataFrame(made, NEW_EVENTS)))
+    early = tables.read("gold_panes").drop("batch_id")
+    assert rows(early.filter("pane = 'late'")) == rows(wanted.filter("pane = 'late'"))
+    assert 0 < early.filter("pane = 'on_time'").count() < wanted.filter("pane = 'on_time'").count()
+    for day in (2, 3):  # later rows end all windows before them
+        at = start + timedelta(days=day)
+        spark.createDataFrame([("z", "z", at, *[1.0] * 4, at, at + timedelta(seconds=60), at, 9)], NEW_EVENTS).write.mode("append").parquet(inbox)
+        drain()
+    assert rows(tables.read("gold_panes").drop("batch_id").filter("device_id <> 'z'")) == rows(wanted)
+
+
+def test_messages_named_by_their_files(spark, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    body = spark.createDataFrame([(bytearray(f"m{n}".encode()),) for n in range(5)], "value binary")
+    for _ in range(2):  # two files of equal contents
+        body.coalesce(1).write.mode("append").parquet(inbox)
+
+    def read(checkpoint):
+        seen = []
+        query = (
+            file_bytes(spark, inbox, files_per_batch=1).writeStream.foreachBatch(lambda df, _: seen.extend(df.collect()))
+            .option("checkpointLocation", str(tmp_path / checkpoint)).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sorted((r.arrival_seq, bytes(r.value), r.arrival_ts) for r in seen)
+
+    first = read("a")
+    assert len({seq for seq, _, _ in first}) == 10 and all(seq >= 0 and at is not None for seq, _, at in first)
+    assert {seq & (2**32 - 1) for seq, _, _ in first} == set(range(5))
+    assert read("b") == first
+
+
+def test_stored_latency(spark, run, flow):
+    """What batches store gives the totals and, for windows that fit a sketch, the very distribution."""
+    _, tables = run
+    stored = tables.read("latency")
+    measured = quality.measure_latency(flow.telemetry)
+    totals = quality.merged_latency(stored).drop("sketch")
+    assert rows(totals) == rows(quality.latency_stats(measured).drop("mean_ms"))
+    got = {r.window_end: (r.events, r.p95_ms) for r in quality.latency_p95_windows(stored).collect()}
+    end = F.window("arrival_ts", "5 minutes").end.alias("window_end")
+    want = measured.groupBy(end).agg(F.count("*").alias("n"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms)").alias("p"))
+    assert got == {r.window_end: (r.n, r.p) for r in want.collect()}
+    exact = {r.window_end: r.firing for r in quality.latency_p95_alert(measured).collect()}
+    assert {r.window_end: r.firing for r in quality.stored_latency_p95_alert(stored).collect()} == exact
+    # Far more events than the sketch holds.
+    many = spark.range(200_000).selectExpr("timestamp_seconds(1704067200 + id % 300) AS arrival_ts", "pmod(xxhash64(id), 100000) AS latency_ms")
+    p95 = quality.latency_p95_windows(quality.latency_rollup(many)).first().p95_ms
+    assert abs(many.filter(F.col("latency_ms") <= p95).count() / 200_000 - 0.95) <= 2 * LATENCY_RANK_ERROR
+    assert quality.latency_rollup(many).agg(F.max(F.octet_length("sketch"))).first()[0] < 100_000
