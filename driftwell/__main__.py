@@ -11,11 +11,12 @@ from driftwell.sources.streams import (
     dead_letters_to_kafka,
     file_messages,
     kafka_messages,
+    new_event_stream,
     silver_stream,
 )
 from driftwell.sources.tables import Tables
 from driftwell.streaming.ingest import start_ingest
-from driftwell.streaming.windows import start_gold
+from driftwell.streaming.windows import start_gold, start_panes
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -50,8 +51,10 @@ def main(argv: list[str] | None = None) -> None:
     if chosen.once:
         ingest.awaitTermination()
     gold = start_gold(silver_stream(spark, tables.path("silver")), tables, f"{chosen.checkpoints}/gold", **trigger)
+    panes = start_panes(new_event_stream(spark, tables.path("new_events")), tables, f"{chosen.checkpoints}/panes", **trigger)
     if chosen.once:
         gold.awaitTermination()
+        panes.awaitTermination()
     else:
         spark.streams.awaitAnyTermination()
 

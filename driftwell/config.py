@@ -61,3 +61,6 @@ IDLE_SECONDS = 86_400
 # Latency sketches (ours): the size parameter of a KLL sketch, and its error in ranks, 2.296 / k ** 0.9723 rounded up.
 LATENCY_SKETCH = 1000
 LATENCY_RANK_ERROR = 0.003
+
+# Streams (ours): batches of gold updates between two folds.
+FOLD_EVERY = 32

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from driftwell.operators import gold, windows
 
@@ -32,3 +33,9 @@ def debug_outputs(telemetry: DataFrame, new: DataFrame) -> dict[str, DataFrame]:
         gold.device_arrival_counts(new),
     ]
     return dict(zip(DEBUG_TABLES, outputs, strict=True))
+
+
+def summed(partial: DataFrame) -> DataFrame:
+    """Whole counts from the partial ones that batches write: one row per device and window."""
+    keys = [c for c in partial.columns if c not in ("record_count", "batch_id")]
+    return partial.groupBy(*keys).agg(F.sum("record_count").alias("record_count"))

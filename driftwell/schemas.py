@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     BinaryType,
+    DateType,
     DoubleType,
     LongType,
     StringType,
@@ -56,6 +57,11 @@ GOLD = StructType(
 # New events on the arrival clock, for what depends on how late a row is.
 NEW_EVENTS = StructType([*SILVER.fields, *_fields(TimestampType(), "arrival_ts"), *_fields(LongType(), "arrival_seq")])
 
+# The newest version of each window among the updates that were folded; ``version`` is the batch that made it.
+GOLD_LATEST = StructType([*GOLD.fields, *_fields(LongType(), "version"), *_fields(DateType(), "day")])
+
+ARRIVAL_COUNTS = StructType([*_fields(StringType(), "device_id"), *_WINDOW_FIELDS, *_fields(LongType(), "record_count")])
+
 PANES = StructType([*GOLD.fields, *_fields(StringType(), "pane", "late_event_id")])
 
 CONFLICTS = StructType(

@@ -68,7 +68,9 @@ SCHEMAS = {
     "silver": schemas.SILVER,
     "gold": schemas.GOLD,
     "gold_updates": schemas.GOLD,
+    "gold_latest": schemas.GOLD_LATEST,
     "gold_panes": schemas.PANES,
+    "arrival_counts": schemas.ARRIVAL_COUNTS,
 }
 
 
@@ -129,7 +131,7 @@ class Tables:
 
     def keep(self, name: str, batch_ids: set[int]) -> None:
         """Removes all parts but these and later ones."""
-        for old in self._batches(name):
+        for old in self.batches(name):
             if old not in batch_ids and old < max(batch_ids):
                 remove(self.spark, self._batch_path(name, old))
 
@@ -138,15 +140,18 @@ class Tables:
 
     def latest_before(self, name: str, batch_id: int) -> DataFrame | None:
         """The newest part older than this batch, for tables rewritten by every batch."""
-        found = [b for b in self._batches(name) if b < batch_id]
+        found = [b for b in self.batches(name) if b < batch_id]
         return self._read(name, self._batch_path(name, max(found))).drop("batch_id") if found else None
 
     def forget_before(self, name: str, batch_id: int) -> None:
-        for old in self._batches(name):
+        for old in self.batches(name):
             if old < batch_id:
                 remove(self.spark, self._batch_path(name, old))
 
-    def _batches(self, name: str) -> list[int]:
+    def forget(self, name: str, batch_id: int) -> None:
+        remove(self.spark, self._batch_path(name, batch_id))
+
+    def batches(self, name: str) -> list[int]:
         names = folder_names(self.spark, self.path(name))
         return [int(n.split("=")[1]) for n in names if n.startswith("batch_id=")]
 

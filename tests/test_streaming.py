@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 
 from driftwell.config import LATENCY_RANK_ERROR
 from driftwell.operators import gold, quality, windows
+from driftwell.plans.debug import debug_outputs, summed
 from driftwell.plans.flow import TelemetryFlow
-from driftwell.schemas import NEW_EVENTS, SILVER
-from driftwell.session import remove
+from driftwell.schemas import GOLD, NEW_EVENTS, SILVER
+from driftwell.session import folder_names, remove
 from driftwell.sources import events
 from driftwell.sources.streams import file_bytes, file_messages, new_event_stream, silver_stream
 from driftwell.sources.tables import Tables
 from driftwell.streaming.ingest import process_batch, start_ingest
 from driftwell.streaming.windows import (
     arrival_counts_stream,
+    fold_gold_updates,
     latest_gold,
+    start_arrival_counts,
     start_gold,
     start_gold_updates,
     start_panes,
@@ -238,3 +241,43 @@ def test_stored_latency(spark, run, flow):
     p95 = quality.latency_p95_windows(quality.latency_rollup(many)).first().p95_ms
     assert abs(many.filter(F.col("latency_ms") <= p95).count() / 200_000 - 0.95) <= 2 * LATENCY_RANK_ERROR
     assert quality.latency_rollup(many).agg(F.max(F.octet_length("sketch"))).first()[0] < 100_000
+
+
+def test_updates_are_folded_by_days(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path), registry_buckets=4).create()
+    start = datetime(2024, 1, 1, 23, 30)
+
+    def update(batch, minutes):
+        begins = [start + timedelta(minutes=m) for m in minutes]
+        made = [("d", b, b + timedelta(seconds=60), batch + 1, *[1.0 * batch] * 6) for b in begins]
+        tables.write(spark.createDataFrame(made, GOLD).coalesce(1), "gold_updates", batch)
+
+    wanted = {}
+    for batch in range(12):
+        if batch and batch % 4 == 0:
+            before = rows(latest_gold(tables))
+            fold_gold_updates(tables, batch)
+            assert rows(latest_gold(tables)) == before
+            assert tables.read("gold_updates").count() == 0
+        minutes = [batch, batch + 20, batch + 40]
+        update(batch, minutes)
+        wanted |= {m: batch + 1 for m in minutes}
+    update(0, [11])  # left by a fold that died: an older version changes nothing
+    fold_gold_updates(tables, 12)
+    got = {(r.window_start - start).seconds // 60: r.event_count for r in latest_gold(tables).collect()}
+    assert got == wanted
+    days = [n for n in folder_names(spark, tables.path("gold_latest")) if n.startswith("day=")]
+    assert sorted(days) == ["day=2024-01-01", "day=2024-01-02"]
+    files = sum(len([n for n in folder_names(spark, f"{tables.path('gold_latest')}/{d}") if n.startswith("part")]) for d in days)
+    assert files <= 8 and tables.batches("gold_updates") == []
+
+
+def test_partial_counts_add_up(spark, run, flow):
+    base, tables = run
+    stream = new_event_stream(spark, tables.path("new_events"), files_per_batch=1)
+    start_arrival_counts(stream, tables, str(base / "ck-counts"), availableNow=True).awaitTermination()
+    assert rows(summed(tables.read("arrival_counts"))) == rows(gold.device_arrival_counts(flow.new))
+    wanted = debug_outputs(flow.telemetry, flow.new)
+    for name in ("arrival_count_debug", "event_time_count_debug", "gold_group_debug"):
+        partial = spark.read.parquet(tables.path(name))
+        assert rows(summed(partial)) == rows(wanted[name].select("device_id", "window_start", "window_end", "record_count")), name
