@@ -15,6 +15,7 @@ from driftwell.sources.streams import (
     silver_stream,
 )
 from driftwell.sources.tables import Tables
+from driftwell.streaming.alerts import STREAMS, start_alert
 from driftwell.streaming.ingest import start_ingest
 from driftwell.streaming.windows import start_gold, start_panes
 
@@ -50,11 +51,14 @@ def main(argv: list[str] | None = None) -> None:
     )
     if chosen.once:
         ingest.awaitTermination()
-    gold = start_gold(silver_stream(spark, tables.path("silver")), tables, f"{chosen.checkpoints}/gold", **trigger)
-    panes = start_panes(new_event_stream(spark, tables.path("new_events")), tables, f"{chosen.checkpoints}/panes", **trigger)
+    started = [
+        start_gold(silver_stream(spark, tables.path("silver")), tables, f"{chosen.checkpoints}/gold", **trigger),
+        start_panes(new_event_stream(spark, tables.path("new_events")), tables, f"{chosen.checkpoints}/panes", **trigger),
+        *[start_alert(name, tables, f"{chosen.checkpoints}/{name}", **trigger) for name in STREAMS],
+    ]
     if chosen.once:
-        gold.awaitTermination()
-        panes.awaitTermination()
+        for query in started:
+            query.awaitTermination()
     else:
         spark.streams.awaitAnyTermination()
 

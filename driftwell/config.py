@@ -64,3 +64,6 @@ LATENCY_RANK_ERROR = 0.003
 
 # Streams (ours): batches of gold updates between two folds.
 FOLD_EVERY = 32
+
+# Streams (ours): how long an alert waits for rows of a minute that is over.
+ALERT_WAIT_SECONDS = 120

@@ -6,7 +6,7 @@ work on those minute rows only, so their cost follows the length of the time spa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from driftwell.config import (
@@ -23,8 +23,12 @@ _RATE = f"{RATE_WINDOW_MINUTES} minutes"
 
 def measure_latency(records: DataFrame) -> DataFrame:
     """Adds ``latency_ms``: arrival minus event time, cut to whole milliseconds toward zero."""
+    return records.withColumn("latency_ms", latency_of())
+
+
+def latency_of() -> Column:
     micros = F.unix_micros("arrival_ts") - F.unix_micros("event_timestamp")
-    return records.withColumn("latency_ms", (micros / 1000).cast("long"))
+    return (micros / 1000).cast("long")
 
 
 def _minute(moment: str = "arrival_ts") -> Column:
@@ -82,46 +86,49 @@ def sustained(evaluations: DataFrame, before: int, minutes: int) -> DataFrame:
     )
 
 
-def invalid_rate_alert(counts: DataFrame) -> DataFrame:
-    rates = (
-        sliding(counts)
-        .groupBy("window_end")
-        .agg(
-            _route_sum("validation", "valid").alias("valid_events"),
-            _route_sum("validation", "invalid").alias("invalid_events"),
-        )
-        .withColumn(
-            "invalid_percent",
-            F.lit(100.0) * F.col("invalid_events") / F.nullif(F.col("valid_events") + F.col("invalid_events"), F.lit(0)),
-        )
+def invalid_rates(windows: GroupedData) -> DataFrame:
+    """The share of invalid messages per window of minute rows, and whether it is too high."""
+    rates = windows.agg(
+        _route_sum("validation", "valid").alias("valid_events"),
+        _route_sum("validation", "invalid").alias("invalid_events"),
+    ).withColumn(
+        "invalid_percent",
+        F.lit(100.0) * F.col("invalid_events") / F.nullif(F.col("valid_events") + F.col("invalid_events"), F.lit(0)),
     )
-    breached = _breached(rates, F.col("invalid_percent") > INVALID_RATE_PERCENT)
-    return sustained(breached, before=SUSTAIN_MINUTES, minutes=1)
+    return _breached(rates, F.col("invalid_percent") > INVALID_RATE_PERCENT)
+
+
+def conflict_sums(windows: GroupedData) -> DataFrame:
+    return windows.agg(_route_sum("conflict_check", "conflict").alias("conflict_events")).filter("conflict_events > 0")
+
+
+def replay_rates(windows: GroupedData) -> DataFrame:
+    """The share of replays among the registry's decisions per window, and whether it is too high."""
+    rates = windows.agg(
+        _route_sum("registry", "replay").alias("replay_events"),
+        _route_sum("registry", "new", "replay", "conflict").alias("decided_events"),
+    ).withColumn("replay_percent", F.lit(100.0) * F.col("replay_events") / F.nullif(F.col("decided_events"), F.lit(0)))
+    return _breached(rates, F.col("replay_percent") > REPLAY_RATE_PERCENT).withColumnRenamed("breached", "firing")
+
+
+def latency_p95(windows: GroupedData) -> DataFrame:
+    """P95 per window of latency rollups, and whether it is too high."""
+    merged = windows.agg(F.sum("events").alias("events"), F.expr("kll_merge_agg_bigint(sketch)").alias("sketch"))
+    quantile = F.expr("kll_sketch_get_quantile_bigint(sketch, 0.95D)").cast("double")
+    return _breached(merged.withColumn("p95_ms", quantile).drop("sketch"), F.col("p95_ms") > LATENCY_P95_MS)
+
+
+def invalid_rate_alert(counts: DataFrame) -> DataFrame:
+    return sustained(invalid_rates(sliding(counts).groupBy("window_end")), before=SUSTAIN_MINUTES, minutes=1)
 
 
 def conflict_alert(counts: DataFrame) -> DataFrame:
     """Fires at once on any short-term conflict in the last five minutes."""
-    return (
-        sliding(counts)
-        .groupBy("window_end")
-        .agg(_route_sum("conflict_check", "conflict").alias("conflict_events"))
-        .filter("conflict_events > 0")
-    )
+    return conflict_sums(sliding(counts).groupBy("window_end"))
 
 
 def replay_rate_alert(counts: DataFrame) -> DataFrame:
-    rates = (
-        sliding(counts)
-        .groupBy("window_end")
-        .agg(
-            _route_sum("registry", "replay").alias("replay_events"),
-            _route_sum("registry", "new", "replay", "conflict").alias("decided_events"),
-        )
-        .withColumn(
-            "replay_percent", F.lit(100.0) * F.col("replay_events") / F.nullif(F.col("decided_events"), F.lit(0))
-        )
-    )
-    return _breached(rates, F.col("replay_percent") > REPLAY_RATE_PERCENT).withColumnRenamed("breached", "firing")
+    return replay_rates(sliding(counts).groupBy("window_end"))
 
 
 def _breached(rates: DataFrame, condition: Column) -> DataFrame:
@@ -172,14 +179,14 @@ def latency_p95_windows(rollups: DataFrame) -> DataFrame:
     exact for windows of fewer events than the sketch holds.
     """
     window_end = F.window("minute", _RATE).end
-    merged = merged_latency(rollups.filter("events > 0"), window_end.alias("window_end"))
-    return merged.select("window_end", "events", F.expr("kll_sketch_get_quantile_bigint(sketch, 0.95D)").cast("double").alias("p95_ms"))
+    return latency_p95(rollups.filter("events > 0").groupBy(window_end.alias("window_end"))).drop("breached")
 
 
 def stored_latency_p95_alert(rollups: DataFrame) -> DataFrame:
     """As ``latency_p95_alert``, for the rows that streams store; a group's state is one sketch."""
-    p95 = latency_p95_windows(rollups)
-    return sustained(_breached(p95, F.col("p95_ms") > LATENCY_P95_MS), before=1, minutes=SUSTAIN_MINUTES)
+    window_end = F.window("minute", _RATE).end
+    p95 = latency_p95(rollups.filter("events > 0").groupBy(window_end.alias("window_end")))
+    return sustained(p95, before=1, minutes=SUSTAIN_MINUTES)
 
 
 def latency_p95_alert(measured: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from driftwell.operators import dead_letters as letters
-from driftwell.operators import identity, quality, windows
+from driftwell.operators import identity, quality, totals, windows
 from driftwell.operators.fingerprint import fingerprint
 from driftwell.operators.parse import parse_messages, parser_dead_letters
 from driftwell.operators.validate import (
@@ -27,8 +27,11 @@ class TelemetryFlow:
     is written once to the shared folder, so messages are parsed a single time.
     """
 
-    def __init__(self, messages: DataFrame, as_of: Column | None = None, registry: DataFrame | None = None):
+    def __init__(
+        self, messages: DataFrame, as_of: Column | None = None, registry: DataFrame | None = None, watch: Observation | None = None
+    ):
         self.messages = messages
+        self.watch = watch
         self.as_of = as_of
         self.registry = registry
 
@@ -69,12 +72,12 @@ class TelemetryFlow:
         """Every message once, with its route and fingerprint; the text only of rejected ones."""
         everything = fingerprint(validate_all(self.parsed, self.as_of))
         valid = F.col("route") == "valid"
-        return materialize(
-            everything.withColumn("message", F.when(~valid, F.col("message"))).withColumn(
-                "payload_hash", F.when(valid, F.col("payload_hash"))
-            ),
-            "checked",
+        kept = everything.withColumn("message", F.when(~valid, F.col("message"))).withColumn(
+            "payload_hash", F.when(valid, F.col("payload_hash"))
         )
+        if self.watch is not None:
+            kept = kept.observe(self.watch, *totals.message_totals())
+        return materialize(kept, "checked")
 
     @cached_property
     def accepted(self) -> DataFrame:

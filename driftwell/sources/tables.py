@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
+    BooleanType,
+    DoubleType,
     LongType,
     StringType,
     StructField,
@@ -50,6 +52,26 @@ _LATENCY = StructType(
         StructField("sketch", BinaryType()),
     ]
 )
+_MOMENT = [StructField("window_end", TimestampType())]
+_FIRING = [StructField("firing", BooleanType())]
+
+
+def _sums(*names: str) -> list[StructField]:
+    return [StructField(n, LongType()) for n in names]
+
+
+def _number(name: str) -> list[StructField]:
+    return [StructField(name, DoubleType())]
+
+
+_HELD = [StructField("breached", BooleanType()), *_FIRING]
+ALERTS = {
+    "stage_rates": StructType([*_MOMENT, *[StructField(n, StringType()) for n in ("stage", "route")], *_sums("events"), *_number("events_per_minute")]),
+    "alert_invalid_rate": StructType([*_MOMENT, *_sums("valid_events", "invalid_events"), *_number("invalid_percent"), *_HELD]),
+    "alert_conflict": StructType([*_MOMENT, *_sums("conflict_events")]),
+    "alert_replay_rate": StructType([*_MOMENT, *_sums("replay_events", "decided_events"), *_number("replay_percent"), *_FIRING]),
+    "alert_latency_p95": StructType([*_MOMENT, *_sums("events"), *_number("p95_ms"), *_HELD]),
+}
 
 SCHEMAS = {
     "raw_telemetry": schemas.TELEMETRY,
@@ -64,6 +86,9 @@ SCHEMAS = {
     "arrivals": StructType([StructField("source_partition", LongType()), StructField("last_arrival", TimestampType())]),
     "stage_counts": _COUNTS,
     "latency": _LATENCY,
+    "batch_totals": StructType([*[StructField(n, StringType()) for n in ("stage", "route")], StructField("events", LongType())]),
+    "batch_latency": StructType(_sums("events", "sum_ms", "min_ms", "max_ms")),
+    **ALERTS,
     "new_events": schemas.NEW_EVENTS,
     "silver": schemas.SILVER,
     "gold": schemas.GOLD,
@@ -138,6 +163,10 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self._read(name, self.path(name))
 
+    def stream(self, name: str, files_per_batch: int = 1000) -> DataFrame:
+        """The rows of a table as its batches are committed."""
+        return self.spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", files_per_batch).parquet(self.path(name))
+
     def latest_before(self, name: str, batch_id: int) -> DataFrame | None:
         """The newest part older than this batch, for tables rewritten by every batch."""
         found = [b for b in self.batches(name) if b < batch_id]

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftwell.config import DISORDER_SECONDS
-from driftwell.operators import identity, quality, windows
+from driftwell.operators import identity, quality, totals, windows
 from driftwell.operators.dead_letters import letters_by_stage
 from driftwell.plans.debug import debug_outputs
 from driftwell.plans.flow import TelemetryFlow, identity_routes, message_routes
@@ -63,12 +63,17 @@ def stamped(messages: DataFrame, tables: Tables, batch_id: int) -> DataFrame:
 
 
 def _outputs(messages: DataFrame, batch_id: int, tables: Tables, memory: ShortTermMemory, as_of: Column | None, debug: bool):
-    flow = TelemetryFlow(messages, as_of)
+    # Written tables carry the observed totals, so these hold what the tables hold, on a retry too.
+    checks, decisions = Observation(), Observation()
+    flow = TelemetryFlow(messages, as_of, watch=checks)
     checked, accepted = flow.checked, flow.accepted
     yield "raw_telemetry", accepted
     yield "dead_letters", letters_by_stage(checked).select("value")
 
-    routed = materialize(identity.decide_identity(accepted, tables.registry.before(batch_id), memory.remembered()), "routed")
+    decided = identity.decide_identity(accepted, tables.registry.before(batch_id), memory.remembered())
+    routed = materialize(decided.observe(decisions, *totals.identity_totals()), "routed")
+    yield "batch_totals", tables.rows("batch_totals", totals.outcome_rows({**checks.get, **decisions.get}))
+    yield "batch_latency", tables.rows("batch_latency", totals.latency_row(checks.get))
     new = routed.filter(F.col("route") == identity.NEW)
     registered = identity.registry_rows(new)
 

@@ -15,6 +15,7 @@ from driftwell.session import folder_names, remove
 from driftwell.sources import events
 from driftwell.sources.streams import file_bytes, file_messages, new_event_stream, silver_stream
 from driftwell.sources.tables import Tables
+from driftwell.streaming.alerts import STREAMS, start_alert
 from driftwell.streaming.ingest import process_batch, start_ingest
 from driftwell.streaming.windows import (
     arrival_counts_stream,
@@ -281,3 +282,41 @@ def test_partial_counts_add_up(spark, run, flow):
     for name in ("arrival_count_debug", "event_time_count_debug", "gold_group_debug"):
         partial = spark.read.parquet(tables.path(name))
         assert rows(summed(partial)) == rows(wanted[name].select("device_id", "window_start", "window_end", "record_count")), name
+
+
+def test_observed_totals(run, flow):
+    """What was counted while the rows were written equals counting them afterwards."""
+    _, tables = run
+    observed = tables.read("batch_totals").groupBy("stage", "route").agg(F.sum("events"))
+    assert rows(observed) == rows(flow.stage_counts.groupBy("stage", "route").agg(F.sum("events")))
+    latency = tables.read("batch_latency").agg(F.sum("events"), F.sum("sum_ms"), F.min("min_ms"), F.max("max_ms"))
+    measured = quality.measure_latency(flow.telemetry)
+    assert rows(latency) == rows(measured.agg(*[f("latency_ms") for f in (F.count, F.sum, F.min, F.max)]))
+
+
+def test_alerts_as_running_queries(spark, run, tmp_path):
+    """Rows of the started queries equal the batch alerts over the same stored tables."""
+    _, stored = run
+    tables = Tables(spark, str(tmp_path / "t"), registry_buckets=4).create()
+    for name in ("stage_counts", "latency"):
+        for batch in sorted(stored.batches(name)):
+            tables.write(stored.part(name, batch).coalesce(1), name, batch)
+    last = stored.read("stage_counts").agg(F.max("minute")).first()[0]
+    counts, latency = tables.read("stage_counts").cache(), tables.read("latency").cache()
+    wanted = {
+        "stage_rates": quality.stage_rates(counts),
+        "alert_invalid_rate": quality.invalid_rate_alert(counts),
+        "alert_conflict": quality.conflict_alert(counts),
+        "alert_replay_rate": quality.replay_rate_alert(counts),
+        "alert_latency_p95": quality.stored_latency_p95_alert(latency),
+    }
+    wanted = {name: rows(df.select(*tables.read(name).drop("batch_id").columns)) for name, df in wanted.items()}
+    for day in (1, 2):  # later minutes end all windows before them
+        at = last + timedelta(days=day)
+        tables.write(spark.createDataFrame([(at, at + timedelta(minutes=1), "end", "end", 1)], counts.drop("batch_id").schema), "stage_counts", 1000 + day)
+        tables.write(latency.limit(1).withColumn("minute", F.lit(at)).drop("batch_id"), "latency", 1000 + day)
+    for name in STREAMS:
+        start_alert(name, tables, str(tmp_path / name), files_per_batch=1, availableNow=True).awaitTermination()
+        got = tables.read(name).filter(F.col("window_end") < F.lit(last + timedelta(hours=12))).drop("batch_id")
+        assert rows(got) == wanted[name], name
+        assert wanted[name], name
