@@ -6,12 +6,17 @@ rank, merges all its occurrences together (from the left, never overlapping), an
 have no pair left. Merging all occurrences in a round equals merging them one by one, because a
 merge's product is made by no other merge, so nothing of a lower rank can come up in between; the
 table refuses a vocabulary in which that fails.
+
+A round costs as much as the symbols it holds, and a word may need a round per rank. So a word of more than
+``LONG_WORD`` bytes goes another way to the same ids: its pairs wait in a queue ordered by rank and place, and a
+merge renews only the two pairs beside it.
 """
 
 from __future__ import annotations
 
 import json
-from functools import cache
+from functools import cache, cached_property
+from heapq import heappop, heappush
 
 import numpy as np
 import regex
@@ -20,6 +25,7 @@ from driftwell.llm.codes import ragged
 
 NO_RANK = np.int64(1) << 40
 CACHED_WORDS = 200_000
+LONG_WORD = 512
 SHIFT = np.int64(32)
 
 
@@ -67,6 +73,59 @@ class Merges:
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after the other, and how many each word has. No word may be empty."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        short = np.fromiter((len(w) <= LONG_WORD for w in raw), dtype=bool, count=len(raw))
+        if short.all():
+            return self._rounds(raw)
+        ids, few = self._rounds([w for w in raw if len(w) <= LONG_WORD])
+        queued = {i: self._queued(raw[i]) for i in np.flatnonzero(~short).tolist()}
+        counts = np.empty(len(raw), np.int64)
+        counts[short], counts[~short] = few, [len(found) for found in queued.values()]
+        starts = np.cumsum(counts) - counts
+        whole = np.empty(int(counts.sum()), np.int64)
+        whole[ragged(starts[short], few)] = ids
+        for i, found in queued.items():
+            whole[starts[i] : starts[i] + len(found)] = found
+        return whole, counts
+
+    @cached_property
+    def _products(self) -> dict[int, tuple[int, int]]:
+        """Pair key to (rank, product)."""
+        return dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made.tolist(), strict=True), strict=True))
+
+    def _queued(self, word: bytes) -> list[int]:
+        """Ids of one long word."""
+        data = np.frombuffer(word, dtype=np.uint8)
+        symbols, n = self.inner[data], len(data)
+        symbols[-1] = self.last[data[-1]]
+        keys = (symbols[:-1] << SHIFT) | symbols[1:]
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        places = np.flatnonzero(self.keys[at] == keys)
+        # A sorted list is a heap. Entries are rank and place in one number.
+        waiting = np.sort((self.ranks[at[places]] << SHIFT) | places).tolist()
+        held, products, shift, place = symbols.tolist(), self._products, int(SHIFT), (1 << int(SHIFT)) - 1
+        held.append(-1)  # merged symbols and the end are negative, so they are in no pair
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        while waiting:
+            entry = heappop(waiting)
+            here = entry & place
+            there = after[here]
+            if held[here] < 0 or there >= n:
+                continue
+            merge = products.get((held[here] << shift) | held[there])
+            if merge is None or merge[0] != entry >> shift:
+                continue  # the pair is another one by now
+            made = held[here] = merge[1]
+            held[there] = -1
+            right = after[here] = after[there]
+            before[right] = here
+            if right < n and (merge := products.get((made << shift) | held[right])):
+                heappush(waiting, (merge[0] << shift) | here)
+            left = before[here]
+            if left >= 0 and (merge := products.get((held[left] << shift) | made)):
+                heappush(waiting, (merge[0] << shift) | left)
+        return [symbol for symbol in held if symbol >= 0]
+
+    def _rounds(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
         if not len(raw):
             return np.empty(0, np.int64), lengths

@@ -1,11 +1,13 @@
 """Token ids, decoding and counts against the tokenizers library."""
 
 import random
+import time
 
 import pytest
 from tokenizers import Tokenizer
 
 from driftwell.llm import bpe, token_counts
+from driftwell.llm.merges import load
 from driftwell.llm.queries import tokenizer
 
 LETTERS = list("aàáéΣσςİßñ日本語한글кир \t\n\r\x0b\x1c\x85 　'sS1２½.,!?<|>_-´́ǅﬁ😀\x00")
@@ -45,3 +47,18 @@ def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(none, tokenizer("word_bpe_49k.json")), tokenizer("word_bpe_49k.json")).count() == 0
     assert token_counts.count_tokens(none, tokenizer("byte_bpe_50k.json")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_long_words_equal_the_library(name):
+    """Words far beyond the rounds, among short ones; a million symbols take seconds."""
+    draw = random.Random(6)
+    merges, library = load(tokenizer(name)), Tokenizer.from_file(tokenizer(name))
+    letters = "".join(draw.choices("etaoinshrdlucmfwypvbgkjqxz", k=1_000_000))
+    words = ["short", letters[:700], "a" * 3000, "word", "".join(draw.choices("日本語한글кирß", k=60_000)), letters, "the"]
+    begun = time.monotonic()
+    ids, counts = merges.encode(words)
+    assert time.monotonic() - begun < 30
+    ends = counts.cumsum()
+    for word, low, high in zip(words, ends - counts, ends, strict=True):
+        assert ids[low:high].tolist() == library.encode(word, add_special_tokens=False).ids
