@@ -5,9 +5,11 @@ a parent domain, or a host with leading path segments. The next entry of the sam
 A capture (url, time) is judged by its most specific key with a valid entry that isn't ``remove``: paths before
 hosts, longer before shorter.
 
-The as-of join sorts entries and captures of a (key, time slice) together and lets each capture see the last
-entry before it; an interval is written once into every slice it covers. So a key with very many captures or entries
-is spread over the slices, and no pair is made. Equal captures are judged once.
+The as-of join cuts time into slices of an hour, but only where captures of the key are (*cells*). The entry valid at
+a cell's start is found first, among the key's entries and cell starts alone; then entries and captures of a cell are
+sorted together and each capture sees the last entry before it. So what an interval costs follows the captures and
+entries, not the span of time, and no pair is made. A cell with more than ``HOT_ROWS`` captures is cut into
+parts by a salt, with the cell's entries in each part. Equal captures are judged once.
 
 Of entries of one key and instant the one whose action comes first in block, allow, remove wins; repeated entries
 count once. Entries with a null in any field are ignored. Captures without a URL, a host or a time get the verdict
@@ -21,8 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftwell.operators.salting import every_salt, salts_for
+from driftwell.session import materialize
+
 PATH_DEPTH = 2
-SLICE_DAYS = 30
+SLICE_SECONDS = 3600
+HOT_ROWS = 500_000
 ACTIONS = ("remove", "allow", "block")
 
 
@@ -68,24 +74,44 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def _slice(time: Column) -> Column:
-    return F.floor(F.unix_seconds(time) / (SLICE_DAYS * 86400))
-
-
-def as_of(captures: DataFrame, valid: DataFrame) -> DataFrame:
-    """Adds action and valid_from, those valid at ``fetched_at`` for ``key``, to captures (key, fetched_at, ...)."""
-    span = captures.agg(F.min("fetched_at").alias("first_fetch"), F.max("fetched_at").alias("last_fetch"))
-    first, last = span.first()
-    carried = [c for c in captures.columns if c not in ("key", "fetched_at")]
-    if first is None:
-        return captures.select("key", "fetched_at", *carried, F.lit(None).cast("string").alias("action"), F.lit(None).cast("timestamp").alias("valid_from"))
-    low = F.greatest(F.col("valid_from"), F.lit(first))
-    high = F.least(F.coalesce("valid_to", F.lit(last)), F.lit(last))
-    listed = valid.filter(low <= high).withColumn("slice", F.explode(F.sequence(_slice(low), _slice(high))))
-    slice_start = F.timestamp_seconds(F.col("slice") * SLICE_DAYS * 86400)
-    listed = listed.select("key", "slice", F.greatest("valid_from", slice_start).alias("time"), F.struct("action", "valid_from").alias("entry"), F.lit(None).cast(captures.select(F.struct("*")).schema[0].dataType).alias("capture"))
-    asked = captures.select("key", _slice(F.col("fetched_at")).alias("slice"), F.col("fetched_at").alias("time"), F.lit(None).cast("struct<action:string,valid_from:timestamp>").alias("entry"), F.struct("*").alias("capture"))
-    # Entries sort before captures of the same instant; of entries moved to a slice's start the latest comes last.
-    order = Window.partitionBy("key", "slice").orderBy("time", F.col("capture").isNotNull(), F.col("entry.valid_from"))
+    return F.floor(F.unix_seconds(time) / SLICE_SECONDS)
+
+
+def _cells(captures: DataFrame, hot_rows: int) -> DataFrame:
+    """(key, slice, salts): where captures are, and into how many parts to cut them."""
+    counts = captures.groupBy("key", _slice(F.col("fetched_at")).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("key", "slice", salts_for(F.col("n"), hot_rows).alias("salts"))
+
+
+def _listed(valid: DataFrame, cells: DataFrame) -> DataFrame:
+    """(key, slice, salt, time, entry): the entries that the captures of a cell can see, in each of its parts."""
+    entry = F.struct("action", "valid_from")
+    starts = cells.select("key", F.timestamp_seconds(F.col("slice") * SLICE_SECONDS).alias("time"), F.lit(None).cast("struct<action:string,valid_from:timestamp>").alias("entry"), F.struct("slice", "salts").alias("cell"))
+    known = valid.select("key", F.col("valid_from").alias("time"), entry.alias("entry"), F.lit(None).cast(starts.schema["cell"].dataType).alias("cell"))
+    # Entries sort before a cell that starts at the same instant.
+    order = Window.partitionBy("key").orderBy("time", F.col("cell").isNotNull())
+    carried = known.unionByName(starts).withColumn("entry", F.last("entry", ignorenulls=True).over(order)).filter("cell IS NOT NULL AND entry IS NOT NULL")
+    inside = valid.select("key", _slice(F.col("valid_from")).alias("slice"), F.col("valid_from").alias("time"), entry.alias("entry")).join(cells, ["key", "slice"])
+    seen = carried.select("key", "cell.slice", "time", "entry", "cell.salts").unionByName(inside)
+    return seen.select("key", "slice", every_salt(), "time", "entry")
+
+
+def as_of(captures: DataFrame, valid: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Adds action and valid_from, those valid at ``fetched_at`` for ``key``, to captures (key, fetched_at, ...).
+
+    The intervals of a key have to follow each other without gaps, as those of ``intervals`` do.
+    """
+    cells = materialize(_cells(captures, hot_rows), "cells")
+    listed = _listed(valid, cells)
+    listed = listed.withColumn("capture", F.lit(None).cast(captures.select(F.struct("*")).schema[0].dataType))
+    # Hot cells are at most captures / ``hot_rows``; written, so that Spark joins them by their real size.
+    hot = materialize(cells.filter("salts > 1").select(F.col("key").alias("__key"), F.col("slice").alias("__slice"), "salts"), "hot")
+    placed = captures.select("key", _slice(F.col("fetched_at")).alias("slice"), F.col("fetched_at").alias("time"), F.struct("*").alias("capture"))
+    asked = placed.join(hot, (F.col("key") == F.col("__key")) & (F.col("slice") == F.col("__slice")), "left")
+    salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("capture"), F.col("salts"))).cast("int")
+    asked = asked.select("key", "slice", salt.alias("salt"), "time", F.lit(None).cast(listed.schema["entry"].dataType).alias("entry"), "capture")
+    # Entries sort before captures of the same instant; a carried one before those that begin at the cell's start.
+    order = Window.partitionBy("key", "slice", "salt").orderBy("time", F.col("capture").isNotNull(), F.col("entry.valid_from"))
     seen = listed.unionByName(asked).withColumn("entry", F.last("entry", ignorenulls=True).over(order)).filter("capture IS NOT NULL")
     return seen.select("capture.*", F.col("entry.action").alias("action"), F.col("entry.valid_from").alias("valid_from"))
 
@@ -93,6 +119,7 @@ def as_of(captures: DataFrame, valid: DataFrame) -> DataFrame:
 def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched_at: str = "fetched_at", out: str = "url_verdict") -> DataFrame:
     """Adds ``out``: struct(verdict, key, since)."""
     url_, at_ = F.col(f"`{url}`"), F.col(f"`{fetched_at}`")
+    entries = materialize(entries.select("key", "action", "since"), "entries")
     distinct = captures.select(url_.alias("url"), at_.cast("timestamp").alias("fetched_at")).na.drop().distinct()
     asked = distinct.select("url", "fetched_at", F.inline(keys(F.col("url"), deepest(entries))))
     found = as_of(asked, intervals(entries)).filter("action <> 'remove'")

@@ -2,10 +2,11 @@
 
 import random
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import duckdb
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from driftwell.llm import licenses, merkle, mixing, personal_data, queries, url_lists
@@ -122,6 +123,25 @@ def test_deep_url_list_entries(spark):
     assert {r.url: r.url_verdict.verdict for r in url_lists.judge(asked, listed).collect()} == dict(zip(urls, ["block", "allow", "none"], strict=True))
 
 
+def test_stray_captures_and_crowded_cells(spark):
+    """One capture centuries away adds a cell and no more; a cell cut into parts gives the same rows as a loop."""
+    draw, start = random.Random(4), datetime(2024, 1, 1)
+    entries = [(f"k{n % 40}", draw.choice(["block", "allow", "remove"]), start + timedelta(minutes=draw.randrange(0, 3000, 7) + n / 1000)) for n in range(300)]
+    captures = [(n, f"k{draw.choice([0, 0, 0, *range(45)])}", start + timedelta(minutes=draw.randrange(-100, 3100, 7))) for n in range(900)]
+    captures += [(900, "k1", datetime(2999, 1, 1)), (901, "k2", datetime(1970, 1, 1)), (902, "k3", start), (902, "k3", start)]
+    valid = url_lists.intervals(spark.createDataFrame(entries, "key string, action string, since timestamp"))
+    asked = spark.createDataFrame(captures, "n long, key string, fetched_at timestamp")
+    wanted = []
+    for n, key, at in captures:
+        before = [(since, action) for k, action, since in entries if k == key and since <= at]
+        wanted.append((n, key, at, *(max(before)[::-1] if before else (None, None))))
+    for hot_rows in (3, 500_000):
+        got = url_lists.as_of(asked, valid, hot_rows)
+        assert sorted(map(str, got.select("n", "key", "fetched_at", "action", "valid_from").collect())) == sorted(str(Row(n=n, key=k, fetched_at=at, action=a, valid_from=f)) for n, k, at, a, f in wanted)
+        cells = url_lists._cells(asked, hot_rows)
+        assert url_lists._listed(valid, cells).count() <= cells.agg(F.sum("salts")).first()[0] + len(entries) * cells.agg(F.max("salts")).first()[0]
+
+
 def test_mixing(spark):
     rows = [(i, "w " * (i % 40), ["a", "b", "c", None][i % 4]) for i in range(400)] + [(7, "w w", "a"), (7, "w w", "a"), (None, None, "z"), (9, "w " * 9000, "b")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, block int")
