@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by cosine: NN-descent graph and greedy graph search, as Spark joins.
 
-1. Equal vectors are one *node*; a node keeps the ids of its smallest ``COPIES`` members, which is all that a
-   result of five can need. Nodes carry their unit vector in half precision through the joins.
+1. Equal vectors are one *node*; a node keeps the ids of its smallest ``k + 1`` members, which is all that a
+   result of ``k`` can need. Nodes carry their unit vector in half precision through the joins.
 2. A first graph: each of a number of sets of random hyperplanes cuts the nodes into leaves of about ``LEAF``
    nodes. Larger leaves (a crowd of like vectors) are cut again at the medians of a sample of the leaf, as
    often as that makes them smaller; only what no plane parts (units equal in half precision) is dealt out by
@@ -18,10 +18,11 @@ Each doubling of the nodes above ``LEAF`` adds ``MORE_TREES`` sets of hyperplane
 to a beam of ``BEAM``.
 5. The beam's members are scored again with the original vectors in double precision and ranked.
 
-Vectors that are null, zero, or hold null or non-finite components, and rows with a null id, take no part;
-neither do vectors of another length than most have. Of rows with one id the one with the greatest vector
-counts. Ties go to the smaller id. With fewer candidates than ``k`` all are returned; an empty table gives an
-empty result. Other columns are not read.
+Vectors that are null, zero, or hold null or non-finite components, and rows with a null id, take no part.
+Cosines are between vectors of one length, so each length that a query has is a table of its own. Rows equal in id and
+vector are one row. Rows of one id with different vectors are queries and candidates each, also for each other; every
+such query has ranks of its own. Ties go to the smaller id. With fewer candidates than ``k`` all are returned; an
+empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwell.session import materialize
+from driftwell.session import materialize, scratch
 
 TREES = 24
 LEAF = 1024
@@ -47,7 +48,6 @@ SETTLED = 0.002
 PROPOSED = 5  # better neighbours a meeting proposes to a node
 BEAM = 96
 MORE_BEAM = 16
-COPIES = 6
 CHUNK = 512  # rows of lists worked on at once in a task
 SEED = 20240101
 LISTS = "node long, ids array<long>, scores array<float>"
@@ -70,19 +70,20 @@ def _batch(nodes, ids: list[np.ndarray], scores: list[np.ndarray]) -> pa.RecordB
 
 
 def valid_vectors(df: DataFrame, vector: str, vec_id: str) -> DataFrame:
-    """(vec_id, embedding array<double>), one row per id, of the vectors that take part."""
+    """(vec_id, embedding array<double>), distinct rows, of the vectors that take part."""
     values = F.col(f"`{vector}`").cast("array<double>")
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(values, lambda x: x != 0)
     rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), values.alias("embedding")).filter(F.col("vec_id").isNotNull() & finite)
-    rows = rows.groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
-    lengths = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("embedding") == (lengths["n"] if lengths else 0))
+    return rows.distinct()
 
 
-def _nodes(rows: DataFrame) -> DataFrame:
-    """(node, members, embedding, unit): one row per distinct vector; the node is its smallest id."""
+def _nodes(rows: DataFrame, k: int = 5) -> DataFrame:
+    """(node, members, embedding, unit): one row per distinct vector; the node is its smallest id.
+
+    Where other vectors have that id too, the node is a number below all ids.
+    """
     place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    few = rows.withColumn("place", place).filter(F.col("place") <= COPIES)
+    few = rows.withColumn("place", place).filter(F.col("place") <= k + 1)
     grouped = few.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("members"))
 
     @F.arrow_udf("binary")
@@ -93,7 +94,12 @@ def _nodes(rows: DataFrame) -> DataFrame:
             scaled = [v / np.abs(v).max() for v in rows_]
             yield pa.array([(v / np.sqrt((v * v).sum())).astype(np.float16).tobytes() for v in scaled], pa.binary())
 
-    return grouped.select(F.col("members")[0].alias("node"), "members", "embedding", unit("embedding").alias("unit"))
+    repeated = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("vec_id").alias("repeated"))
+    repeated = materialize(repeated, "repeated")  # nearly always empty, so Spark joins it by its real size
+    named = grouped.join(repeated, F.col("members")[0] == F.col("repeated"), "left")
+    least = rows.agg(F.min("vec_id")).first()[0] or 0
+    node = F.when(F.col("repeated").isNull(), F.col("members")[0]).otherwise(F.lit(least) - 1 - F.monotonically_increasing_id())
+    return named.select(node.alias("node"), "members", "embedding", unit("embedding").alias("unit"))
 
 
 def _best(ids: list[list[np.ndarray]], scores: list[list[np.ndarray]], own: np.ndarray, keep: int) -> tuple[list, list]:
@@ -319,15 +325,24 @@ def nearest(
     df: DataFrame, queries: str, vector: str = "embedding", vec_id: str = "vec_id", k: int = 5, beam: int | None = None
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for the rows that meet ``queries``, a SQL condition on vec_id."""
-    rows = materialize(valid_vectors(df, vector, vec_id), "vectors")
-    nodes = materialize(_nodes(rows), "nodes")
+    empty = df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    with scratch(df.sparkSession) as keep:
+        rows = materialize(valid_vectors(df, vector, vec_id).withColumn("length", F.size("embedding")), "vectors")
+        lengths = sorted(r.length for r in rows.filter(queries).select("length").distinct().collect())
+        parts = [_nearest(rows.filter(F.col("length") == n).drop("length"), queries, k, beam) for n in lengths]
+        return keep(reduce(DataFrame.union, parts, empty), "neighbours")
+
+
+def _nearest(rows: DataFrame, queries: str, k: int, beam: int | None) -> DataFrame:
+    """``nearest`` for distinct rows (vec_id, embedding) of one length."""
+    nodes = materialize(_nodes(rows, k), "nodes")
     units = nodes.select("node", "unit")
     graph = neighbour_graph(nodes)
     beam = max(BEAM + MORE_BEAM * _doublings(nodes.count()), 2 * k) if beam is None else beam
     asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "embedding").join(nodes.select("embedding", F.col("node").alias("query")), "embedding")
     asked = materialize(asked, "queries")
     found = _search(graph, units, asked.select(F.col("query").alias("node")).distinct().join(units, "node"), beam)
-    pairs = asked.join(found, "query").select("query_id", F.col("embedding").alias("left"), F.explode("ids").alias("node"))
+    pairs = asked.join(found, "query").select("query_id", "query", F.col("embedding").alias("left"), F.explode("ids").alias("node"))
 
     @F.arrow_udf("double")
     def cosine(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -339,7 +354,7 @@ def nearest(
                 out.append((a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1)))
             yield pa.array(np.concatenate(out))
 
-    scored = pairs.join(nodes.select("node", "members", F.col("embedding").alias("right")), "node").select("query_id", "members", cosine("left", "right").alias("score"))
-    listed = scored.select("query_id", "score", F.explode("members").alias("vec_id")).filter("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    scored = pairs.join(nodes.select("node", "members", F.col("embedding").alias("right")), "node").select("query_id", "query", "node", "members", cosine("left", "right").alias("score"))
+    listed = scored.select("query_id", "query", "node", "score", F.explode("members").alias("vec_id")).filter("vec_id <> query_id OR node <> query")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id", "node"))
     return listed.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

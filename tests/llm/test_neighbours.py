@@ -73,3 +73,31 @@ def test_search_goes_on_until_nothing_new_comes_up(spark):
     graph = spark.createDataFrame(links, neighbours.LISTS)
     found = neighbours._search(graph, unit, unit.filter("node = 40"), 4).first()
     assert {39, 38, 37} <= set(found.ids)
+
+
+def test_crowds_copies_lengths_and_repeated_ids(spark):
+    """The whole search over several leaves, with a crowd, equal vectors, two lengths and ids of two vectors."""
+    draw = np.random.default_rng(3)
+    crowd = np.repeat(draw.normal(size=(1, 16)), 800, axis=0) + 0.2 * draw.normal(size=(800, 16))
+    copies = np.repeat(draw.normal(size=(1, 16)), 20, axis=0)
+    wide = np.concatenate([copies, crowd, draw.normal(size=(1680, 16))])
+    rows = [(i, v.tolist()) for i, v in enumerate(wide)]
+    rows += [(5000 + i, v.tolist()) for i, v in enumerate(draw.normal(size=(30, 4)))]  # a rarer length
+    rows += [(100, wide[2400].tolist()), (100, wide[100].tolist()), (2400, draw.normal(size=16).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    distinct = {(i, tuple(v)) for i, v in rows}
+    got = {}
+    for r in neighbours.nearest(frame, "vec_id % 50 = 0", k=10).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score, r["rank"]))
+    hits = total = 0
+    for i in sorted({i for i, _ in distinct if i % 50 == 0}):
+        queries_ = [q for q in distinct if q[0] == i]
+        assert sorted(r for _, _, r in got[i]) == sorted(list(range(1, 11)) * len(queries_))
+        for q in queries_:
+            others = sorted(((-float(np.dot(q[1], o[1]) / np.linalg.norm(q[1]) / np.linalg.norm(o[1])), o[0]) for o in distinct if o != q and len(o[1]) == len(q[1])))[:10]
+            mine = {(v, round(s, 9)) for v, s, _ in got[i]}
+            hits += sum((v, round(-s, 9)) in mine for s, v in others)
+            total += 10
+            if i in (0, 5000):  # equal vectors and small tables are found whole
+                assert [v for v, _, _ in sorted(got[i], key=lambda r: r[2])] == [v for _, v in others]
+    assert hits >= 0.95 * total
