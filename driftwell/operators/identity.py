@@ -120,8 +120,10 @@ def registry_hits(records: DataFrame, registry: DataFrame) -> DataFrame:
     ids of the batch are dealt to its buckets, or shipped if adaptive execution finds them small enough.
     """
     ids = records.select("event_id").distinct()
-    hits = registry.select("event_id", "payload_hash", "first_seen_at").join(ids, "event_id")
-    first = hits.groupBy("event_id").agg(F.min(F.struct("first_seen_at", "payload_hash")).alias("first"))
+    # Of rows seen at one instant, the one registered last: a repair adds the row that came first after all.
+    part = F.col("batch_id") if "batch_id" in registry.columns else F.lit(0)
+    hits = registry.select("event_id", "payload_hash", "first_seen_at", (-part).alias("part")).join(ids, "event_id")
+    first = hits.groupBy("event_id").agg(F.min(F.struct("first_seen_at", "part", "payload_hash")).alias("first"))
     return first.select(
         "event_id",
         F.lit(REGISTRY_MEMORY).alias("memory"),

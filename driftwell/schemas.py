@@ -94,4 +94,16 @@ REGISTRY = StructType(
     ]
 )
 
+# A valid record, what was decided on it, and both.
+RECORD = StructType([*TELEMETRY.fields, *_fields(StringType(), "payload_hash"), *_fields(TimestampType(), "arrival_ts"), *_fields(LongType(), "arrival_seq")])
+
+DECISION = StructType(
+    [
+        *_fields(StringType(), "route", "replay_reason", "conflict_reason", "original_payload_hash", "conflicting_payload_hash"),
+        *_fields(TimestampType(), "original_first_seen_at"),
+    ]
+)
+
+DECIDED = StructType([*RECORD.fields, *DECISION.fields])
+
 DEAD_LETTERS = StructType(_fields(StringType(), "value"))

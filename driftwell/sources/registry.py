@@ -91,9 +91,10 @@ class Registry:
     def _level_rows(self, level: int, last: int) -> DataFrame:
         """Rows of a level up to a batch, each id once; grouped by the id, so that Spark reads and writes by buckets."""
         rows = self.rows().filter((F.col("level") == level) & (F.col("batch_id") <= last))
-        others = ["first_seen_at", *[n for n in REGISTRY.names if n not in ("event_id", "first_seen_at")]]
-        first = rows.groupBy("event_id").agg(F.min(F.struct(*others)).alias("first"))
-        return first.select("event_id", "first.*")
+        others = [n for n in REGISTRY.names if n not in ("event_id", "first_seen_at")]
+        ordered = F.struct("first_seen_at", (-F.col("batch_id")).alias("part"), *others)
+        first = rows.groupBy("event_id").agg(F.min(ordered).alias("first"))
+        return first.select("event_id", *[F.col(f"first.{n}").alias(n) for n in ("first_seen_at", *others)])
 
     def _write(self, rows: DataFrame, level: int, batch_id: int) -> None:
         self.create()

@@ -83,6 +83,9 @@ SCHEMAS = {
     "batch_clock": StructType([StructField("batch_time", TimestampType())]),
     "short_term_memory": _MEMORY,
     "memory_parts": StructType([StructField("part", LongType()), StructField("until", TimestampType())]),
+    "decided": schemas.DECIDED,
+    "repairs": StructType([*schemas.DECIDED.fields, StructField("previous_route", StringType())]),
+    "decided_again": StructType([StructField("event_id", StringType())]),
     "arrivals": StructType([StructField("source_partition", LongType()), StructField("last_arrival", TimestampType())]),
     "stage_counts": _COUNTS,
     "latency": _LATENCY,

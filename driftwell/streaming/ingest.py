@@ -20,7 +20,8 @@ from driftwell.plans.debug import debug_outputs
 from driftwell.plans.flow import TelemetryFlow, identity_routes, message_routes
 from driftwell.session import configure, materialize, scratch
 from driftwell.sources.tables import Tables
-from driftwell.streaming.memory import ShortTermMemory
+from driftwell.streaming import repair
+from driftwell.streaming.memory import AGAIN, ShortTermMemory
 
 # A row here says that all of a batch's tables are written; only then is what it remembered let go.
 FINISHED, REGISTRY = "finished", "registry"
@@ -75,17 +76,32 @@ def _outputs(messages: DataFrame, batch_id: int, tables: Tables, memory: ShortTe
     yield "batch_totals", tables.rows("batch_totals", totals.outcome_rows({**checks.get, **decisions.get}))
     yield "batch_latency", tables.rows("batch_latency", totals.latency_row(checks.get))
     new = routed.filter(F.col("route") == identity.NEW)
-    registered = identity.registry_rows(new)
+
+    yield repair.DECIDED_ROWS, routed
+    holders, changed = identity.short_term_memory(routed), None
+    ids = materialize(repair.out_of_order(accepted, memory), "out-of-order")
+    if not ids.isEmpty():
+        again = materialize(repair.decide_again(tables, ids, batch_id), "decided-again")
+        yield repair.REPAIRS, repair.repairs(again)
+        yield AGAIN, ids
+        changed = tables.part(repair.REPAIRS, batch_id)
+        holders = holders.join(ids, "event_id", "left_anti").unionByName(identity.short_term_memory(again))
+    firsts = new if changed is None else new.unionByName(changed.filter(F.col("route") == identity.NEW), allowMissingColumns=True)
+    registered = identity.registry_rows(firsts)
 
     yield "conflicts", identity.conflict_audit_rows(routed)
     yield "replays", identity.replay_audit_rows(routed)
     yield REGISTRY, registered
     yield "registry_history", registered
 
-    yield from memory.advance(accepted, identity.short_term_memory(routed))
+    yield from memory.advance(accepted, holders)
 
     routes = message_routes(checked).unionByName(identity_routes(routed)).unionByName(memory.behind(accepted))
-    yield "stage_counts", quality.stage_counts(routes)
+    counts = quality.stage_counts(routes)
+    if changed is not None:  # what the rows were counted as before, below zero, and what they are now
+        before = quality.stage_counts(identity_routes(changed.withColumn("route", F.col("previous_route"))))
+        counts = counts.unionByName(before.withColumn("events", -F.col("events"))).unionByName(quality.stage_counts(identity_routes(changed)))
+    yield "stage_counts", counts
     yield "latency", quality.latency_rollup(quality.measure_latency(accepted))
     if debug:
         yield from debug_outputs(accepted, new).items()

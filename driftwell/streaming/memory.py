@@ -4,7 +4,8 @@ A holder may be forgotten once no row can arrive any more that it outlives. How
 tracked per source partition, and the partition furthest behind decides, so one that runs ahead (or an
 odd clock) does not make the others forget. Within a partition, arrivals may be out of order by
 ``disorder_seconds``; a partition silent for ``IDLE_SECONDS`` of arrivals no longer holds the rest back.
-Rows behind the horizon are processed like any other, and counted as ``arrival`` / ``behind``.
+Rows behind the horizon are processed like any other, counted as ``arrival`` / ``behind``, and their ids decided
+again (see ``repair``); holders of such an id from before that are not remembered.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from driftwell.config import DISORDER_SECONDS, IDLE_SECONDS, SOURCE_PARTITION_BITS
 from driftwell.sources.tables import Tables
 
-MEMORY, PARTS, PROGRESS = "short_term_memory", "memory_parts", "arrivals"
+MEMORY, PARTS, PROGRESS, AGAIN = "short_term_memory", "memory_parts", "arrivals", "decided_again"
 
 
 def source_partition() -> Column:
@@ -52,12 +53,22 @@ class ShortTermMemory:
         self.parts = [] if parts is None else [(r.part, r.until) for r in parts.collect() if r.until is not None]
 
     def remembered(self) -> DataFrame | None:
-        return self.tables.parts(MEMORY, [part for part, _ in self.parts]) if self.parts else None
+        if not self.parts:
+            return None
+        oldest = min(part for part, _ in self.parts)
+        found = self.tables.parts(MEMORY, [part for part, _ in self.parts])
+        if not any(oldest < b < self.batch_id for b in self.tables.batches(AGAIN)):
+            return found
+        again = self.tables.read(AGAIN).filter((F.col("batch_id") > oldest) & (F.col("batch_id") < self.batch_id))
+        since = again.groupBy("event_id").agg(F.max("batch_id").alias("since"))
+        return found.join(since, "event_id", "left").filter("since IS NULL OR batch_id >= since").drop("since")
+
+    def is_behind(self) -> Column:
+        return F.lit(False) if self.horizon is None else F.col("arrival_ts") < F.lit(self.horizon)
 
     def behind(self, records: DataFrame) -> DataFrame:
         """``arrival_ts, stage, route`` of rows that arrive later than the memory reaches back."""
-        late = F.lit(False) if self.horizon is None else F.col("arrival_ts") < F.lit(self.horizon)
-        return records.filter(late).select("arrival_ts", F.lit("arrival").alias("stage"), F.lit("behind").alias("route"))
+        return records.filter(self.is_behind()).select("arrival_ts", F.lit("arrival").alias("stage"), F.lit("behind").alias("route"))
 
     def advance(self, records: DataFrame, holders: DataFrame):
         """The tables that carry the memory on; ``holders`` are those the batch itself made."""
@@ -76,3 +87,4 @@ class ShortTermMemory:
         self.tables.keep(MEMORY, alive | {self.batch_id})
         for name in (PARTS, PROGRESS):
             self.tables.forget_before(name, self.batch_id)
+        self.tables.forget_before(AGAIN, min(alive))
