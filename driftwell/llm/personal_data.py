@@ -2,16 +2,23 @@
 
 Generators of high recall propose candidate spans of each kind, also where they overlap; format and context
 features describe every candidate as a cell of small integers; boosted trees are fitted to the counts of all
-cells of half of the texts (weak labels: the candidate has its kind's strict format), a threshold per kind is
-calibrated on the other half so that the candidates above it keep ``PRECISION``, and what reaches it is a
-span. The features leave out the exact pattern of the strict format, so that data in an unusual notation but
-of the same make (a card number with dots, say) can reach the threshold. Spans of the strict formats always
-stay; others must not overlap them, nor a better or earlier one of their own.
+cells of half of the texts, a threshold per kind is calibrated on the other half so that the labelled candidates
+above it keep ``PRECISION``, and what reaches it is a span. Spans of the strict formats always stay; others must
+not overlap them, nor a better or earlier one of their own.
+
+Weak labels: a candidate in its kind's strict format is positive; one in another notation and without a cue word
+before it is negative. One in another notation beside a cue has no label, and so has a number of a card's length
+whose check digit fails, which says nothing about notation: these are not learned from. No feature spells out what
+the strict format is made of (plus, digits, octets, check digit, the at sign, a domain), so that context decides
+about unusual notation: ``phone (974) 555-3436``, ``mail joe (at) example.com``. What no notation can mend is
+required of every added span (``sound``): octets up to 255, 13 to 19 digits with the check digit, 9 to 15 digits of
+a phone, a domain. Candidates of equal score, start and kind are the same; else the earlier, then the first kind wins.
 
 Everything runs as array expressions within a row, in one pass over the texts and without a shuffle of them;
 what the model needs are counts of cells, bounded by the product of the features' values.
 
-Null and empty texts have no spans. Positions are code points, the end exclusive. Patterns are possessive,
+Null and empty texts have no spans; an empty table gives an empty result, and one without labelled candidates the
+strict spans alone. Positions are code points, the end exclusive. Patterns are possessive,
 and a match can start only where a run does, so that long texts take time in proportion to their length.
 Repeated rows and other columns of any name are fine; the output column replaces one of the same name.
 """
@@ -48,7 +55,8 @@ LOOSE = {
     "phone": r"(?<![0-9])[+(]?+[0-9](?:[\x20()./-]{0,2}+[0-9]){6,}+",
 }
 CUE = r"(?i)(mail|tel|phone|fon|call|fax|mobile|móvil|téléphone|correo|host|addr|server|\bip\b|card|visa|iban|konto|carte|tarjeta)"
-FEATURES = ("kind", "digits", "marks", "luhn", "octets", "plus", "domain", "letters", "left", "right", "cue", "given")
+FEATURES = ("kind", "separators", "letters", "left", "right", "cue", "given")
+CANDIDATE = ("start", "end", "label", "learned", "sound", *FEATURES)
 
 
 def _text(text: Column) -> Column:
@@ -136,26 +144,25 @@ def _described(kind: str, number: int, text: Column, match: Column) -> Column:
     right = F.substring(text, end + 1, F.lit(1))
     features = {
         "kind": F.lit(number),
-        "digits": _bucket(n, [1, 7, 9, 11, 13, 16, 17, 20]),
-        "marks": _bucket(F.length(F.regexp_replace(value, r"[\p{L}\p{N}]", "")), [1, 2, 3, 4, 6]),
-        "luhn": F.when((n >= 13) & (n <= 19), luhn(digits)).otherwise(F.lit(False)).cast("int"),
-        "octets": (value.rlike(r"^[0-9]+(\s?\.\s?[0-9]+){3}$") & small_octets(value)).cast("int"),
-        "plus": value.startswith("+").cast("int"),
-        "domain": value.rlike(r"[A-Za-z0-9-]\.[A-Za-z]{2,}$").cast("int"),
+        "separators": _bucket(F.length(F.regexp_replace(value, "[0-9+]", "")), [1, 2, 3, 4, 5]) if kind in ("card", "phone") else F.lit(0),
         "letters": value.rlike(r"\p{L}").cast("int"),
         "left": _side(left),
         "right": _side(right),
         "cue": before.rlike(CUE).cast("int"),
         "given": before.rlike(r"=\s*\W?$").cast("int"),
     }
-    # The weak label: the strict format, whole.
-    label = value.rlike(f"^(?:{STRICT[kind]})$") & _valid(kind, value)
-    return F.struct(start.alias("start"), end.alias("end"), label.cast("int").alias("label"), *[features[f].cast("int").alias(f) for f in FEATURES])
+    strict = value.rlike(f"^(?:{STRICT[kind]})$") & _valid(kind, value)
+    sound = value.rlike(r"[A-Za-z0-9-]\.[A-Za-z]{2,}$") if kind == "email" else _valid(kind, value)
+    learned = strict | (features["cue"] == 0)
+    if kind == "card":
+        learned = learned & (sound | ~n.between(13, 19))
+    told = {"start": start, "end": end, "label": strict, "learned": learned, "sound": sound, **features}
+    return F.struct(*[told[name].cast("int").alias(name) for name in CANDIDATE])
 
 
 def candidates(text: Column) -> Column:
     """Array of candidates of all kinds with their features, by kind and start."""
-    fields = ",".join(f"{f}:int" for f in ("start", "end", "label", *FEATURES))
+    fields = ",".join(f"{name}:int" for name in CANDIDATE)
 
     def of(number: int, kind: str) -> Column:
         found = F.transform(located(text, LOOSE[kind]), lambda m: _described(kind, number, text, m))
@@ -177,8 +184,8 @@ class Model:
 
 
 def train(found: DataFrame, fold: str, loose: str = "__pii_loose", precision: float = PRECISION) -> Model:
-    """Fits to the candidates of rows with ``fold`` 0, calibrates on those with 1."""
-    rows = found.select(F.col(fold).alias("fold"), F.explode(loose).alias("c"))
+    """Fits to the labelled candidates of rows with ``fold`` 0, calibrates on those with 1."""
+    rows = found.select(F.col(fold).alias("fold"), F.explode(F.filter(loose, lambda c: c["learned"] == 1)).alias("c"))
     cells = rows.groupBy("fold", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count(F.lit(1)).alias("rows"), F.sum("c.label").alias("positive"))
     counted = sorted(tuple(r) for r in cells.collect())  # bounded: combinations of feature values
     table = np.array(counted, dtype=np.int64).reshape(-1, len(FEATURES) + 3)
@@ -202,7 +209,7 @@ def selected(model: Model, strict: Column, loose: Column) -> Column:
 
     limits = [t if math.isfinite(t) else 1e300 for t in model.thresholds]
     limit = F.array(*[F.lit(t - 1e-6) for t in limits])
-    scored = F.transform(loose, lambda c: F.struct(score(c).alias("score"), c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
+    scored = F.transform(F.filter(loose, lambda c: c["sound"] == 1), lambda c: F.struct(score(c).alias("score"), c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     high = F.filter(scored, lambda c: c["score"] >= F.get(limit, c["kind"]))
     free = F.filter(high, lambda c: ~F.exists(strict, lambda s: overlap(c, s)))
 
