@@ -218,8 +218,16 @@ def _classes(own: DataFrame, threshold: float, words: int, bands: int) -> DataFr
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, one of each class of near duplicates; all its columns."""
-    kept = near_duplicates(docs, text, doc_id, threshold).filter("is_kept").select(*_row_keys("doc_id", "text_hash")).distinct()
+    """The rows of ``docs``, one of each class of near duplicates; all its columns.
+
+    Whole rows stream through the join with the kept keys. Only kept rows that the table holds more than once
+    are grouped, from a table of their own.
+    """
+    kept = near_duplicates(docs, text, doc_id, threshold).filter("is_kept").groupBy(*_row_keys("doc_id", "text_hash")).agg(F.count(F.lit(1)).alias("__near_rows"))
     marked = docs.withColumn("__near_text_hash", F.xxhash64(F.col(f"`{text}`")))
-    once = marked.select(*_row_keys(f"`{doc_id}`", "__near_text_hash"), *[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates(ROW_KEYS)
-    return once.join(kept.hint("shuffle_hash"), ROW_KEYS).drop(*ROW_KEYS)
+    keyed = marked.select(*_row_keys(f"`{doc_id}`", "__near_text_hash"), *[F.col(f"`{c}`") for c in docs.columns])
+    once, repeated = (kept.filter(held) for held in ("__near_rows = 1", "__near_rows > 1"))
+    rows = keyed.join(once.hint("shuffle_hash"), ROW_KEYS)
+    if not repeated.isEmpty():
+        rows = rows.union(materialize(keyed.join(repeated.hint("shuffle_hash"), ROW_KEYS), "repeated").dropDuplicates(ROW_KEYS))
+    return rows.drop(*ROW_KEYS, "__near_rows")

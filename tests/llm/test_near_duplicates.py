@@ -91,6 +91,15 @@ def test_null_ids_repeated_rows_and_empty(spark):
     assert near_duplicates.near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_dropping_sorts_no_whole_rows(spark):
+    frame = spark.createDataFrame([(i, f"one two three four five {i}", "a") for i in range(20)], "doc_id long, text string, source string")
+    kept = near_duplicates.drop_near_duplicates(frame)
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+    again = frame.union(frame.filter("doc_id < 3"))  # their rows are there twice
+    assert sorted(near_duplicates.drop_near_duplicates(again).collect()) == sorted(kept.collect()) == sorted(frame.collect())
+
+
 def test_a_lower_threshold_is_refused(spark):
     frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     with pytest.raises(ValueError, match="0.8"):
