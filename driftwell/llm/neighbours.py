@@ -18,6 +18,9 @@ Each doubling of the nodes above ``LEAF`` adds ``MORE_TREES`` sets of hyperplane
 to a beam of ``BEAM``.
 5. The beam's members are scored again with the original vectors in double precision and ranked.
 
+Both sides of every join here grow with the input, so all are sort-merge joins and none is broadcast through the driver:
+Spark sizes a table by its Parquet files, which are far smaller than its rows in memory, the more so once a list is exploded.
+
 Vectors that are null, zero, or hold null or non-finite components, and rows with a null id, take no part.
 Cosines are between vectors of one length, so each length that a query has is a table of its own. Rows equal in id and
 vector are one row. Rows of one id with different vectors are queries and candidates each, also for each other; every
@@ -69,6 +72,11 @@ def _batch(nodes, ids: list[np.ndarray], scores: list[np.ndarray]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), _lists(ids, pa.int64()), _lists(scores, pa.float32())], names=["node", "ids", "scores"])
 
 
+def _join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join of which neither side goes through the driver, whatever Spark takes its size for."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def valid_vectors(df: DataFrame, vector: str, vec_id: str) -> DataFrame:
     """(vec_id, embedding array<double>), distinct rows, of the vectors that take part."""
     values = F.col(f"`{vector}`").cast("array<double>")
@@ -95,8 +103,10 @@ def _nodes(rows: DataFrame, k: int = 5) -> DataFrame:
             yield pa.array([(v / np.sqrt((v * v).sum())).astype(np.float16).tobytes() for v in scaled], pa.binary())
 
     repeated = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("vec_id").alias("repeated"))
-    repeated = materialize(repeated, "repeated")  # nearly always empty, so Spark joins it by its real size
-    named = grouped.join(repeated, F.col("members")[0] == F.col("repeated"), "left")
+    repeated = materialize(repeated, "repeated")
+    if repeated.isEmpty():  # nearly always
+        return grouped.select(F.col("members")[0].alias("node"), "members", "embedding", unit("embedding").alias("unit"))
+    named = _join(grouped, repeated, F.col("members")[0] == F.col("repeated"), "left")
     least = rows.agg(F.min("vec_id")).first()[0] or 0
     node = F.when(F.col("repeated").isNull(), F.col("members")[0]).otherwise(F.lit(least) - 1 - F.monotonically_increasing_id())
     return named.select(node.alias("node"), "members", "embedding", unit("embedding").alias("unit"))
@@ -151,8 +161,8 @@ def _cut_crowded(placed: DataFrame, units: DataFrame, dimensions: int, leaf: int
             return placed
         before, turn = weight, turn + 1
         planes = np.random.default_rng(SEED + turn).normal(size=(dimensions, most)).astype(np.float32)
-        inside = materialize(placed.join(crowded, ["tree", "leaf"]).join(units.select("node", "unit"), "node"), "inside")
-        sample = inside.filter(F.pmod(F.xxhash64("node", "tree", F.lit(turn)), F.col("n")) < SAMPLE)
+        inside = materialize(_join(placed, crowded, ["tree", "leaf"]).select("node", "tree", "leaf", "n", "cuts"), "inside")
+        sample = _join(inside.filter(F.pmod(F.xxhash64("node", "tree", F.lit(turn)), F.col("n")) < SAMPLE), units.select("node", "unit"), "node")
 
         def middle(table: pa.Table) -> pa.Table:
             middles = np.median(_units(table.column("unit").combine_chunks()) @ planes, axis=0)
@@ -168,11 +178,12 @@ def _cut_crowded(placed: DataFrame, units: DataFrame, dimensions: int, leaf: int
                     yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes)], names=["node", "tree", "leaf", "code"])
 
         middles = sample.select("tree", "leaf", "unit").groupBy("tree", "leaf").applyInArrow(middle, "tree int, leaf long, middles array<float>")
-        rows = inside.join(F.broadcast(middles), ["tree", "leaf"]).select("node", "tree", "leaf", "cuts", "unit", "middles")
+        named = _join(inside, middles, ["tree", "leaf"])
+        rows = _join(named, units.select("node", "unit"), "node").select("node", "tree", "leaf", "cuts", "unit", "middles")
         parted = rows.mapInArrow(cut, "node long, tree int, leaf long, code long")
-        named = parted.select("node", "tree", F.xxhash64("leaf", F.lit(turn), "code").alias("leaf"))
-        kept = placed.join(crowded, ["tree", "leaf"], "left_anti").select("node", "tree", "leaf")
-        placed = materialize(kept.union(named), "leaves")
+        smaller = parted.select("node", "tree", F.xxhash64("leaf", F.lit(turn), "code").alias("leaf"))
+        kept = _join(placed, crowded, ["tree", "leaf"], "left_anti").select("node", "tree", "leaf")
+        placed = materialize(kept.union(smaller), "leaves")
 
 
 def _forest(units: DataFrame, count: int, dimensions: int, trees: int, leaf: int) -> DataFrame:
@@ -191,7 +202,7 @@ def _forest(units: DataFrame, count: int, dimensions: int, trees: int, leaf: int
     placed = materialize(units.select("node", "unit").mapInArrow(cut, "node long, tree int, leaf long"), "leaves")
     placed = _cut_crowded(placed, units, dimensions, leaf)
     parts = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (1.5 * leaf)).alias("parts"))
-    dealt = placed.join(parts, ["tree", "leaf"]).select("node", "tree", "leaf", F.pmod(F.xxhash64("node", "tree"), F.col("parts")).alias("part"))
+    dealt = _join(placed, parts, ["tree", "leaf"]).select("node", "tree", "leaf", F.pmod(F.xxhash64("node", "tree"), F.col("parts")).alias("part"))
 
     def compare(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
@@ -207,7 +218,7 @@ def _forest(units: DataFrame, count: int, dimensions: int, trees: int, leaf: int
             scores += list(np.take_along_axis(near, best, 1))
         return pa.Table.from_batches([_batch(nodes, ids, scores)])
 
-    return dealt.join(units.select("node", "unit"), "node").groupBy("tree", "leaf", "part").applyInArrow(compare, LISTS)
+    return _join(dealt, units.select("node", "unit"), "node").groupBy("tree", "leaf", "part").applyInArrow(compare, LISTS)
 
 
 def _adjacency(graph: DataFrame) -> DataFrame:
@@ -223,8 +234,8 @@ def _descend(graph: DataFrame, adjacency: DataFrame, units: DataFrame) -> DataFr
     """One round: members of each center's adjacency (center, near) are compared with each other."""
     # What a node's next neighbour has to beat; nodes with few neighbours take any.
     last = F.when(F.size("scores") < DEGREE, -2.0).otherwise(F.array_min("scores")).cast("float")
-    known = units.select("node", "unit").join(graph.select("node", last.alias("last")), "node")
-    met = adjacency.select("center", F.explode("near").alias("member")).join(known.withColumnRenamed("node", "member"), "member")
+    known = _join(units.select("node", "unit"), graph.select("node", last.alias("last")), "node")
+    met = _join(adjacency.select("center", F.explode("near").alias("member")), known.withColumnRenamed("node", "member"), "member")
     meetings = met.groupBy("center").agg(F.collect_list(F.struct("member", "unit", "last")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +278,10 @@ def neighbour_graph(nodes: DataFrame, trees: int | None = None, leaf: int = LEAF
         adjacency = materialize(_adjacency(graph), "adjacency")
         moved = adjacency
         if before is not None:
-            moved = adjacency.join(before.withColumnRenamed("near", "was"), "center", "left").filter(~F.col("near").eqNullSafe(F.col("was"))).select("center", "near")
+            moved = _join(adjacency, before.withColumnRenamed("near", "was"), "center", "left").filter(~F.col("near").eqNullSafe(F.col("was"))).select("center", "near")
         old, graph = graph, materialize(_descend(graph, moved, units), "graph")
         before, rounds = adjacency, rounds + 1
-        both = graph.join(old.select("node", F.col("ids").alias("was")), "node")
+        both = _join(graph, old.select("node", F.col("ids").alias("was")), "node")
         new, total = both.agg(F.sum(F.size(F.array_except("ids", "was"))), F.sum(F.size("ids"))).first()
         if new <= SETTLED * total:
             break
@@ -280,7 +291,7 @@ def neighbour_graph(nodes: DataFrame, trees: int | None = None, leaf: int = LEAF
 def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int) -> DataFrame:
     """(query, ids): the best ``beam`` nodes that greedy search finds for each query node, itself among them."""
     adjacency = materialize(_adjacency(graph), "adjacency")
-    start = queries.select(F.col("node").alias("query"), "unit").join(graph.withColumnRenamed("node", "query"), "query")
+    start = _join(queries.select(F.col("node").alias("query"), "unit"), graph.withColumnRenamed("node", "query"), "query")
     state = start.select("query", "unit", "ids", "scores", F.array().cast("array<long>").alias("done"))
 
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,11 +324,13 @@ def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int) -
         state = state.filter(open_)
         if state.isEmpty():
             break
-        frontier = state.select("query", "ids", F.explode(F.array_except("ids", "done")).alias("center"))
-        reached = frontier.join(adjacency, "center").select("query", "ids", F.explode("near").alias("node"))
-        new = reached.filter(~F.array_contains("ids", F.col("node"))).select("query", "node").distinct()
-        scored = new.join(units, "node").groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("found"))
-        state = state.join(scored.hint("merge"), "query", "left").mapInArrow(advance, schema)
+        # Pairs only: a query's lists in each of its rows would be its beam squared.
+        frontier = state.select("query", F.explode(F.array_except("ids", "done")).alias("center"))
+        reached = _join(frontier, adjacency, "center").select("query", F.explode("near").alias("node"), F.lit(False).alias("had"))
+        had = state.select("query", F.explode("ids").alias("node"), F.lit(True).alias("had"))
+        new = reached.union(had).groupBy("query", "node").agg(F.max("had").alias("had")).filter("NOT had").select("query", "node")
+        scored = _join(new, units, "node").groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("found"))
+        state = _join(state, scored, "query", "left").mapInArrow(advance, schema)
     return reduce(DataFrame.union, ended).select("query", F.array_union("ids", F.array("query")).alias("ids"))
 
 
@@ -339,10 +352,10 @@ def _nearest(rows: DataFrame, queries: str, k: int, beam: int | None) -> DataFra
     units = nodes.select("node", "unit")
     graph = neighbour_graph(nodes)
     beam = max(BEAM + MORE_BEAM * _doublings(nodes.count()), 2 * k) if beam is None else beam
-    asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "embedding").join(nodes.select("embedding", F.col("node").alias("query")), "embedding")
-    asked = materialize(asked, "queries")
-    found = _search(graph, units, asked.select(F.col("query").alias("node")).distinct().join(units, "node"), beam)
-    pairs = asked.join(found, "query").select("query_id", "query", F.col("embedding").alias("left"), F.explode("ids").alias("node"))
+    asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "embedding")
+    asked = materialize(_join(asked, nodes.select("embedding", F.col("node").alias("query")), "embedding"), "queries")
+    found = _search(graph, units, _join(asked.select(F.col("query").alias("node")).distinct(), units, "node"), beam)
+    pairs = found.select("query", F.explode("ids").alias("node"))
 
     @F.arrow_udf("double")
     def cosine(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -354,7 +367,13 @@ def _nearest(rows: DataFrame, queries: str, k: int, beam: int | None) -> DataFra
                 out.append((a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1)))
             yield pa.array(np.concatenate(out))
 
-    scored = pairs.join(nodes.select("node", "members", F.col("embedding").alias("right")), "node").select("query_id", "query", "node", "members", cosine("left", "right").alias("score"))
-    listed = scored.select("query_id", "query", "node", "score", F.explode("members").alias("vec_id")).filter("vec_id <> query_id OR node <> query")
+    met = _join(pairs, nodes.select("node", "members", F.col("embedding").alias("right")), "node")
+    met = _join(met, asked.dropDuplicates(["query"]).select("query", F.col("embedding").alias("left")), "query")
+    scored = met.select("query", "node", "members", cosine("left", "right").alias("score"))
+    listed = scored.select("query", "node", "score", F.explode("members").alias("vec_id"))
+    # A query's own row is at most one of these, so k + 1 of its node are enough for any of them.
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "node"))
+    best = listed.withColumn("place", place).filter(F.col("place") <= k + 1).drop("place")
+    own = _join(asked.select("query_id", "query"), best, "query").filter("vec_id <> query_id OR node <> query")
     rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id", "node"))
-    return listed.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return own.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -101,3 +101,55 @@ def test_crowds_copies_lengths_and_repeated_ids(spark):
             if i in (0, 5000):  # equal vectors and small tables are found whole
                 assert [v for v, _, _ in sorted(got[i], key=lambda r: r[2])] == [v for _, v in others]
     assert hits >= 0.95 * total
+
+
+def test_no_table_goes_through_the_driver(spark, monkeypatch):
+    """Joins stay sort-merge joins however small Spark takes a table for: exploded lists are far larger than their files."""
+    frames, plans = type(spark.range(0)), []
+    join = frames.join
+
+    def seen(self, *args):
+        joined = join(self, *args)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(frames, "join", seen)
+    draw = np.random.default_rng(4)
+    vectors = np.concatenate([draw.normal(size=8) + 0.05 * draw.normal(size=(300, 8)), draw.normal(size=(1300, 8))])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(50, vectors[0].tolist()), (51, vectors[1].tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, "vec_id % 50 = 0", k=3).collect()
+    assert len(got) == 3 * 33
+    nodes = materialize(neighbours._nodes(neighbours.valid_vectors(frame, "embedding", "vec_id")), "nodes")
+    before = len(plans)
+    assert neighbours.neighbour_graph(nodes, trees=4, leaf=64, descents=2).count() == nodes.count()
+    assert before > 10 and len(plans) - before > 10  # crowded leaves are cut, too
+    assert [p for p in plans if "Broadcast" in p] == []
+
+
+def test_search_passes_pairs_and_not_lists(spark, monkeypatch):
+    """A query's beam does not travel with each node that it reaches."""
+    widest = []
+    frames = type(spark.range(0))
+    join = frames.join
+
+    def seen(self, *args):
+        widest.append([x for x in self.columns if x in ("ids", "scores", "done", "left")] if "center" in self.columns and "query" in self.columns else [])
+        return join(self, *args)
+
+    monkeypatch.setattr(frames, "join", seen)
+    draw = np.random.default_rng(5)
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(draw.normal(size=(300, 8)))], "vec_id long, embedding array<double>")
+    neighbours.nearest(frame, "vec_id % 50 = 0").collect()
+    assert [x for x in widest if x] == []
+    assert len(widest) > 5
+
+
+def test_queries_of_equal_vectors_leave_out_only_themselves(spark):
+    """Queries that share a node are ranked from its k + 1 best."""
+    rows = [(i, [1.0, 0.5]) for i in range(7)] + [(10, [1.0, 0.6]), (11, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(frame, "vec_id < 7 OR vec_id = 10", k=2).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {0: [1, 2], 1: [0, 2], **{i: [0, 1] for i in range(2, 7)}, 10: [0, 1]}
