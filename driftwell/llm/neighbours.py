@@ -18,8 +18,9 @@ Each doubling of the nodes above ``LEAF`` adds ``MORE_TREES`` sets of hyperplane
 to a beam of ``BEAM``.
 5. The beam's members are scored again with the original vectors in double precision and ranked.
 
-Both sides of every join here grow with the input, so all are sort-merge joins and none is broadcast through the driver:
-Spark sizes a table by its Parquet files, which are far smaller than its rows in memory, the more so once a list is exploded.
+Both sides of every join here grow with the input. A table goes through the driver, as a broadcast, only where its rows
+counted and their width in memory come to less than ``SMALL``; all other joins are sort-merge joins. Spark's own choice is
+not used: it sizes a table by its Parquet files, far smaller than rows in memory, the more so once a list is exploded.
 
 Vectors that are null, zero, or hold null or non-finite components, and rows with a null id, take no part.
 Cosines are between vectors of one length, so each length that a query has is a table of its own. Rows equal in id and
@@ -51,6 +52,7 @@ SETTLED = 0.002
 PROPOSED = 5  # better neighbours a meeting proposes to a node
 BEAM = 96
 MORE_BEAM = 16
+SMALL = 8 << 20  # bytes of rows in memory; tables below are broadcast
 CHUNK = 512  # rows of lists worked on at once in a task
 SEED = 20240101
 LISTS = "node long, ids array<long>, scores array<float>"
@@ -72,9 +74,9 @@ def _batch(nodes, ids: list[np.ndarray], scores: list[np.ndarray]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), _lists(ids, pa.int64()), _lists(scores, pa.float32())], names=["node", "ids", "scores"])
 
 
-def _join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """A join of which neither side goes through the driver, whatever Spark takes its size for."""
-    return left.join(right.hint("merge"), on, how)
+def _join(left: DataFrame, right: DataFrame, on, how: str = "inner", rows: float = math.inf, width: int = 0) -> DataFrame:
+    """A join; ``right`` has ``rows`` rows at most, of ``width`` bytes besides keys and bookkeeping."""
+    return left.join(F.broadcast(right) if rows * (width + 64) < SMALL else right.hint("merge"), on, how)
 
 
 def valid_vectors(df: DataFrame, vector: str, vec_id: str) -> DataFrame:
@@ -104,9 +106,10 @@ def _nodes(rows: DataFrame, k: int = 5) -> DataFrame:
 
     repeated = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("vec_id").alias("repeated"))
     repeated = materialize(repeated, "repeated")
-    if repeated.isEmpty():  # nearly always
+    some = repeated.count()
+    if not some:  # nearly always
         return grouped.select(F.col("members")[0].alias("node"), "members", "embedding", unit("embedding").alias("unit"))
-    named = _join(grouped, repeated, F.col("members")[0] == F.col("repeated"), "left")
+    named = _join(grouped, repeated, F.col("members")[0] == F.col("repeated"), "left", some)
     least = rows.agg(F.min("vec_id")).first()[0] or 0
     node = F.when(F.col("repeated").isNull(), F.col("members")[0]).otherwise(F.lit(least) - 1 - F.monotonically_increasing_id())
     return named.select(node.alias("node"), "members", "embedding", unit("embedding").alias("unit"))
@@ -148,21 +151,28 @@ def _doublings(count: int, leaf: int = LEAF) -> int:
     return max(0, math.ceil(math.log2(max(count, 1) / leaf)))
 
 
-def _cut_crowded(placed: DataFrame, units: DataFrame, dimensions: int, leaf: int) -> DataFrame:
-    """Cuts leaves of more than 1.5 ``leaf`` nodes at their medians until that makes no leaf smaller."""
+def _cut_crowded(placed: DataFrame, units: DataFrame, count: int, dimensions: int, leaf: int) -> DataFrame:
+    """Cuts leaves of more than 1.5 ``leaf`` nodes at their medians until that makes no leaf smaller.
+
+    Returns (node, tree, leaf, part): what is left crowded is dealt out by chance to parts.
+    """
     before, turn = math.inf, 0
     while True:
         sizes = placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
         crowded = sizes.filter(F.col("n") > 1.5 * leaf).withColumn("cuts", F.ceil(F.log2(F.col("n") / leaf)).cast("int"))
         crowded = materialize(crowded, "crowded")
         # The sum of squares falls with every leaf that is parted.
-        weight, most = crowded.agg(F.sum(F.col("n").cast("double") * F.col("n")), F.max("cuts")).first()
-        if weight is None or weight > 0.99 * before:
-            return placed
+        weight, most, leaves = crowded.agg(F.sum(F.col("n").cast("double") * F.col("n")), F.max("cuts"), F.count(F.lit(1))).first()
+        if weight is None:
+            return placed.withColumn("part", F.lit(0).cast("long"))
+        if weight > 0.99 * before:
+            parts = crowded.select("tree", "leaf", F.ceil(F.col("n") / (1.5 * leaf)).alias("parts"))
+            part = F.pmod(F.xxhash64("node", "tree"), F.coalesce("parts", F.lit(1)))
+            return _join(placed, parts, ["tree", "leaf"], "left", leaves).select("node", "tree", "leaf", part.alias("part"))
         before, turn = weight, turn + 1
         planes = np.random.default_rng(SEED + turn).normal(size=(dimensions, most)).astype(np.float32)
-        inside = materialize(_join(placed, crowded, ["tree", "leaf"]).select("node", "tree", "leaf", "n", "cuts"), "inside")
-        sample = _join(inside.filter(F.pmod(F.xxhash64("node", "tree", F.lit(turn)), F.col("n")) < SAMPLE), units.select("node", "unit"), "node")
+        inside = materialize(_join(placed, crowded, ["tree", "leaf"], rows=leaves).select("node", "tree", "leaf", "n", "cuts"), "inside")
+        sample = _join(inside.filter(F.pmod(F.xxhash64("node", "tree", F.lit(turn)), F.col("n")) < SAMPLE), units.select("node", "unit"), "node", rows=count, width=2 * dimensions)
 
         def middle(table: pa.Table) -> pa.Table:
             middles = np.median(_units(table.column("unit").combine_chunks()) @ planes, axis=0)
@@ -178,11 +188,11 @@ def _cut_crowded(placed: DataFrame, units: DataFrame, dimensions: int, leaf: int
                     yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes)], names=["node", "tree", "leaf", "code"])
 
         middles = sample.select("tree", "leaf", "unit").groupBy("tree", "leaf").applyInArrow(middle, "tree int, leaf long, middles array<float>")
-        named = _join(inside, middles, ["tree", "leaf"])
-        rows = _join(named, units.select("node", "unit"), "node").select("node", "tree", "leaf", "cuts", "unit", "middles")
+        named = _join(inside, middles, ["tree", "leaf"], rows=leaves, width=4 * most)
+        rows = _join(named, units.select("node", "unit"), "node", rows=count, width=2 * dimensions).select("node", "tree", "leaf", "cuts", "unit", "middles")
         parted = rows.mapInArrow(cut, "node long, tree int, leaf long, code long")
         smaller = parted.select("node", "tree", F.xxhash64("leaf", F.lit(turn), "code").alias("leaf"))
-        kept = _join(placed, crowded, ["tree", "leaf"], "left_anti").select("node", "tree", "leaf")
+        kept = _join(placed, crowded, ["tree", "leaf"], "left_anti", leaves).select("node", "tree", "leaf")
         placed = materialize(kept.union(smaller), "leaves")
 
 
@@ -200,9 +210,7 @@ def _forest(units: DataFrame, count: int, dimensions: int, trees: int, leaf: int
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, trees)), pa.array(np.tile(np.arange(trees), len(nodes)), pa.int32()), pa.array(codes.reshape(-1))], names=["node", "tree", "leaf"])
 
     placed = materialize(units.select("node", "unit").mapInArrow(cut, "node long, tree int, leaf long"), "leaves")
-    placed = _cut_crowded(placed, units, dimensions, leaf)
-    parts = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (1.5 * leaf)).alias("parts"))
-    dealt = _join(placed, parts, ["tree", "leaf"]).select("node", "tree", "leaf", F.pmod(F.xxhash64("node", "tree"), F.col("parts")).alias("part"))
+    dealt = _cut_crowded(placed, units, count, dimensions, leaf)
 
     def compare(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
@@ -218,7 +226,7 @@ def _forest(units: DataFrame, count: int, dimensions: int, trees: int, leaf: int
             scores += list(np.take_along_axis(near, best, 1))
         return pa.Table.from_batches([_batch(nodes, ids, scores)])
 
-    return _join(dealt, units.select("node", "unit"), "node").groupBy("tree", "leaf", "part").applyInArrow(compare, LISTS)
+    return _join(dealt, units.select("node", "unit"), "node", rows=count, width=2 * dimensions).groupBy("tree", "leaf", "part").applyInArrow(compare, LISTS)
 
 
 def _adjacency(graph: DataFrame) -> DataFrame:
@@ -230,12 +238,12 @@ def _adjacency(graph: DataFrame) -> DataFrame:
     return both.groupBy("center").agg(F.array_sort(F.collect_set("member")).alias("near"))
 
 
-def _descend(graph: DataFrame, adjacency: DataFrame, units: DataFrame) -> DataFrame:
+def _descend(graph: DataFrame, adjacency: DataFrame, units: DataFrame, count: int, dimensions: int) -> DataFrame:
     """One round: members of each center's adjacency (center, near) are compared with each other."""
     # What a node's next neighbour has to beat; nodes with few neighbours take any.
     last = F.when(F.size("scores") < DEGREE, -2.0).otherwise(F.array_min("scores")).cast("float")
-    known = _join(units.select("node", "unit"), graph.select("node", last.alias("last")), "node")
-    met = _join(adjacency.select("center", F.explode("near").alias("member")), known.withColumnRenamed("node", "member"), "member")
+    known = _join(units.select("node", "unit"), graph.select("node", last.alias("last")), "node", rows=count)
+    met = _join(adjacency.select("center", F.explode("near").alias("member")), known.withColumnRenamed("node", "member"), "member", rows=count, width=2 * dimensions)
     meetings = met.groupBy("center").agg(F.collect_list(F.struct("member", "unit", "last")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,20 +286,20 @@ def neighbour_graph(nodes: DataFrame, trees: int | None = None, leaf: int = LEAF
         adjacency = materialize(_adjacency(graph), "adjacency")
         moved = adjacency
         if before is not None:
-            moved = _join(adjacency, before.withColumnRenamed("near", "was"), "center", "left").filter(~F.col("near").eqNullSafe(F.col("was"))).select("center", "near")
-        old, graph = graph, materialize(_descend(graph, moved, units), "graph")
+            moved = _join(adjacency, before.withColumnRenamed("near", "was"), "center", "left", count, 16 * DEGREE).filter(~F.col("near").eqNullSafe(F.col("was"))).select("center", "near")
+        old, graph = graph, materialize(_descend(graph, moved, units, count, dimensions), "graph")
         before, rounds = adjacency, rounds + 1
-        both = _join(graph, old.select("node", F.col("ids").alias("was")), "node")
+        both = _join(graph, old.select("node", F.col("ids").alias("was")), "node", rows=count, width=8 * DEGREE)
         new, total = both.agg(F.sum(F.size(F.array_except("ids", "was"))), F.sum(F.size("ids"))).first()
         if new <= SETTLED * total:
             break
     return graph
 
 
-def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int) -> DataFrame:
-    """(query, ids): the best ``beam`` nodes that greedy search finds for each query node, itself among them."""
+def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int, count: float = math.inf, dimensions: int = 0) -> DataFrame:
+    """(query, ids): the best ``beam`` nodes that greedy search finds for each query node, itself among them; there are ``count`` nodes."""
     adjacency = materialize(_adjacency(graph), "adjacency")
-    start = _join(queries.select(F.col("node").alias("query"), "unit"), graph.withColumnRenamed("node", "query"), "query")
+    start = _join(queries.select(F.col("node").alias("query"), "unit"), graph.withColumnRenamed("node", "query"), "query", rows=count, width=12 * DEGREE)
     state = start.select("query", "unit", "ids", "scores", F.array().cast("array<long>").alias("done"))
 
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,10 +334,10 @@ def _search(graph: DataFrame, units: DataFrame, queries: DataFrame, beam: int) -
             break
         # Pairs only: a query's lists in each of its rows would be its beam squared.
         frontier = state.select("query", F.explode(F.array_except("ids", "done")).alias("center"))
-        reached = _join(frontier, adjacency, "center").select("query", F.explode("near").alias("node"), F.lit(False).alias("had"))
+        reached = _join(frontier, adjacency, "center", rows=count, width=16 * DEGREE).select("query", F.explode("near").alias("node"), F.lit(False).alias("had"))
         had = state.select("query", F.explode("ids").alias("node"), F.lit(True).alias("had"))
-        new = reached.union(had).groupBy("query", "node").agg(F.max("had").alias("had")).filter("NOT had").select("query", "node")
-        scored = _join(new, units, "node").groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("found"))
+        new = reached.union(had).repartition("query").groupBy("query", "node").agg(F.max("had").alias("had")).filter("NOT had").select("query", "node")
+        scored = _join(new, units, "node", rows=count, width=2 * dimensions).groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("found"))
         state = _join(state, scored, "query", "left").mapInArrow(advance, schema)
     return reduce(DataFrame.union, ended).select("query", F.array_union("ids", F.array("query")).alias("ids"))
 
@@ -342,19 +350,20 @@ def nearest(
     with scratch(df.sparkSession) as keep:
         rows = materialize(valid_vectors(df, vector, vec_id).withColumn("length", F.size("embedding")), "vectors")
         lengths = sorted(r.length for r in rows.filter(queries).select("length").distinct().collect())
-        parts = [_nearest(rows.filter(F.col("length") == n).drop("length"), queries, k, beam) for n in lengths]
+        parts = [_nearest(rows.filter(F.col("length") == n).drop("length"), n, queries, k, beam) for n in lengths]
         return keep(reduce(DataFrame.union, parts, empty), "neighbours")
 
 
-def _nearest(rows: DataFrame, queries: str, k: int, beam: int | None) -> DataFrame:
+def _nearest(rows: DataFrame, dimensions: int, queries: str, k: int, beam: int | None) -> DataFrame:
     """``nearest`` for distinct rows (vec_id, embedding) of one length."""
     nodes = materialize(_nodes(rows, k), "nodes")
     units = nodes.select("node", "unit")
-    graph = neighbour_graph(nodes)
-    beam = max(BEAM + MORE_BEAM * _doublings(nodes.count()), 2 * k) if beam is None else beam
+    graph, count = neighbour_graph(nodes), nodes.count()
+    beam = max(BEAM + MORE_BEAM * _doublings(count), 2 * k) if beam is None else beam
     asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "embedding")
-    asked = materialize(_join(asked, nodes.select("embedding", F.col("node").alias("query")), "embedding"), "queries")
-    found = _search(graph, units, _join(asked.select(F.col("query").alias("node")).distinct(), units, "node"), beam)
+    asked = materialize(_join(asked, nodes.select("embedding", F.col("node").alias("query")), "embedding", rows=count, width=8 * dimensions), "queries")
+    starts = _join(asked.select(F.col("query").alias("node")).distinct(), units, "node", rows=count, width=2 * dimensions)
+    found = _search(graph, units, starts, beam, count, dimensions)
     pairs = found.select("query", F.explode("ids").alias("node"))
 
     @F.arrow_udf("double")
@@ -367,13 +376,13 @@ def _nearest(rows: DataFrame, queries: str, k: int, beam: int | None) -> DataFra
                 out.append((a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1)))
             yield pa.array(np.concatenate(out))
 
-    met = _join(pairs, nodes.select("node", "members", F.col("embedding").alias("right")), "node")
-    met = _join(met, asked.dropDuplicates(["query"]).select("query", F.col("embedding").alias("left")), "query")
+    met = _join(pairs, nodes.select("node", "members", F.col("embedding").alias("right")), "node", rows=count, width=8 * (dimensions + k + 1))
+    met = _join(met, asked.dropDuplicates(["query"]).select("query", F.col("embedding").alias("left")), "query", rows=count, width=8 * dimensions)
     scored = met.select("query", "node", "members", cosine("left", "right").alias("score"))
     listed = scored.select("query", "node", "score", F.explode("members").alias("vec_id"))
     # A query's own row is at most one of these, so k + 1 of its node are enough for any of them.
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "node"))
     best = listed.withColumn("place", place).filter(F.col("place") <= k + 1).drop("place")
-    own = _join(asked.select("query_id", "query"), best, "query").filter("vec_id <> query_id OR node <> query")
+    own = _join(asked.select("query_id", "query"), best, "query", rows=count * (k + 1)).filter("vec_id <> query_id OR node <> query")
     rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id", "node"))
     return own.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

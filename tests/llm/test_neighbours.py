@@ -104,9 +104,10 @@ def test_crowds_copies_lengths_and_repeated_ids(spark):
 
 
 def test_no_table_goes_through_the_driver(spark, monkeypatch):
-    """Joins stay sort-merge joins however small Spark takes a table for: exploded lists are far larger than their files."""
+    """With no table small enough, all joins are sort-merge joins, however small Spark takes their files for."""
     frames, plans = type(spark.range(0)), []
     join = frames.join
+    monkeypatch.setattr(neighbours, "SMALL", 0, raising=False)
 
     def seen(self, *args):
         joined = join(self, *args)
@@ -153,3 +154,9 @@ def test_queries_of_equal_vectors_leave_out_only_themselves(spark):
     for r in neighbours.nearest(frame, "vec_id < 7 OR vec_id = 10", k=2).orderBy("rank").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
     assert got == {0: [1, 2], 1: [0, 2], **{i: [0, 1] for i in range(2, 7)}, 10: [0, 1]}
+
+
+def test_counted_rows_decide_what_is_broadcast(spark):
+    frame = spark.range(10).toDF("node")
+    few, many = (neighbours._join(frame, frame, "node", rows=n, width=128)._jdf.queryExecution().executedPlan().toString() for n in (10, 1 << 20))
+    assert "BroadcastHashJoin" in few and "Broadcast" not in many
